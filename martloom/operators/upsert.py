@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def dedupe_latest(
@@ -23,6 +24,25 @@ def dedupe_latest(
     return keyed.unionByName(df.filter(F.col(key).isNull()))
 
 
+def one_row_per_key(
+    source: DataFrame,
+    key: str,
+    on_duplicate: str = "error",
+    order_by: Sequence[Column | str] = (),
+) -> DataFrame:
+    """The rows that have a key, each key once.
+
+    A key that comes twice fails the job (``on_duplicate="error"``) or is reduced to the first
+    row in ``order_by`` (``"latest"``).
+    """
+    keyed = source.filter(F.col(key).isNotNull())
+    if on_duplicate == "latest":
+        return _first_per_key(keyed, key, order_by)
+    if on_duplicate == "error":
+        return _assert_one_per_key(keyed, key)
+    raise ValueError(f"on_duplicate must be error or latest, not {on_duplicate!r}")
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -37,32 +57,25 @@ def upsert(
     A matched row takes every column from the source, NULLs included, except those in
     ``preserve``; unmatched rows of either side are kept. Rows without a key never match:
     those of the source are added (``null_keys="keep"``) or left out (``"drop"``).
-    A key that comes twice in the source fails the job (``on_duplicate="error"``) or is
-    reduced to the first row in ``order_by`` (``"latest"``), which may use source columns the
-    target does not have.
+    Repeated keys in the source are treated as in ``one_row_per_key``; ``order_by`` may use
+    source columns the target does not have.
     """
     if null_keys not in ("keep", "drop"):
         raise ValueError(f"null_keys must be keep or drop, not {null_keys!r}")
-    if on_duplicate not in ("error", "latest"):
-        raise ValueError(f"on_duplicate must be error or latest, not {on_duplicate!r}")
-    keyed = source.filter(F.col(key).isNotNull())
-    if on_duplicate == "latest":
-        keyed = _first_per_key(keyed, key, order_by)
-    else:
-        keyed = _assert_one_per_key(keyed, key)
-    keyed = _conform(keyed, target)
+    keyed = conform(one_row_per_key(source, key, on_duplicate, order_by), target.schema)
     if null_keys == "drop":
         return _merge(target, keyed, key, preserve)
     # NULL keys would all meet in one task of the join, where they cannot match anyway.
     return (
         _merge(target.filter(F.col(key).isNotNull()), keyed, key, preserve)
         .unionByName(target.filter(F.col(key).isNull()))
-        .unionByName(_conform(source.filter(F.col(key).isNull()), target))
+        .unionByName(conform(source.filter(F.col(key).isNull()), target.schema))
     )
 
 
-def _conform(source: DataFrame, target: DataFrame) -> DataFrame:
-    return source.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields))
+def conform(rows: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema``, by name, in its types and order."""
+    return rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
 def _merge(target: DataFrame, source: DataFrame, key: str, preserve: Sequence[str]) -> DataFrame:
@@ -88,8 +101,8 @@ def _first_per_key(df: DataFrame, key: str, order_by: Sequence[Column | str]) ->
 
 
 def _assert_one_per_key(df: DataFrame, key: str) -> DataFrame:
-    # Ordered by the key itself: rows already grouped and sorted by key need no further sort.
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    # A window without an order: rows already grouped and sorted by key are not sorted again.
+    times = F.count("*").over(Window.partitionBy(key))
     message = F.concat(F.lit(f"upsert source repeats {key} "), F.col(key).cast("string"))
-    once = F.when(F.col("_rank") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
-    return df.withColumn("_rank", rank).filter(once).drop("_rank")
+    once = F.when(F.col("_times") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    return df.withColumn("_times", times).filter(once).drop("_times")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.operators.keys import scd1_dimension
-from martloom.operators.upsert import upsert
+from martloom.operators.upsert import conform, one_row_per_key, upsert
 from martloom.plans.layers import (
     Star,
     bronze_rows,
@@ -65,10 +65,10 @@ def refresh(
 
     def dimension(entity: str) -> None:
         spec = DIMENSIONS[entity]
-        warehouse.ensure(spec)
         members = dimension_members(warehouse.read(SILVER[entity]), entity, run_ts)
-        merged = scd1_dimension(warehouse.read(spec), members, spec.key, spec.surrogate)
-        warehouse.replace(spec, merged)
+        current = warehouse.read(spec) if warehouse.exists(spec) else None
+        merged = scd1_dimension(current, members, spec.key, spec.surrogate)
+        warehouse.replace(spec, merged.select(*spec.columns))
 
     _all(bronze, ENTITIES)
     _all(silver, ENTITIES)
@@ -91,15 +91,28 @@ def refresh(
     return layer_row_counts(warehouse)
 
 
-def merge_into(warehouse: Warehouse, spec: TableSpec, source: DataFrame, **how) -> None:
+def merge_into(
+    warehouse: Warehouse,
+    spec: TableSpec,
+    source: DataFrame,
+    preserve: Sequence[str] = (),
+    on_duplicate: str = "error",
+    order_by: Sequence[Column | str] = (),
+) -> None:
     """Upsert ``source`` into a table of the warehouse.
 
-    A table that had rows is read in buckets, and the merge leaves every row in its bucket.
+    The merge reads a bucketed table in its buckets and leaves every row in its bucket. A first
+    load is grouped by key as well, but by shuffle partitions, which may be another number.
     """
-    first_load = not warehouse.exists(spec)
-    warehouse.ensure(spec)
-    merged = upsert(warehouse.read(spec), source, spec.key, null_keys="drop", **how)
-    warehouse.replace(spec, merged, grouped=not first_load)
+    if warehouse.exists(spec):
+        merged = upsert(
+            warehouse.read(spec), source, spec.key, preserve, on_duplicate, order_by, null_keys="drop"
+        )
+        warehouse.replace(spec, merged, grouped=True)
+    else:
+        rows = conform(one_row_per_key(source, spec.key, on_duplicate, order_by), spec.schema)
+        partitions = int(warehouse.spark.conf.get("spark.sql.shuffle.partitions"))
+        warehouse.replace(spec, rows, grouped=partitions == warehouse.buckets)
 
 
 def read_star(warehouse: Warehouse) -> Star:

@@ -71,7 +71,7 @@ class SampleRun:
 
     @cached_property
     def star(self) -> Star:
-        dims = {entity: self.dimension(entity) for entity in DIMENSIONS}
+        dims = {e: self._stored(self.dimension(e), spec.name) for e, spec in DIMENSIONS.items()}
         date = self._stored(self.dim_date(), "dim-date")
         fact = fact_rows(
             self.silver_sales, dims["stores"], dims["products"], dims["promotions"], date, FIRST_RUN
