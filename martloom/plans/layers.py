@@ -18,15 +18,16 @@ NO_PROMOTION = -1
 
 @dataclass(frozen=True)
 class Star:
-    """The gold tables. ``one_row_per_sale`` states that no TransactionID repeats in ``fact``,
-    as holds for a fact table kept by upsert; counting transactions then needs no shuffle."""
+    """The gold tables. ``maintained`` states what holds when they are kept by this library: no
+    TransactionID repeats in ``fact``, and its keys are NULL or found in their dimension (but for
+    the key of no promotion)."""
 
     fact: DataFrame
     date: DataFrame
     store: DataFrame
     product: DataFrame
     promotion: DataFrame
-    one_row_per_sale: bool = False
+    maintained: bool = False
 
 
 def run_time(run_ts: str | None) -> Column:

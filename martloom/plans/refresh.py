@@ -116,14 +116,14 @@ def merge_into(
 
 
 def read_star(warehouse: Warehouse) -> Star:
-    """The gold tables of a warehouse; its fact table is kept by upsert, one row per sale."""
+    """The gold tables of a warehouse."""
     return Star(
         fact=warehouse.read(FACT_SALES),
         date=warehouse.read(DIM_DATE),
         store=warehouse.read(DIM_STORE),
         product=warehouse.read(DIM_PRODUCT),
         promotion=warehouse.read(DIM_PROMOTION),
-        one_row_per_sale=True,
+        maintained=True,
     )
 
 

@@ -82,7 +82,7 @@ class SampleRun:
             dims["stores"],
             dims["products"],
             dims["promotions"],
-            one_row_per_sale=True,
+            maintained=True,
         )
 
     # Two successive loads.
@@ -111,22 +111,24 @@ class SampleRun:
         passing = silver_rows(self.bronze_twice("sales"), "sales").select("TransactionID")
         return self.silver_twice("sales").join(passing, "TransactionID", "left_anti")
 
-    def dimension_twice(self, entity: str) -> DataFrame:
+    def dimension_twice(self, entity: str, first: DataFrame | None = None) -> DataFrame:
         spec = DIMENSIONS[entity]
+        if first is None:
+            first = self.dimension(entity, 1)
         members = dimension_members(self.silver_twice(entity), entity, SECOND_RUN)
-        merged = scd1_dimension(self.dimension(entity, 1), members, spec.key, spec.surrogate)
-        return merged.select(*spec.columns)
+        return scd1_dimension(first, members, spec.key, spec.surrogate).select(*spec.columns)
 
     def fact_twice(self) -> DataFrame:
         def fact(sales: DataFrame, dims: dict[str, DataFrame], run_ts: str) -> DataFrame:
-            return fact_rows(
-                sales, dims["stores"], dims["products"], dims["promotions"], dim_date_rows(sales), run_ts
-            )
+            date = self._stored(dim_date_rows(sales), "dim-date")
+            return fact_rows(sales, dims["stores"], dims["products"], dims["promotions"], date, run_ts)
 
         first_sales = self._stored(self.silver("sales", 1), "silver-sales-1")
         second_sales = self._stored(self.silver_twice("sales"), "silver-sales-2")
-        first = fact(first_sales, {e: self.dimension(e, 1) for e in DIMENSIONS}, FIRST_RUN)
-        second = fact(second_sales, {e: self.dimension_twice(e) for e in DIMENSIONS}, SECOND_RUN)
+        first_dims = {e: self.dimension(e, 1) for e in DIMENSIONS}
+        second_dims = {e: self.dimension_twice(e, first_dims[e]) for e in DIMENSIONS}
+        first = fact(first_sales, first_dims, FIRST_RUN)
+        second = fact(second_sales, second_dims, SECOND_RUN)
         return upsert(first, second, FACT_SALES.key, preserve=[FACT_SALES.stamp], null_keys="drop")
 
     @cached_property

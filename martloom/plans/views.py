@@ -1,161 +1,189 @@
 """The six analytics views, as SQL that serves DataFrames and catalog tables alike.
 
-Each view first sums the fact by its own key columns, and joins dimensions to the sums only:
-the partial sums before the shuffle absorb hot keys, and the joins move groups instead of
-sales. The outer GROUP BY brings together keys that no dimension row answers to.
+A view is written as totals per fact key, with the describing columns joined to the totals:
+the partial sums absorb hot keys before the shuffle, and the joins move groups, not sales.
 
-Money is summed as exact decimals, so that a total does not depend on the order of the rows.
+Over a fact table kept by this library (``Star.maintained``) two facts about it save most of
+the work. No TransactionID repeats, so counting distinct ones is counting rows, for which no
+sale is shuffled. And every key finds its dimension row, so totals per key are final. Over any
+other fact table the keys are resolved and the transactions told apart sale by sale.
+
+Money is summed as whole hundredths of a cent, so that a total does not depend on the order of
+the rows. A group's total may reach 9e14; beyond, the sum fails (ANSI mode) instead of rounding.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.plans.layers import NO_PROMOTION, Star
-from martloom.sources.warehouse import Warehouse
 from martloom.schemas import DIM_DATE, DIM_PRODUCT, DIM_PROMOTION, DIM_STORE, FACT_SALES
+from martloom.sources.warehouse import Warehouse
+
+# Table placeholder in the SQL, by the key it is joined on.
+DIMENSION_OF = {"DateKey": "date", "StoreKey": "store", "ProductKey": "product", "PromotionKey": "promotion"}
 
-QUANTITY = "SUM(k.quantity)"
-REVENUE = "CAST(SUM(k.revenue) AS DOUBLE)"
-AVERAGE_SALE = f"{REVENUE} / NULLIF(SUM(k.amounts), 0)"
+MEASURES = """
+    SUM(f.Quantity) AS quantity, COUNT(f.Quantity) AS quantities,
+    SUM(CAST(RINT(f.TotalSales * 10000) AS BIGINT)) AS revenue, COUNT(f.TotalSales) AS amounts,
+    MIN(f.TotalSales) AS lowest, MAX(f.TotalSales) AS highest"""
+REVENUE = "CAST(k.revenue AS DOUBLE) / 10000"
+AVERAGE_SALE = f"{REVENUE} / NULLIF(k.amounts, 0)"
 
 
-def _sums(
-    grain: str,
-    one_row_per_sale: bool,
-    hint: str = "",
-    extra: str = "",
-    source: str = "{fact} f",
+def totals_sql(
+    keys: Sequence[str],
+    maintained: bool,
+    distinct: Sequence[str] = (),
+    days: bool = False,
     where: str = "",
 ) -> str:
-    """The fact summed by ``grain``, and by transaction too where one may have several rows."""
-    if one_row_per_sale:
-        transaction, by = "COUNT(f.TransactionID) AS transactions", grain
-    else:
-        transaction, by = "f.TransactionID", f"{grain}, f.TransactionID"
+    """Totals of the fact by its ``keys``: the number of different values of ``distinct`` columns
+    as ``different_<column>``, with ``days`` also the first and last day."""
+    if maintained:
+        return _totals_of_maintained(keys, distinct, days, where)
+    resolved = ", ".join(f"by_{key}.{key}" for key in keys)
+    joins = " ".join(
+        f"LEFT JOIN {{{DIMENSION_OF[key]}}} by_{key} ON by_{key}.{key} = f.{key}"
+        for key in (*keys, *(["DateKey"] if days else []))
+    )
+    return f"""
+        SELECT {resolved}, COUNT(DISTINCT f.TransactionID) AS transactions, {MEASURES}
+               {", MIN(by_DateKey.Date) AS first_day, MAX(by_DateKey.Date) AS last_day" if days else ""}
+               {"".join(f", COUNT(DISTINCT f.{c}) AS different_{c}" for c in distinct)}
+        FROM {{fact}} f {joins} {where}
+        GROUP BY {resolved}"""
+
+
+def _totals_of_maintained(keys: Sequence[str], distinct: Sequence[str], days: bool, where: str) -> str:
+    grain = ", ".join(f"f.{c}" for c in (*keys, *distinct))
+    by_grain = f"""
+        SELECT {grain}, COUNT(f.TransactionID) AS transactions, {MEASURES}
+               {", MIN(f.DateKey) AS first_day, MAX(f.DateKey) AS last_day" if days else ""}
+        FROM {{fact}} f {where}
+        GROUP BY {grain}"""
+    if not distinct:
+        return by_grain
+    # With one more column in the grain, every value of it is one row per key already.
+    how = "COUNT(" if len(distinct) == 1 else "COUNT(DISTINCT "
+    by = ", ".join(f"g.{key}" for key in keys)
     return f"""
-        SELECT {hint} {grain}, {transaction}, {extra}
-               SUM(f.Quantity) AS quantity, COUNT(f.Quantity) AS quantities,
-               SUM(CAST(f.TotalSales AS DECIMAL(18, 4))) AS revenue, COUNT(f.TotalSales) AS amounts,
-               MIN(f.TotalSales) AS lowest, MAX(f.TotalSales) AS highest
-        FROM {source} {where}
+        SELECT {by}, SUM(g.transactions) AS transactions, SUM(g.quantity) AS quantity,
+               SUM(g.quantities) AS quantities, SUM(g.revenue) AS revenue, SUM(g.amounts) AS amounts,
+               MIN(g.lowest) AS lowest, MAX(g.highest) AS highest
+               {", MIN(g.first_day) AS first_day, MAX(g.last_day) AS last_day" if days else ""}
+               {"".join(f", {how}g.{c}) AS different_{c}" for c in distinct)}
+        FROM ({by_grain}) g
         GROUP BY {by}"""
 
 
-def view_sql(name: str, one_row_per_sale: bool) -> str:
-    """SELECT text of a view, with ``{fact}``, ``{date}``, ``{store}``, ``{product}`` and
-    ``{promotion}`` standing for the tables."""
-    transactions = "SUM(k.transactions)" if one_row_per_sale else "COUNT(DISTINCT k.TransactionID)"
-
-    def sums(grain: str, **parts: str) -> str:
-        return _sums(grain, one_row_per_sale, **parts)
-
-    if name == "sales_by_store_product":
-        return f"""
-            SELECT s.StoreKey, s.StoreName, s.Region, p.ProductKey, p.ProductName, p.Category,
-                   {transactions} AS total_transactions, {QUANTITY} AS total_quantity,
-                   {REVENUE} AS total_revenue, {AVERAGE_SALE} AS avg_sale_amount,
-                   MIN(k.lowest) AS min_sale_amount, MAX(k.highest) AS max_sale_amount
-            FROM ({sums("f.StoreKey, f.ProductKey")}) k
-            LEFT JOIN {{store}} s ON s.StoreKey = k.StoreKey
-            LEFT JOIN {{product}} p ON p.ProductKey = k.ProductKey
-            GROUP BY ALL"""
-    if name == "daily_sales_by_store":
-        return f"""
-            SELECT d.Date, s.StoreKey, s.StoreName, s.Region,
-                   {transactions} AS daily_transactions, {QUANTITY} AS daily_quantity,
-                   {REVENUE} AS daily_revenue, {AVERAGE_SALE} AS avg_transaction_value
-            FROM ({sums("f.DateKey, f.StoreKey")}) k
-            LEFT JOIN {{date}} d ON d.DateKey = k.DateKey
-            LEFT JOIN {{store}} s ON s.StoreKey = k.StoreKey
-            GROUP BY ALL
-            ORDER BY Date DESC, daily_revenue DESC"""
-    if name == "product_performance":
-        return f"""
-            SELECT p.ProductKey, p.ProductID, p.ProductName, p.Category, p.Brand, p.BasePrice,
-                   {transactions} AS total_sales, {QUANTITY} AS total_quantity_sold,
-                   {REVENUE} AS total_revenue,
-                   {QUANTITY} / NULLIF(SUM(k.quantities), 0) AS avg_quantity_per_sale,
-                   COUNT(DISTINCT k.StoreKey) AS stores_sold_in
-            FROM ({sums("f.ProductKey, f.StoreKey")}) k
-            LEFT JOIN {{product}} p ON p.ProductKey = k.ProductKey
-            GROUP BY ALL
-            ORDER BY total_revenue DESC"""
-    if name == "store_performance":
-        # Days are broadcast: there cannot be more of them than the calendar has.
-        daily = sums(
-            "f.StoreKey, f.ProductKey",
-            hint="/*+ BROADCAST(d) */",
-            extra="MIN(d.Date) AS first_day, MAX(d.Date) AS last_day,",
-            source="{fact} f LEFT JOIN {date} d ON d.DateKey = f.DateKey",
-        )
-        return f"""
-            SELECT s.StoreKey, s.StoreID, s.StoreName, s.Region, s.StoreType, s.SquareFootage,
-                   {transactions} AS total_transactions,
-                   COUNT(DISTINCT k.ProductKey) AS unique_products_sold,
-                   {QUANTITY} AS total_quantity_sold, {REVENUE} AS total_revenue,
-                   {AVERAGE_SALE} AS avg_transaction_value,
-                   MIN(k.first_day) AS first_sale_date, MAX(k.last_day) AS last_sale_date
-            FROM ({daily}) k
-            LEFT JOIN {{store}} s ON s.StoreKey = k.StoreKey
-            GROUP BY ALL
-            ORDER BY total_revenue DESC"""
-    if name == "promotion_effectiveness":
-        promoted = sums(
-            "f.PromotionKey, f.StoreKey, f.ProductKey", where=f"WHERE f.PromotionKey <> {NO_PROMOTION}"
-        )
-        return f"""
-            SELECT r.PromotionKey, r.PromotionID, r.PromotionType, r.StartDate, r.EndDate,
-                   r.DiscountPercent, r.MarketingSpend,
-                   {transactions} AS total_sales_during_promotion,
-                   {QUANTITY} AS total_quantity_sold, {REVENUE} AS total_revenue,
-                   {AVERAGE_SALE} AS avg_sale_amount,
-                   COUNT(DISTINCT k.StoreKey) AS stores_participating,
-                   COUNT(DISTINCT k.ProductKey) AS products_sold,
-                   ROUND({REVENUE} / NULLIF(r.MarketingSpend, 0), 2) AS roi_multiplier
-            FROM ({promoted}) k
-            LEFT JOIN {{promotion}} r ON r.PromotionKey = k.PromotionKey
-            GROUP BY r.PromotionKey, r.PromotionID, r.PromotionType, r.StartDate, r.EndDate,
-                     r.DiscountPercent, r.MarketingSpend
-            ORDER BY total_revenue DESC"""
-    if name == "sales_trend_by_month":
-        return f"""
-            SELECT d.Year, d.Month, d.MonthName,
-                   CONCAT(d.Year, '-', LPAD(d.Month, 2, '0')) AS YearMonth,
-                   {transactions} AS transactions, {QUANTITY} AS quantity_sold, {REVENUE} AS revenue
-            FROM ({sums("f.DateKey")}) k
-            LEFT JOIN {{date}} d ON d.DateKey = k.DateKey
-            GROUP BY d.Year, d.Month, d.MonthName
-            ORDER BY Year DESC, Month DESC"""
-    raise ValueError(f"no view {name!r}")
+def sales_by_store_product(maintained: bool) -> str:
+    return f"""
+        SELECT s.StoreKey, s.StoreName, s.Region, p.ProductKey, p.ProductName, p.Category,
+               k.transactions AS total_transactions, k.quantity AS total_quantity,
+               {REVENUE} AS total_revenue, {AVERAGE_SALE} AS avg_sale_amount,
+               k.lowest AS min_sale_amount, k.highest AS max_sale_amount
+        FROM ({totals_sql(["StoreKey", "ProductKey"], maintained)}) k
+        LEFT JOIN {{store}} s ON s.StoreKey = k.StoreKey
+        LEFT JOIN {{product}} p ON p.ProductKey = k.ProductKey"""
+
+
+def daily_sales_by_store(maintained: bool) -> str:
+    return f"""
+        SELECT d.Date, s.StoreKey, s.StoreName, s.Region, k.transactions AS daily_transactions,
+               k.quantity AS daily_quantity, {REVENUE} AS daily_revenue,
+               {AVERAGE_SALE} AS avg_transaction_value
+        FROM ({totals_sql(["DateKey", "StoreKey"], maintained)}) k
+        LEFT JOIN {{date}} d ON d.DateKey = k.DateKey
+        LEFT JOIN {{store}} s ON s.StoreKey = k.StoreKey
+        ORDER BY Date DESC, daily_revenue DESC"""
+
+
+def product_performance(maintained: bool) -> str:
+    return f"""
+        SELECT p.ProductKey, p.ProductID, p.ProductName, p.Category, p.Brand, p.BasePrice,
+               k.transactions AS total_sales, k.quantity AS total_quantity_sold,
+               {REVENUE} AS total_revenue,
+               k.quantity / NULLIF(k.quantities, 0) AS avg_quantity_per_sale,
+               k.different_StoreKey AS stores_sold_in
+        FROM ({totals_sql(["ProductKey"], maintained, ["StoreKey"])}) k
+        LEFT JOIN {{product}} p ON p.ProductKey = k.ProductKey
+        ORDER BY total_revenue DESC"""
+
+
+def store_performance(maintained: bool) -> str:
+    return f"""
+        SELECT s.StoreKey, s.StoreID, s.StoreName, s.Region, s.StoreType, s.SquareFootage,
+               k.transactions AS total_transactions, k.different_ProductKey AS unique_products_sold,
+               k.quantity AS total_quantity_sold, {REVENUE} AS total_revenue,
+               {AVERAGE_SALE} AS avg_transaction_value,
+               k.first_day AS first_sale_date, k.last_day AS last_sale_date
+        FROM ({totals_sql(["StoreKey"], maintained, ["ProductKey"], days=True)}) k
+        LEFT JOIN {{store}} s ON s.StoreKey = k.StoreKey
+        ORDER BY total_revenue DESC"""
+
+
+def promotion_effectiveness(maintained: bool) -> str:
+    promoted = f"WHERE f.PromotionKey <> {NO_PROMOTION}"
+    return f"""
+        SELECT r.PromotionKey, r.PromotionID, r.PromotionType, r.StartDate, r.EndDate,
+               r.DiscountPercent, r.MarketingSpend,
+               k.transactions AS total_sales_during_promotion, k.quantity AS total_quantity_sold,
+               {REVENUE} AS total_revenue, {AVERAGE_SALE} AS avg_sale_amount,
+               k.different_StoreKey AS stores_participating, k.different_ProductKey AS products_sold,
+               ROUND({REVENUE} / NULLIF(r.MarketingSpend, 0), 2) AS roi_multiplier
+        FROM ({totals_sql(["PromotionKey"], maintained, ["StoreKey", "ProductKey"], where=promoted)}) k
+        LEFT JOIN {{promotion}} r ON r.PromotionKey = k.PromotionKey
+        ORDER BY total_revenue DESC"""
+
+
+def sales_trend_by_month(maintained: bool) -> str:
+    if maintained:
+        # Days first; a day's totals add up to its month's.
+        monthly, transactions = f"({totals_sql(['DateKey'], maintained)}) k", "SUM(k.transactions)"
+        quantity, revenue = "SUM(k.quantity)", "SUM(k.revenue)"
+    else:
+        monthly, transactions = "{fact} k", "COUNT(DISTINCT k.TransactionID)"
+        quantity, revenue = "SUM(k.Quantity)", "SUM(CAST(RINT(k.TotalSales * 10000) AS BIGINT))"
+    return f"""
+        SELECT d.Year, d.Month, d.MonthName, DATE_FORMAT(MAKE_DATE(d.Year, d.Month, 1), 'yyyy-MM') AS YearMonth,
+               {transactions} AS transactions, {quantity} AS quantity_sold,
+               CAST({revenue} AS DOUBLE) / 10000 AS revenue
+        FROM {monthly}
+        LEFT JOIN {{date}} d ON d.DateKey = k.DateKey
+        GROUP BY d.Year, d.Month, d.MonthName
+        ORDER BY Year DESC, Month DESC"""
 
 
 # Each view with the columns its first rows are taken by: descending ones, then ascending ones.
 VIEWS = {
-    "sales_by_store_product": (["total_revenue"], ["StoreKey", "ProductKey"]),
-    "daily_sales_by_store": (["Date", "daily_revenue"], ["StoreKey"]),
-    "product_performance": (["total_revenue"], ["ProductKey"]),
-    "store_performance": (["total_revenue"], ["StoreKey"]),
-    "promotion_effectiveness": (["total_revenue"], ["PromotionKey"]),
-    "sales_trend_by_month": (["Year", "Month"], []),
+    "sales_by_store_product": (sales_by_store_product, ["total_revenue"], ["StoreKey", "ProductKey"]),
+    "daily_sales_by_store": (daily_sales_by_store, ["Date", "daily_revenue"], ["StoreKey"]),
+    "product_performance": (product_performance, ["total_revenue"], ["ProductKey"]),
+    "store_performance": (store_performance, ["total_revenue"], ["StoreKey"]),
+    "promotion_effectiveness": (promotion_effectiveness, ["total_revenue"], ["PromotionKey"]),
+    "sales_trend_by_month": (sales_trend_by_month, ["Year", "Month"], []),
 }
 
 
 def view(name: str, star: Star) -> DataFrame:
-    return star.fact.sparkSession.sql(
-        view_sql(name, star.one_row_per_sale),
-        fact=star.fact,
-        date=star.date,
-        store=star.store,
-        product=star.product,
-        promotion=star.promotion,
-    )
+    sql, _, _ = VIEWS[name]
+    tables = {
+        "fact": star.fact,
+        "date": star.date,
+        "store": star.store,
+        "product": star.product,
+        "promotion": star.promotion,
+    }
+    return star.fact.sparkSession.sql(sql(star.maintained), **tables)
 
 
 def top(name: str, star: Star, rows: int = 5) -> DataFrame:
     """The first rows of a view; ties are broken by key, so the result is always the same."""
-    descending, ascending = VIEWS[name]
+    _, descending, ascending = VIEWS[name]
     return view(name, star).orderBy(*(F.desc(c) for c in descending), *ascending).limit(rows)
 
 
@@ -168,5 +196,5 @@ def publish_views(warehouse: Warehouse) -> None:
         "product": warehouse.name(DIM_PRODUCT),
         "promotion": warehouse.name(DIM_PROMOTION),
     }
-    for name in VIEWS:
-        warehouse.publish_view("gold", name, view_sql(name, one_row_per_sale=True).format(**tables))
+    for name, (sql, _, _) in VIEWS.items():
+        warehouse.publish_view("gold", name, sql(maintained=True).format(**tables))

@@ -46,8 +46,8 @@ def _sales(lines: DataFrame, delivery: int | None) -> DataFrame:
         lines = lines.filter(F.col("l_shipdate") < F.lit(SECOND_DELIVERY_FROM).cast("timestamp_ntz"))
     elif delivery == 2:
         lines = lines.filter(F.col("l_shipdate") >= F.lit(SECOND_DELIVERY_FROM).cast("timestamp_ntz"))
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
+    # Whole cents and percents, so that the products are exact.
+    cents, percent = F.rint(F.col("l_extendedprice") * 100), F.rint(F.col("l_discount") * 100)
     undated = (F.col("l_tax") == 0.08) & (F.col("l_quantity") == 50)
     sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
     return lines.select(
@@ -57,8 +57,8 @@ def _sales(lines: DataFrame, delivery: int | None) -> DataFrame:
         F.concat(F.lit("P"), "l_partkey").alias("ProductID"),
         F.col("l_quantity").cast("int").alias("Quantity"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("UnitPrice"),
-        (price * discount).cast("double").alias("DiscountAmount"),
-        (sign * price * (1 - discount)).cast("double").alias("TotalSales"),
+        (cents * percent / 10000).alias("DiscountAmount"),
+        (sign * cents * (100 - percent) / 10000).alias("TotalSales"),
         F.when(F.col("l_discount") >= 0.06, F.concat(F.lit("PROMO"), "l_partkey")).alias("PromotionID"),
         "l_shipdate",
         "l_partkey",
