@@ -61,13 +61,15 @@ def _lookup_spread(
     )
     marked = facts.join(F.broadcast(hot), F.col(on) == F.col("_hot_key"), "left")
     settled = F.col("_hot_key").isNotNull() | F.col(on).isNull()
-    marked = marked.withColumn("_key", F.when(~settled, F.col(on))).withColumn(
-        "_spread", F.when(settled, F.pmod(F.xxhash64(spread_by), F.lit(parts))).otherwise(0).cast("int")
+    # One joint column: as two, the constant on the side of the dimension would be optimized
+    # away, and the spread with it.
+    place = F.struct(
+        F.when(~settled, F.col(on)).alias("key"),
+        F.when(settled, F.xxhash64(spread_by)).otherwise(F.lit(0).cast("long")).alias("spread"),
     )
-    cold = dimension.select(
-        F.col(on).alias("_key"),
-        F.lit(0).alias("_spread"),
+    cold = dimension.filter(F.col(on).isNotNull()).select(
+        F.struct(F.col(on).alias("key"), F.lit(0).cast("long").alias("spread")).alias("_place"),
         *(F.col(c).alias(f"_cold_{c}") for c in columns),
     )
     found = (F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in columns)
-    return marked.join(cold, ["_key", "_spread"], "left").select(*facts.columns, *found)
+    return marked.withColumn("_place", place).join(cold, "_place", "left").select(*facts.columns, *found)
