@@ -36,6 +36,56 @@ from martloom.schemas import (
 from martloom.sources.warehouse import Warehouse
 
 
+def load_bronze(
+    warehouse: Warehouse,
+    entity: str,
+    delivery: DataFrame,
+    run_ts: str | None = None,
+    order_by: Sequence[Column | str] = (),
+) -> None:
+    """Merge a delivery. A key repeated in it fails the load, unless ``order_by`` says which row
+    comes first. Rows without a key stay out; ``key_violations`` on the delivery shows them."""
+    merge_into(
+        warehouse,
+        BRONZE[entity],
+        bronze_rows(delivery, entity, run_ts),
+        on_duplicate="latest" if order_by else "error",
+        order_by=order_by,
+    )
+
+
+def load_silver(warehouse: Warehouse, entity: str, run_ts: str | None = None) -> None:
+    """Merge the bronze rows that meet the rules; silver rows that stopped meeting them stay."""
+    merge_into(warehouse, SILVER[entity], silver_rows(warehouse.read(BRONZE[entity]), entity, run_ts))
+
+
+def load_dim_date(warehouse: Warehouse) -> None:
+    """Replace the calendar by the days from the first to the last sale."""
+    warehouse.replace(DIM_DATE, dim_date_rows(warehouse.read(SILVER["sales"])))
+
+
+def load_dimension(warehouse: Warehouse, entity: str, run_ts: str | None = None) -> None:
+    spec = DIMENSIONS[entity]
+    members = dimension_members(warehouse.read(SILVER[entity]), entity, run_ts)
+    current = warehouse.read(spec) if warehouse.exists(spec) else None
+    merged = scd1_dimension(current, members, spec.key, spec.surrogate)
+    warehouse.replace(spec, merged.select(*spec.columns))
+
+
+def load_fact(warehouse: Warehouse, run_ts: str | None = None) -> None:
+    """Merge all of silver sales, so that sales find dimension rows that came after them. A sale
+    keeps the time it was first loaded."""
+    facts = fact_rows(
+        warehouse.read(SILVER["sales"]),
+        warehouse.read(DIM_STORE),
+        warehouse.read(DIM_PRODUCT),
+        warehouse.read(DIM_PROMOTION),
+        warehouse.read(DIM_DATE),
+        run_ts,
+    )
+    merge_into(warehouse, FACT_SALES, facts, preserve=[FACT_SALES.stamp])
+
+
 def refresh(
     warehouse: Warehouse,
     deliveries: Mapping[str, DataFrame],
@@ -44,49 +94,14 @@ def refresh(
 ) -> DataFrame:
     """Bring every table up to date with a delivery of each entity; returns the row counts.
 
-    Running the same delivery again changes audit columns only. A key repeated in a delivery
-    fails the run, unless ``order_by`` says for its entity which row comes first. Rows without
-    a key stay out of bronze; ``key_violations`` on the delivery shows them.
+    Running the same delivery again changes audit columns only.
     """
     order_by = order_by or {}
-
-    def bronze(entity: str) -> None:
-        order = order_by.get(entity, ())
-        merge_into(
-            warehouse,
-            BRONZE[entity],
-            bronze_rows(deliveries[entity], entity, run_ts),
-            on_duplicate="latest" if order else "error",
-            order_by=order,
-        )
-
-    def silver(entity: str) -> None:
-        merge_into(warehouse, SILVER[entity], silver_rows(warehouse.read(BRONZE[entity]), entity, run_ts))
-
-    def dimension(entity: str) -> None:
-        spec = DIMENSIONS[entity]
-        members = dimension_members(warehouse.read(SILVER[entity]), entity, run_ts)
-        current = warehouse.read(spec) if warehouse.exists(spec) else None
-        merged = scd1_dimension(current, members, spec.key, spec.surrogate)
-        warehouse.replace(spec, merged.select(*spec.columns))
-
-    _all(bronze, ENTITIES)
-    _all(silver, ENTITIES)
-    warehouse.replace(DIM_DATE, dim_date_rows(warehouse.read(SILVER["sales"])))
-    _all(dimension, DIMENSIONS)
-    merge_into(
-        warehouse,
-        FACT_SALES,
-        fact_rows(
-            warehouse.read(SILVER["sales"]),
-            warehouse.read(DIM_STORE),
-            warehouse.read(DIM_PRODUCT),
-            warehouse.read(DIM_PROMOTION),
-            warehouse.read(DIM_DATE),
-            run_ts,
-        ),
-        preserve=[FACT_SALES.stamp],
-    )
+    _all(lambda e: load_bronze(warehouse, e, deliveries[e], run_ts, order_by.get(e, ())), ENTITIES)
+    _all(lambda e: load_silver(warehouse, e, run_ts), ENTITIES)
+    load_dim_date(warehouse)
+    _all(lambda e: load_dimension(warehouse, e, run_ts), DIMENSIONS)
+    load_fact(warehouse, run_ts)
     publish_views(warehouse)
     return layer_row_counts(warehouse)
 
