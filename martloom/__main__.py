@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
+from martloom.plans.audit import quality_report
 from martloom.plans.refresh import (
     load_bronze,
     load_dim_date,
@@ -20,7 +21,7 @@ from martloom.plans.refresh import (
     refresh,
 )
 from martloom.plans.views import publish_views
-from martloom.schemas import DIMENSIONS, ENTITIES
+from martloom.schemas import BRONZE, DIMENSIONS, ENTITIES
 from martloom.session import tune
 from martloom.sources.csv_files import read_entity_csv, read_folder
 from martloom.sources.warehouse import Warehouse
@@ -53,6 +54,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--root", help="folder of the databases; default: the warehouse folder of the session")
     parser.add_argument("--buckets", type=int, help="buckets of the sales tables; default: shuffle partitions")
     parser.add_argument("--run-ts", help="time written to the audit columns; default: now")
+    parser.add_argument("--report", action="store_true", help="also show the bronze rows each rule refuses")
     parser.add_argument("--task", action="append", help="run only this task; may be repeated")
     chosen = parser.parse_args(arguments)
 
@@ -69,6 +71,8 @@ def main(arguments: list[str] | None = None) -> None:
         refresh(warehouse, read_folder(spark, chosen.source), chosen.run_ts).show(truncate=False)
     else:
         parser.error("--source is needed to run the whole chain")
+    if chosen.report:
+        quality_report({e: warehouse.read(spec) for e, spec in BRONZE.items()}).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -35,6 +35,8 @@ def lookup(
 
     ``on`` is unique in the dimension. A dimension measured to fit is broadcast, which moves no
     fact; otherwise ``spread_by``, a column with many values, spreads the facts of hot keys.
+    Finding those reads the facts twice more (a count, and their ``on`` column), so they should
+    be a stored table.
     """
     dimension = dimension.select(on, *columns)
     if measured_bytes(dimension) <= broadcast_bytes:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from martloom.operators.keys import scd1_dimension
 from martloom.operators.upsert import conform, one_row_per_key, upsert
+from martloom.plans.audit import layer_row_counts
 from martloom.plans.layers import (
     Star,
     bronze_rows,
@@ -30,7 +29,6 @@ from martloom.schemas import (
     ENTITIES,
     FACT_SALES,
     SILVER,
-    TABLES,
     TableSpec,
 )
 from martloom.sources.warehouse import Warehouse
@@ -142,14 +140,6 @@ def read_star(warehouse: Warehouse) -> Star:
     )
 
 
-def layer_row_counts(warehouse: Warehouse) -> DataFrame:
-    counts = (
-        warehouse.read(spec).agg(F.lit(spec.label).alias("table_name"), F.count("*").alias("row_count"))
-        for spec in TABLES
-    )
-    return reduce(DataFrame.unionByName, counts)
-
-
 def _all(job, entities: Iterable[str]) -> None:
     """Run a job for every entity; their Spark jobs share the cluster. The first error is raised."""
     with ThreadPoolExecutor() as pool:

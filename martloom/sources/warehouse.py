@@ -60,6 +60,10 @@ class Warehouse:
     def read(self, spec: TableSpec) -> DataFrame:
         return self.spark.table(self.name(spec))
 
+    def preview(self, spec: TableSpec, rows: int = 10) -> DataFrame:
+        """Any few rows, for a look."""
+        return self.read(spec).limit(rows)
+
     def replace(self, spec: TableSpec, df: DataFrame, grouped: bool = False) -> None:
         """Save ``df`` as the new state of the table.
 

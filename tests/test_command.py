@@ -5,7 +5,8 @@ import uuid
 import pytest
 
 from martloom.__main__ import main, tasks
-from martloom.plans.refresh import layer_row_counts, refresh
+from martloom.plans.audit import layer_row_counts
+from martloom.plans.refresh import refresh
 from martloom.sources.csv_files import read_folder
 from martloom.sources.warehouse import Warehouse
 from tests import samples
@@ -28,8 +29,11 @@ def test_single_tasks_in_order_do_what_the_whole_chain_does(spark, tmp_path):
 
 def test_whole_chain_and_wrong_calls(spark, tmp_path, capsys):
     catalog = f"t{uuid.uuid4().hex[:8]}"
-    main(["--source", samples.write(tmp_path / "in"), "--catalog", catalog, "--root", str(tmp_path / "wh")])
-    assert "gold.fact_sales" in capsys.readouterr().out
+    place = ["--catalog", catalog, "--root", str(tmp_path / "wh")]
+    main(["--source", samples.write(tmp_path / "in"), *place, "--report", "--run-ts", "2024-06-01 00:00:00"])
+    shown = capsys.readouterr().out
+    assert "gold.fact_sales" in shown
+    assert "TotalSales positive" in shown
     for wrong in (["--task", "bronze_sale"], []):
         with pytest.raises(SystemExit):
             main(wrong)

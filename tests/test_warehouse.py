@@ -54,6 +54,7 @@ def test_view_follows_the_table(spark, warehouse):
     assert [r.StoreID for r in spark.table(name).collect()] == ["1"]
     warehouse.replace(STORES, store(spark, "1", "2"))
     assert sorted(r.StoreID for r in spark.table(name).collect()) == ["1", "2"]
+    assert warehouse.preview(STORES, 1).count() == 1
 
 
 def test_failed_save_leaves_the_table_as_it_was(spark, warehouse):
