@@ -10,8 +10,9 @@ from pyspark.sql.types import StringType
 
 from martloom.session import checkpoint
 
-# A broadcast table is held by the driver and by every executor.
+# A broadcast table is held by the driver and by every executor. The session may name another limit.
 BROADCAST_BYTES = 256 * 1024 * 1024
+BROADCAST_SETTING = "spark.martloom.lookup.broadcastBytes"
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -29,7 +30,7 @@ def lookup(
     on: str,
     columns: Sequence[str],
     spread_by: str,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """``facts`` with ``columns`` of the ``dimension`` row that has the same ``on``, else NULL.
 
@@ -39,6 +40,8 @@ def lookup(
     be a stored table.
     """
     dimension = dimension.select(on, *columns)
+    if broadcast_bytes is None:
+        broadcast_bytes = int(facts.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
     if measured_bytes(dimension) <= broadcast_bytes:
         return facts.join(F.broadcast(dimension), on, "left")
     return _lookup_spread(facts, dimension, on, columns, spread_by)

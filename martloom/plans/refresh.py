@@ -118,14 +118,14 @@ def merge_into(
     load is grouped by key as well, but by shuffle partitions, which may be another number.
     """
     if warehouse.exists(spec):
-        merged = upsert(
+        rows = upsert(
             warehouse.read(spec), source, spec.key, preserve, on_duplicate, order_by, null_keys="drop"
         )
-        warehouse.replace(spec, merged, grouped=True)
+        grouped = warehouse.has_buckets(spec, warehouse.buckets)
     else:
         rows = conform(one_row_per_key(source, spec.key, on_duplicate, order_by), spec.schema)
-        partitions = int(warehouse.spark.conf.get("spark.sql.shuffle.partitions"))
-        warehouse.replace(spec, rows, grouped=partitions == warehouse.buckets)
+        grouped = warehouse.spark.conf.get("spark.sql.shuffle.partitions") == str(warehouse.buckets)
+    warehouse.replace(spec, rows, grouped)
 
 
 def read_star(warehouse: Warehouse) -> Star:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martloom.schemas import TableSpec
 
-_VERSION = "martloom.version"
+_VERSION, _BUCKETS = "martloom.version", "martloom.buckets"
 
 
 class Warehouse:
@@ -28,8 +28,9 @@ class Warehouse:
     ):
         """``root`` is the folder of the databases (default: the session's warehouse folder).
 
-        ``buckets`` is fixed for the lifetime of the tables: use at least as many as shuffle
-        partitions, and enough that one bucket of the sales fits a task.
+        Of ``buckets``, use at least as many as shuffle partitions, and enough that one bucket of
+        the sales fits a task. With another number than before, the next load of a table
+        shuffles it once.
         """
         self.spark = spark
         self.catalog = catalog
@@ -71,7 +72,7 @@ class Warehouse:
         with the bucketed table itself, so that the rows need not be shuffled again.
         """
         self.ensure_database(spec.layer)
-        current = self._current(spec)
+        current = self._property(spec, _VERSION)
         version = f"{spec.name}__{time.time_ns()}_{uuid.uuid4().hex[:8]}"
         if spec.bucketed and not grouped:
             df = df.repartition(self.buckets, spec.key)
@@ -81,7 +82,8 @@ class Warehouse:
         writer.saveAsTable(f"{self.database(spec.layer)}.{version}")
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(spec)} "
-            f"TBLPROPERTIES ('martloom.key' = '{spec.key}', '{_VERSION}' = '{version}') "
+            f"TBLPROPERTIES ('martloom.key' = '{spec.key}', '{_VERSION}' = '{version}', "
+            f"'{_BUCKETS}' = '{self.buckets if spec.bucketed else 0}') "
             f"AS SELECT * FROM {self.database(spec.layer)}.{version}"
         )
         self._drop_all_but(spec, {version, current})
@@ -90,11 +92,15 @@ class Warehouse:
         self.ensure_database(layer)
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.database(layer)}.{name} AS {sql}")
 
-    def _current(self, spec: TableSpec) -> str | None:
+    def has_buckets(self, spec: TableSpec, buckets: int) -> bool:
+        """Whether the table is there and kept in this number of buckets."""
+        return self._property(spec, _BUCKETS) == str(buckets)
+
+    def _property(self, spec: TableSpec, name: str) -> str | None:
         if not self.exists(spec):
             return None
         properties = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(spec)}").collect()
-        return {p.key: p.value for p in properties}.get(_VERSION)
+        return {p.key: p.value for p in properties}.get(name)
 
     def _drop_all_but(self, spec: TableSpec, kept: set[str | None]) -> None:
         database = self.database(spec.layer)

@@ -5,6 +5,7 @@ import uuid
 
 import pytest
 
+from martloom.operators.lookup import BROADCAST_SETTING
 from martloom.plans.refresh import read_star, refresh
 from martloom.plans.views import VIEWS, view
 from martloom.schemas import BRONZE, DIM_DATE, DIM_PRODUCT, DIM_STORE, FACT_SALES, SILVER, TABLES
@@ -125,10 +126,30 @@ def test_published_views_equal_the_frames(spark, warehouse, tmp_path):
         assert sorted(map(str, published.collect())) == sorted(map(str, frame.collect()))
 
 
-def test_more_buckets_than_shuffle_partitions(spark, tmp_path):
-    warehouse = Warehouse(spark, f"t{uuid.uuid4().hex[:8]}", str(tmp_path / "wh"), buckets=11)
+def files_per_bucket(warehouse):
+    files = [f.rsplit("_", 1)[1] for f in warehouse.read(FACT_SALES).inputFiles()]
+    return max(files.count(bucket) for bucket in files)
+
+
+def test_other_numbers_of_buckets(spark, tmp_path):
+    catalog, delivery = f"t{uuid.uuid4().hex[:8]}", samples.deliver(spark, tmp_path / "in")
+    before = None
+    for buckets in (11, 11, 8):
+        warehouse = Warehouse(spark, catalog, str(tmp_path / "wh"), buckets)
+        refresh(warehouse, delivery, RUN_1)
+        assert before in (None, rows(warehouse, FACT_SALES))
+        assert files_per_bucket(warehouse) == 1
+        before = rows(warehouse, FACT_SALES)
+
+
+def test_dimensions_too_large_to_broadcast_give_the_same_facts(spark, warehouse, tmp_path):
     delivery = samples.deliver(spark, tmp_path / "in")
     refresh(warehouse, delivery, RUN_1)
     before = rows(warehouse, FACT_SALES)
-    refresh(warehouse, delivery, RUN_2)
+    spark.conf.set(BROADCAST_SETTING, "0")
+    try:
+        refresh(warehouse, delivery, RUN_2)
+    finally:
+        spark.conf.unset(BROADCAST_SETTING)
     assert rows(warehouse, FACT_SALES) == before
+    assert files_per_bucket(warehouse) == 1
