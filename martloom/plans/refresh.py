@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
@@ -31,6 +30,7 @@ from martloom.schemas import (
     SILVER,
     TableSpec,
 )
+from martloom.session import together
 from martloom.sources.warehouse import Warehouse
 
 
@@ -95,10 +95,10 @@ def refresh(
     Running the same delivery again changes audit columns only.
     """
     order_by = order_by or {}
-    _all(lambda e: load_bronze(warehouse, e, deliveries[e], run_ts, order_by.get(e, ())), ENTITIES)
-    _all(lambda e: load_silver(warehouse, e, run_ts), ENTITIES)
+    together(lambda e: load_bronze(warehouse, e, deliveries[e], run_ts, order_by.get(e, ())), ENTITIES)
+    together(lambda e: load_silver(warehouse, e, run_ts), ENTITIES)
     load_dim_date(warehouse)
-    _all(lambda e: load_dimension(warehouse, e, run_ts), DIMENSIONS)
+    together(lambda e: load_dimension(warehouse, e, run_ts), DIMENSIONS)
     load_fact(warehouse, run_ts)
     publish_views(warehouse)
     return layer_row_counts(warehouse)
@@ -138,9 +138,3 @@ def read_star(warehouse: Warehouse) -> Star:
         promotion=warehouse.read(DIM_PROMOTION),
         maintained=True,
     )
-
-
-def _all(job, entities: Iterable[str]) -> None:
-    """Run a job for every entity; their Spark jobs share the cluster. The first error is raised."""
-    with ThreadPoolExecutor() as pool:
-        list(pool.map(job, entities))

@@ -22,7 +22,7 @@ from martloom.plans.layers import (
 )
 from martloom.plans.refresh import refresh
 from martloom.schemas import BRONZE, DIMENSIONS, ENTITIES, ENTITY_KEY, FACT_SALES
-from martloom.session import scratch_path
+from martloom.session import scratch_path, together
 from martloom.sources.csv_files import read_entity_csv
 from martloom.sources.sample_tables import sales_order, sample_delivery
 from martloom.sources.warehouse import Warehouse
@@ -71,7 +71,7 @@ class SampleRun:
 
     @cached_property
     def star(self) -> Star:
-        dims = {e: self._stored(self.dimension(e), spec.name) for e, spec in DIMENSIONS.items()}
+        dims = together(lambda e: self._stored(self.dimension(e), DIMENSIONS[e].name), DIMENSIONS)
         date = self._stored(self.dim_date(), "dim-date")
         fact = fact_rows(
             self.silver_sales, dims["stores"], dims["products"], dims["promotions"], date, FIRST_RUN
@@ -123,10 +123,13 @@ class SampleRun:
             date = self._stored(dim_date_rows(sales), "dim-date")
             return fact_rows(sales, dims["stores"], dims["products"], dims["promotions"], date, run_ts)
 
-        first_sales = self._stored(self.silver("sales", 1), "silver-sales-1")
-        second_sales = self._stored(self.silver_twice("sales"), "silver-sales-2")
-        first_dims = {e: self.dimension(e, 1) for e in DIMENSIONS}
-        second_dims = {e: self.dimension_twice(e, first_dims[e]) for e in DIMENSIONS}
+        sales = together(
+            lambda rows: self._stored(rows(), "silver-sales"),
+            (lambda: self.silver("sales", 1), lambda: self.silver_twice("sales")),
+        )
+        first_sales, second_sales = sales.values()
+        first_dims = together(lambda e: self.dimension(e, 1), DIMENSIONS)
+        second_dims = together(lambda e: self.dimension_twice(e, first_dims[e]), DIMENSIONS)
         first = fact(first_sales, first_dims, FIRST_RUN)
         second = fact(second_sales, second_dims, SECOND_RUN)
         return upsert(first, second, FACT_SALES.key, preserve=[FACT_SALES.stamp], null_keys="drop")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +24,9 @@ SETTINGS = {
 }
 
 
+Item, Result = TypeVar("Item"), TypeVar("Result")
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
@@ -53,3 +59,10 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
+
+
+def together(job: Callable[[Item], Result], items: Iterable[Item]) -> dict[Item, Result]:
+    """Run a job for every item, their Spark jobs sharing the cluster. The first error is raised."""
+    items = list(items)
+    with ThreadPoolExecutor() as pool:
+        return dict(zip(items, pool.map(job, items)))
