@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.llm import language, quality
+from martloom.llm.sample import held_out, learnable
 from martloom.llm.topk import quantised, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +23,22 @@ def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("query_id", "rank", "vec_id", "score")
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(learnable(5, 0)))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(5, 0).alias("held_out"), "lang_pred", "score")
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs.filter(learnable(5, 0)), table(spark, folder, "labels").filter(learnable(5, 0)))
+    found = quality.scored(docs, model)
+    return found.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_topk": op1_topk}
+    return {"op1_topk": op1_topk, "op2_language": op2_language, "op6_quality": op6_quality}
 
 
 OP1_SQL = """

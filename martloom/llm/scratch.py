@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from martloom.session import scratch_path
 
@@ -12,3 +13,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python a few MB at a time, however long they are (a text longer than that, alone)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
+def widened(schema: StructType, more: str) -> StructType:
+    """A schema with further columns, given as DDL."""
+    return StructType([*schema.fields, *StructType.fromDDL(more).fields])

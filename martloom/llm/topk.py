@@ -15,13 +15,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.scratch import stored
 
 _BLOCK = "ids binary, rows binary, terms binary, places binary, weights binary"
 _PARTS = ("ids", "rows", "terms", "places", "weights")
+#: Tasks among which the candidates of a query block are dealt.
+SPREAD = 32
 #: Scores held at once: so many queries by the candidates of a block.
 _SLICE = 128
 
@@ -46,7 +48,7 @@ def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
     )
 
 
-def top_k(rows: DataFrame, asks: F.Column, k: int = 5, block_rows: int = 4096) -> DataFrame:
+def top_k(rows: DataFrame, asks: Column, k: int = 5, block_rows: int = 4096) -> DataFrame:
     """The k candidates with the highest inner product for each query.
 
     ``rows``: id long, weights array<long>, the weight of each term (a shorter array lacks the last
@@ -64,13 +66,19 @@ def top_k(rows: DataFrame, asks: F.Column, k: int = 5, block_rows: int = 4096) -
         .groupBy("n")
         .applyInArrow(_pack_group, "n long, " + ", ".join(f"q_{x}" for x in _BLOCK.split(", ")))
     )
-    met = candidates.withColumn("n", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(asking_blocks - 1).cast("long")))).join(queries, "n")
+    # Each query block meets the candidates in SPREAD tasks, each candidate block every query block.
+    candidates = candidates.withColumns({"n": _numbers(asking_blocks), "part": F.pmod(F.xxhash64("ids"), F.lit(SPREAD))})
+    met = candidates.join(queries.withColumn("part", _numbers(SPREAD)), ["n", "part"])
     best = met.mapInArrow(_score(k), "query_id long, row long, vec_id long, score long")
     order = Window.partitionBy("query_id", "row").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "row", "rank", "vec_id", "score")
 
 
+def _numbers(count: int) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
+
+
 def _block(part: pa.RecordBatch | pa.Table) -> dict[str, list[bytes]]:
     """Postings sorted by term: the places in the block that hold the term, and their weights."""
     ids, rows = (np.asarray(part.column(c).to_numpy(), np.int64) for c in ("id", "row"))
