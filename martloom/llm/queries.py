@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import language, quality
+from martloom.llm import chat, language, mixing, quality
 from martloom.llm.sample import held_out, learnable
 from martloom.llm.topk import quantised, top_k
 
@@ -37,8 +37,28 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    said = "\\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, folder, "conversations").select(*columns).unionByName(added)
+    records = rows.select("conv_id", "turn", F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("payload"))
+    return chat.digests(chat.formatted(chat.canonical_turns(records)))
+
+
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixing.mixed(table(spark, folder, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_topk": op1_topk, "op2_language": op2_language, "op6_quality": op6_quality}
+    return {
+        "op1_topk": op1_topk,
+        "op2_language": op2_language,
+        "op6_quality": op6_quality,
+        "op7_chat": op7_chat,
+        "op9_mixing": op9_mixing,
+    }
 
 
 OP1_SQL = """
@@ -60,5 +80,28 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+OP7_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -7, t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(t, r)
+), sized AS (
+    SELECT *, 15
+        + length(text) + len(regexp_extract_all(text, '\\|</turn>'))
+        + coalesce(list_sum([length(x) - 2 FOR x IN regexp_extract_all(text, '#{3,}')]), 0)
+        + length(role) + len(regexp_extract_all(role, '[\\:\n]|</turn>'))
+        + coalesce(list_sum([length(x) - 2 FOR x IN regexp_extract_all(role, '#{3,}')]), 0) AS chars
+    FROM turns
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": OP1_SQL}
+    return {"op1_topk": OP1_SQL, "op7_chat": OP7_SQL}
