@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from martloom.llm.scratch import stored
 
 #: Documents balanced in one task at a time.
-BLOCK = 20_000
+BLOCK = 2_000
 #: No document is taken more often than this.
 MOST = 3
 _EPS = 1e-9
