@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import chat, language, mixing, near, quality
+from martloom.llm import chat, decontaminate, language, mixing, near, private, quality
 from martloom.llm.sample import held_out, learnable
 from martloom.llm.topk import quantised, top_k
 
@@ -30,10 +30,19 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out(5, 0).alias("held_out"), "lang_pred", "score")
 
 
+def op3_private(spark: SparkSession, folder: str) -> DataFrame:
+    return private.pseudonymised(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op4_near(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.contaminated(docs, table(spark, folder, "benchmark"))
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.fit(docs.filter(learnable(5, 0)), table(spark, folder, "labels").filter(learnable(5, 0)))
@@ -59,7 +68,9 @@ def queries() -> dict[str, Query]:
     return {
         "op1_topk": op1_topk,
         "op2_language": op2_language,
+        "op3_private": op3_private,
         "op4_near": op4_near,
+        "op5_decontaminate": op5_decontaminate,
         "op6_quality": op6_quality,
         "op7_chat": op7_chat,
         "op9_mixing": op9_mixing,
