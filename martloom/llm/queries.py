@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import chat, decontaminate, language, mixing, near, private, quality
+from martloom.llm import chat, decontaminate, language, mixing, near, private, quality, repeats
 from martloom.llm.sample import held_out, learnable
 from martloom.llm.topk import quantised, top_k
 
@@ -59,6 +59,11 @@ def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.formatted(chat.canonical_turns(records)))
 
 
+def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     found = mixing.mixed(table(spark, folder, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
@@ -73,6 +78,7 @@ def queries() -> dict[str, Query]:
         "op5_decontaminate": op5_decontaminate,
         "op6_quality": op6_quality,
         "op7_chat": op7_chat,
+        "op8_repeats": op8_repeats,
         "op9_mixing": op9_mixing,
     }
 
