@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import chat, decontaminate, language, mixing, near, private, quality, repeats
+from martloom.llm import chat, decontaminate, language, lm, mixing, near, private, quality, repeats
 from martloom.llm.sample import held_out, learnable
 from martloom.llm.topk import quantised, top_k
 
@@ -69,6 +69,12 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_katz(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", held_out(7, 2).alias("held_out"), "text")
+    found = lm.scored(docs, learnable(7, 2))
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_topk": op1_topk,
@@ -80,6 +86,7 @@ def queries() -> dict[str, Query]:
         "op7_chat": op7_chat,
         "op8_repeats": op8_repeats,
         "op9_mixing": op9_mixing,
+        "op10_katz": op10_katz,
     }
 
 
