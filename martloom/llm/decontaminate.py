@@ -19,6 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,45 +157,75 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     are null or without words match nothing; equal items match each on its own; an item of fewer than
     five words is one shingle.  Columns named like the new ones are replaced.
     """
-    spark = docs.sparkSession
+    docs = docs.drop("item_id", "first_word", "n_words", "similarity")
+    schema = widened(docs.drop("text").schema, "item_id long, first_word int, n_words int, similarity double")
+    found = docs.sparkSession.createDataFrame([], schema)
+    for items in _parts(benchmark, radius, blocks):
+        found = found.unionByName(docs.mapInArrow(_search(items, similarity), schema))
+    return found
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, in the sense of ``contaminated``."""
+    for items in _parts(benchmark, radius, blocks):
+        docs = docs.mapInArrow(_without(items, similarity), docs.schema)
+    return docs
+
+
+def _parts(benchmark: DataFrame, radius: int, blocks: int) -> Iterator[Broadcast]:
+    """Tables of the benchmark's items, of a bounded size each, for every task."""
+    spark = benchmark.sparkSession
     small_batches(spark)
     items = benchmark.filter("text IS NOT NULL").select("item_id", "text")
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     parts = -(-size // PART_BYTES)
-    docs = docs.drop("item_id", "first_word", "n_words", "similarity")
-    schema = widened(docs.drop("text").schema, "item_id long, first_word int, n_words int, similarity double")
-    found = spark.createDataFrame([], schema)
     for part in range(parts):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").toArrow()
         tables = Items(rows.column("item_id").to_pylist(), rows.column("text").to_pylist(), radius, blocks)
-        found = found.unionByName(docs.mapInArrow(_search(spark.sparkContext.broadcast(tables), similarity), schema))
-    return found
+        yield spark.sparkContext.broadcast(tables)
 
 
-def _search(shared, similarity: float):
+def _hits(part: pa.RecordBatch, items: Items, similarity: float) -> list[tuple]:
+    """Row and match, for each match in the texts of a batch."""
+    found = words(pc.utf8_lower(part.column("text")))
+    touched = set()
+    for size, values in items.known.items():  # rows with a shingle of some item
+        hashes, rows, _ = shingles(found, size)
+        if len(hashes):
+            hit = values[np.minimum(np.searchsorted(values, hashes), len(values) - 1)] == hashes
+            touched.update(rows[hit].tolist())
+    return [
+        (row, *match)
+        for row in sorted(touched)
+        for match in matches_in(found.hash[found.first[row] : found.first[row + 1]], items, similarity)
+    ]
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            yield batch.slice(at, 500)
+
+
+def _search(shared: Broadcast, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = shared.value
-        known = {size: x for size, x in items.known.items()}
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                found = words(pc.utf8_lower(part.column("text")))
-                touched = set()
-                for size, values in known.items():  # rows with a shingle of some item
-                    hashes, rows, _ = shingles(found, size)
-                    if len(hashes):
-                        hit = values[np.minimum(np.searchsorted(values, hashes), len(values) - 1)] == hashes
-                        touched.update(rows[hit].tolist())
-                hits = [
-                    (row, *match)
-                    for row in sorted(touched)
-                    for match in matches_in(found.hash[found.first[row] : found.first[row + 1]], items, similarity)
-                ]
-                if not hits:
-                    continue
+        for part in _slices(batches):
+            hits = _hits(part, shared.value, similarity)
+            if hits:
                 row, item, first, length, value = zip(*hits)
                 kept = part.drop_columns(["text"]).take(pa.array(row, pa.int64()))
-                new = [pa.array(items.ids[list(item)]), pa.array(first, pa.int32()), pa.array(length, pa.int32()), pa.array(value)]
+                ids = shared.value.ids[list(item)]
+                new = [pa.array(ids), pa.array(first, pa.int32()), pa.array(length, pa.int32()), pa.array(value, pa.float64())]
                 yield pa.RecordBatch.from_arrays([*kept.columns, *new], [*kept.schema.names, "item_id", "first_word", "n_words", "similarity"])
 
     return run
+
+
+def _without(shared: Broadcast, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            keep = np.ones(part.num_rows, bool)
+            keep[[row for row, *_ in _hits(part, shared.value, similarity)]] = False
+            yield part.filter(pa.array(keep))
+
+    return run

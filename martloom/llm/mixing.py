@@ -56,36 +56,57 @@ def targets(sizes: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """How often the mix takes each row of ``docs`` (doc_id, text, source; further columns are ignored).
 
-    Returns doc_id, source, key (a hash of the text), size, source_size, target, copies, taken (size
-    times copies), one row for each row of ``docs``.  Rows alike in doc_id, source and text are drawn
-    as one group; rows without text have size 0; doc_id and source may be null.  An empty table gives
-    an empty mix, a source without words gives nothing.  Draws depend on the values of the rows alone,
-    so reruns agree.
+    Returns doc_id, source, size, source_size, target, copies and taken (size times copies), one row for
+    each row of ``docs``.  Rows alike in doc_id, source and text are drawn as one group, whose copies they
+    share as evenly as can be; rows without text have size 0; doc_id and source may be null.  An empty
+    table gives an empty mix, a source without words gives nothing.  Draws depend on the values of the
+    rows alone, so reruns agree.
     """
-    groups = docs.select("doc_id", "source", F.xxhash64("text").alias("key"), n_words(F.col("text")).alias("size"))
-    units = stored(groups.groupBy("doc_id", "source", "key", "size").agg(F.count("*").alias("n")), "mix-units")
-    goals = stored(targets(units), "mix-targets")
+    rows = _drawn(docs, block).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    return rows.select("doc_id", "source", "size", "source_size", "target", _copies(F.col("i")).alias("copies")).withColumn("taken", F.col("size") * F.col("copies"))
+
+
+def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with ``copies``, how often (a column of that name is replaced)."""
+    docs = docs.drop("copies").withColumn("_unit", _unit())
+    drawn = _drawn(docs, block).select(F.col("unit").alias("_unit"), "n", "times")
+    i = F.row_number().over(Window.partitionBy("_unit").orderBy("_unit"))
+    joined = docs.join(drawn, "_unit").withColumn("_i", i)
+    return joined.withColumn("copies", _copies(F.col("_i"))).filter("copies > 0").drop("_unit", "n", "times", "_i")
+
+
+def _unit() -> Column:
+    """Rows alike in doc_id, source and text have the same."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x01")) for c in ("doc_id", "source", "text")]
+    return F.unhex(F.md5(F.concat_ws("\x02", *parts)))
+
+
+def _copies(i: Column) -> Column:
+    """Of the i-th of n rows alike, which are taken so many times together."""
+    return (F.floor(F.col("times") / F.col("n")) + (i <= F.col("times") % F.col("n")).cast("long")).cast("long")
+
+
+def _drawn(docs: DataFrame, block: int) -> DataFrame:
+    """Groups of n rows alike: unit, doc_id, source, size, n, source_size, target, times."""
+    groups = docs.select(_unit().alias("unit"), "doc_id", "source", n_words(F.col("text")).alias("size"))
+    units = stored(groups.groupBy("unit", "doc_id", "source", "size").agg(F.count("*").alias("n")), "mix-units")
+    goals = stored(targets(units), "mix-targets").withColumnRenamed("source", "_of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    joined = units.join(goals, units["source"].eqNullSafe(goals["source"])).drop(goals["source"])
+    joined = units.join(goals, F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
     # Of n rows alike, the whole part of n * rate is taken for sure; the rest is drawn.
     sure = F.floor(F.col("n") * rate + _EPS)
     chances = joined.withColumns(
         {
             "sure": sure,
             "p": F.greatest(F.col("n") * rate - sure, F.lit(0.0)),
-            "order": F.xxhash64("doc_id", "source", "key", "size"),
+            "order": F.xxhash64("unit"),
             "blocks": F.ceil(F.col("source_units") / block).cast("long"),
         }
     )
     part = F.pmod(F.xxhash64("order"), F.col("blocks"))
-    taken = chances.withColumn("part", part).groupBy("source", "part").applyInArrow(_draw(chances.columns), chances.schema)
-    # The rows of a group share its copies as evenly as can be.
-    times = F.col("sure") + F.col("p").cast("long")
-    rows = taken.withColumn("times", times).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-    copies = (F.floor(F.col("times") / F.col("n")) + (F.col("i") <= F.col("times") % F.col("n")).cast("long")).cast("long")
-    return rows.select(
-        "doc_id", "source", "key", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
-    )
+    drawn = chances.withColumn("part", part).groupBy("source", "part").applyInArrow(_draw(chances.columns), chances.schema)
+    times = (F.col("sure") + F.col("p").cast("long")).alias("times")
+    return drawn.select("unit", "doc_id", "source", "size", "n", "source_size", "target", times)
 
 
 def _draw(columns: list[str]):

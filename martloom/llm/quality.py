@@ -190,18 +190,18 @@ def _vectors(rows: DataFrame) -> np.ndarray:
     return x[np.lexsort(x.T)]  # the same order whichever task was first
 
 
-def scored(texts: DataFrame, model: Model) -> DataFrame:
-    """Adds ``score`` (0 to 1, higher is better) from the whole of ``text`` alone; other columns stay.
+def scored(texts: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """Adds a score (0 to 1, higher is better) from the whole of ``text`` alone; other columns stay.
 
-    Null and empty texts get the score of a text without any character.  A column of that name is
+    Null and empty texts get the score of a text without any character.  A column of the name added is
     replaced.
     """
     small_batches(texts.sparkSession)
-    texts = texts.drop("score")
+    texts = texts.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             said = pa.array(model.score(features(batch.column("text"))), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, said], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, said], [*batch.schema.names, name])
 
-    return texts.mapInArrow(run, widened(texts.schema, "score double"))
+    return texts.mapInArrow(run, widened(texts.schema, f"{name} double"))

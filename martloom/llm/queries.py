@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from martloom.llm import chat, decontaminate, language, lm, mixing, near, private, quality, repeats
 from martloom.llm.sample import held_out, learnable
 from martloom.llm.topk import quantised, top_k
@@ -87,6 +88,7 @@ def queries() -> dict[str, Query]:
         "op8_repeats": op8_repeats,
         "op9_mixing": op9_mixing,
         "op10_katz": op10_katz,
+        "pipeline": corpus_pipeline.run,
     }
 
 
