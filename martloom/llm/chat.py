@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.scratch import small_batches, widened
+from martloom.llm.scratch import prepare, widened
 
 
 @dataclass(frozen=True)
@@ -107,7 +107,7 @@ def canonical_turns(records: DataFrame, payload: str = "payload") -> DataFrame:
     are null, so that it can be found and its layout declared.  Null texts and roles are empty.  A
     record without turns gives none.
     """
-    small_batches(records.sparkSession)
+    prepare(records.sparkSession)
     added = "layout string, fingerprint string, seq int, role string, text string"
     rest = records.drop("layout", "fingerprint", "seq", "role", "text")
 
@@ -195,7 +195,7 @@ def digests(pieces: DataFrame) -> DataFrame:
     at a time, so the length of a conversation is not bounded by memory; but a hash follows the order
     of the text, and so one conversation is read in one task.
     """
-    small_batches(pieces.sparkSession)
+    prepare(pieces.sparkSession)
     ordered = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

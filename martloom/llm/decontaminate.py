@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.arrow import Words, mix64, shingles, words
-from martloom.llm.scratch import small_batches, widened
+from martloom.llm.scratch import prepare, widened
 
 _U = np.uint64
 SIZE, SIMILARITY = 5, 0.8
@@ -175,7 +175,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
 def _parts(benchmark: DataFrame, radius: int, blocks: int) -> Iterator[Broadcast]:
     """Tables of the benchmark's items, of a bounded size each, for every task."""
     spark = benchmark.sparkSession
-    small_batches(spark)
+    prepare(spark)
     items = benchmark.filter("text IS NOT NULL").select("item_id", "text")
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     parts = -(-size // PART_BYTES)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.sample import bounded
-from martloom.llm.scratch import small_batches, widened
+from martloom.llm.scratch import prepare, widened
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Cost of what a language lacks: as if it occurred once in ten million.
@@ -51,7 +51,7 @@ def fit(
     frequent words and, for each length up to ``longest``, the ``grams`` most frequent n-grams are
     kept (ties by code point).  So the model, which every task gets, has a bounded size.
     """
-    small_batches(texts.sparkSession)
+    prepare(texts.sparkSession)
     rows = bounded(texts.filter("text IS NOT NULL AND lang IS NOT NULL"), fit_rows, "doc_id", "text")
     counted = (
         rows.select("lang", "text")
@@ -145,7 +145,7 @@ def identify(texts: DataFrame, model: Model) -> DataFrame:
     ``und`` with score 0: the text is null, empty or has no letter, or nothing was learned.  Columns
     of the names added are replaced.
     """
-    small_batches(texts.sparkSession)
+    prepare(texts.sparkSession)
     texts = texts.drop("lang_pred", "score")
     shared = texts.sparkSession.sparkContext.broadcast(model)
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from martloom.llm.arrow import mix64, words
-from martloom.llm.scratch import scratch_path, small_batches, stored, widened
+from martloom.llm.scratch import scratch_path, prepare, stored, widened
 
 _U = np.uint64
 START, END = _U(0x5BF03635F0935AD1), _U(0x1F83D9ABFB41BD6B)
@@ -358,7 +358,7 @@ def _pack_words(bits: int):
 def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
     """Learn from the rows of ``docs`` marked train; returns the model, the blocks, and what each block was told."""
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare(spark)
     path = scratch_path(spark, "lm-blocks")
     made = _blocks(docs)
     made.write.option("compression", "zstd").parquet(path)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.scratch import stored
+from martloom.llm.scratch import prepare, stored
 
 #: Documents balanced in one task at a time.
 BLOCK = 2_000
@@ -88,6 +88,7 @@ def _copies(i: Column) -> Column:
 
 def _drawn(docs: DataFrame, block: int) -> DataFrame:
     """Groups of n rows alike: unit, doc_id, source, size, n, source_size, target, times."""
+    prepare(docs.sparkSession)
     groups = docs.select(_unit().alias("unit"), "doc_id", "source", n_words(F.col("text")).alias("size"))
     units = stored(groups.groupBy("unit", "doc_id", "source", "size").agg(F.count("*").alias("n")), "mix-units")
     goals = stored(targets(units), "mix-targets").withColumnRenamed("source", "_of")

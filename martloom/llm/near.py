@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.arrow import mix64, shingles, words
 from martloom.llm.components import components
-from martloom.llm.scratch import small_batches, stored
+from martloom.llm.scratch import prepare, stored
 
 _U = np.uint64
 SIZE, SIMILARITY = 5, 0.8
@@ -121,7 +121,7 @@ def similar_keys(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
 
     Every pair of texts that shares a band either is compared exactly or is already in one class.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     texts = docs.filter("text IS NOT NULL").select(text_key().alias("key"), "text")
     signed = texts.mapInArrow(_bands(bands, width), "key binary, bands array<long>").dropDuplicates(["key"])
     buckets = signed.select("key", F.explode("bands").alias("bucket"))
@@ -151,7 +151,9 @@ def _sharing_rare(texts: DataFrame, apart: DataFrame, similarity: float) -> Data
     """Pairs of texts of different classes that can be similar enough: none that is gets lost.
 
     Of n runs, similar texts share at least ``similarity * n``.  In any order of all runs, then, one of
-    the first ``n - similarity * n + 1`` of each is shared; the order taken is from rare to common.
+    the first ``n - similarity * n + 1`` of each is shared; the order taken is from rare to common.  At
+    the first run that two texts share, what stands before it in either is not shared, and the rest must
+    be enough; where it is not, the pair is not formed at that run.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,15 +172,16 @@ def _sharing_rare(texts: DataFrame, apart: DataFrame, similarity: float) -> Data
     order = Window.partitionBy("key").orderBy("n", "unit")
     first = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1
     ranked = units.join(often, "unit").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= first)
-    rare = ranked.filter("low < high").select("unit", "key", "class")
-    other = rare.select("unit", F.col("key").alias("b"), F.col("class").alias("b_class"))
-    met = rare.withColumnRenamed("key", "a").join(other, "unit").filter("class < b_class")
+    rare = ranked.filter("low < high").select("unit", F.col("key").alias("a"), "class", "size", (F.col("size") - F.col("rank")).alias("rest"))
+    other = rare.toDF("unit", "b", "b_class", "b_size", "b_rest")
+    needed = F.ceil((F.col("size") + F.col("b_size")) * (similarity / (1 + similarity)) - 1e-9)
+    met = rare.join(other, "unit").filter(F.col("class") < F.col("b_class")).filter(1 + F.least("rest", "b_rest") >= needed)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose exact similarity is high enough."""
-    small_batches(pairs.sparkSession)
+    prepare(pairs.sparkSession)
     a, b = (texts.select(F.col("key").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.entities import SUSPICIOUS, found, replaced, surrogate
-from martloom.llm.scratch import small_batches, stored, widened
+from martloom.llm.scratch import prepare, stored, widened
 
 _ENTITY = "array<struct<kind:string,value:string>>"
 
@@ -27,7 +27,7 @@ def pseudonymised(docs: DataFrame, key: bytes = b"martloom") -> DataFrame:
     data stay as they are, both with 0.  doc_id may be null or repeat.  Whoever has the key can repeat
     the choice but not reverse it; keep it secret and the same for corpora that belong together.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.drop("n_entities")
     maybe = F.coalesce(F.col("text").rlike(SUSPICIOUS), F.lit(False))
     searched = docs.filter(maybe).mapInArrow(_search, widened(docs.schema, f"_entities {_ENTITY}"))

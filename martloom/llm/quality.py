@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.arrow import utf8, words
 from martloom.llm.sample import bounded
-from martloom.llm.scratch import small_batches, widened
+from martloom.llm.scratch import prepare, widened
 
 #: Kinds of bytes whose shares are features.
 KINDS = {
@@ -169,7 +169,7 @@ def fit(texts: DataFrame, labels: DataFrame, fit_rows: int = 20_000) -> Model:
     are none, all documents.  At most about ``fit_rows`` of each are learned from, in whole; only
     their feature vectors reach the driver.
     """
-    small_batches(texts.sparkSession)
+    prepare(texts.sparkSession)
     marked = labels.groupBy("doc_id").agg(F.min("quality").alias("_quality"))
     joined = texts.select("doc_id", "text").join(marked, "doc_id", "left")
     positive = _vectors(bounded(joined.filter("_quality = 1"), fit_rows, "doc_id"))
@@ -196,7 +196,7 @@ def scored(texts: DataFrame, model: Model, name: str = "score") -> DataFrame:
     Null and empty texts get the score of a text without any character.  A column of the name added is
     replaced.
     """
-    small_batches(texts.sparkSession)
+    prepare(texts.sparkSession)
     texts = texts.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

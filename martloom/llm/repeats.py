@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.arrow import _BYTE, mix64, powers, utf8
-from martloom.llm.scratch import small_batches, stored, widened
+from martloom.llm.scratch import prepare, stored, widened
 from martloom.llm.suffixes import ordered
 
 _U = np.uint64
@@ -284,7 +284,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.drop("n_bytes", "n_removed", "n_spans", "kept")
     texts = docs.filter(F.octet_length("text") >= length).select(text_key().alias("key"), "text")
     grams = stored(texts.mapInArrow(_grams(length), "key binary, grams array<long>, times array<long>").dropDuplicates(["key"]), "repeats-grams")

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -15,10 +20,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Hand texts to Python a few MB at a time, however long they are (a text longer than that, alone)."""
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make a session ready for this package's Python tasks.
+
+    Texts are handed to Python a few MB at a time, however long they are (a text longer than that, alone).
+    Where the package was merely put on the driver's path, it is sent to the tasks, as --py-files would.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    root, context = Path(__file__).resolve().parents[2], spark.sparkContext
+    known = str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if known or not root.is_dir() or context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    path = f"{tempfile.mkdtemp(prefix='martloom-code-')}/martloom.zip"  # Spark's file server reads it as long as it runs
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted((root / "martloom").rglob("*.py")):
+            archive.write(file, file.relative_to(root))
+    context.addPyFile(path)
 
 
 def widened(schema: StructType, more: str) -> StructType:

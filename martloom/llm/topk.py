@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.scratch import stored
+from martloom.llm.scratch import prepare, stored
 
 _BLOCK = "ids binary, rows binary, terms binary, places binary, weights binary"
 _PARTS = ("ids", "rows", "terms", "places", "weights")
@@ -57,6 +57,7 @@ def top_k(rows: DataFrame, asks: Column, k: int = 5, block_rows: int = 4096) ->
     Ties go to the smaller id.  Returns query_id, row (a number of the query row), rank from 1,
     vec_id, score; an empty table gives an empty result.  A product beyond a long becomes its end.
     """
+    prepare(rows.sparkSession)
     numbered = stored(rows.select("id", "weights", asks.alias("ask"), F.monotonically_increasing_id().alias("row")), "topk-rows")
     candidates = numbered.select("id", "row", "weights").mapInArrow(_pack(block_rows), _BLOCK)
     asking = numbered.filter("ask").select("id", "row", "weights")

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from martloom.llm import decontaminate as d
+
+DOCS, ITEMS = "doc_id long, text string, item_id string", "item_id long, text string, doc_id string"
+
+
+def runs(words: list[str], size: int) -> Counter:
+    return Counter(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+
+
+def brute(docs: list, items: list) -> set:
+    found = set()
+    for i, text in docs:
+        words = (text or "").lower().split()
+        for n, item in items:
+            want = (item or "").lower().split()
+            size, best = min(5, len(want)), 0.0
+            for at in range(len(words) - len(want) + 1) if want else ():
+                a, b = runs(words[at : at + len(want)], size), runs(want, size)
+                smaller = sum((a & b).values())
+                best = max(best, smaller / (sum(a.values()) + sum(b.values()) - smaller))
+            if best >= 0.8:
+                found.add((i, n, round(best, 9)))
+    return found
+
+
+@pytest.fixture(scope="module")
+def case():
+    random.seed(4)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(random.choices(vocabulary, k=random.choice([2, 4, 5, 20, 40, 70])))) for i in range(30)]
+    items += [(30, None), (31, ""), (32, items[0][1]), (None, "an item without id at all")]
+    docs: list = [(0, None), (1, ""), (2, "w1"), (None, "w1 w2 AN ITEM WITHOUT ID AT ALL w3")]
+    for i in range(3, 60):
+        words = random.choices(vocabulary, k=random.randrange(100))
+        part = random.choice(items[:30])[1].upper().split()
+        for _ in range(random.choice([0, 0, 1, 2])):
+            part[random.randrange(len(part))] = "edit"
+        at = random.randrange(len(words) + 1)
+        docs.append((i, " ".join(words[:at] + part * random.choice([0, 1, 2]) + words[at:])))
+    docs.append((60, "w5 " * 100_000 + items[25][1]))
+    return docs, items
+
+
+def test_as_brute_force(spark, case):
+    docs, items = case
+    frames = spark.createDataFrame([(*x, "old") for x in docs], DOCS), spark.createDataFrame([(*x, None) for x in items], ITEMS)
+    found = d.contaminated(*frames)
+    assert found.columns == ["doc_id", "item_id", "first_word", "n_words", "similarity"]
+    want = brute(docs[:-1], items) | brute([(60, " ".join(["w5"] * 80 + items[25][1].split()))], items)
+    assert {(r.doc_id, r.item_id, round(r.similarity, 9)) for r in found.collect()} == want
+    kept = d.clean(*frames)
+    assert kept.columns == frames[0].columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in docs if i is not None and i not in {x for x, _, _ in want})
+
+
+def test_a_benchmark_in_parts_gives_the_same(spark, case, monkeypatch):
+    docs, items = case
+    frames = spark.createDataFrame([(*x, "old") for x in docs], DOCS), spark.createDataFrame([(*x, None) for x in items], ITEMS)
+    once = sorted(map(str, d.contaminated(*frames).collect()))
+    monkeypatch.setattr(d, "PART_BYTES", 1500)
+    assert sorted(map(str, d.contaminated(*frames).collect())) == once
+
+
+def test_blocks_find_every_print_within_the_radius():
+    random_ = np.random.default_rng(0)
+    prints = random_.integers(0, 2**64, 50, dtype=np.uint64)
+    tables = d._block_tables(prints, d.RADIUS, d.BLOCKS)
+    width = 64 // d.BLOCKS
+    for p in prints:
+        for _ in range(40):
+            bits = random_.choice(64, d.RADIUS, replace=False)
+            other = int(p) ^ sum(1 << int(b) for b in bits)
+            assert any(t[(other >> k * width) & (2**width - 1)] for k, t in enumerate(tables))
+
+
+def test_empty(spark):
+    docs, items = spark.createDataFrame([(1, "a", "b")], DOCS), spark.createDataFrame([], ITEMS)
+    assert d.contaminated(docs, items).count() == 0 and d.clean(docs, items).count() == 1
+    assert d.contaminated(docs.limit(0), spark.createDataFrame([(1, "a", None)], ITEMS)).count() == 0

@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from martloom.llm import entities, private
+from martloom.llm.entities import found, luhn, surrogate
+
+SCHEMA = "doc_id long, text string, n_entities string, kind string"
+
+
+def kinds(text: str) -> list[tuple[str, str]]:
+    return [(e.kind, text[e.start : e.end]) for e in found(text)]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("mail und.34@mail7.example.com now.", [("email", "und.34@mail7.example.com")]),
+        ("call +1 (017) 555-7713 or 017-555-7713", [("phone", "+1 (017) 555-7713"), ("phone", "017-555-7713")]),
+        ("at 97.51.17.173.", [("ip", "97.51.17.173")]),
+        ("card 9807915762804490, 4111 1111 1111 1111", [("card", "9807915762804490"), ("card", "4111 1111 1111 1111")]),
+        ('token = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8"', [("token", "9b0b3c6a43eb78aa99cbd7049c572391524f37a8")]),
+        ("GB82 WEST 1234 5698 7654 32 but not GB83 WEST 1234 5698 7654 32", [("iban", "GB82 WEST 1234 5698 7654 32")]),
+        ("123-45-6789", [("ssn", "123-45-6789")]),
+        ("Dear Anna Lopez, Mr. Smith and Lopez met Herr Meier", [("given", "Anna"), ("surname", "Lopez"), ("surname", "Smith"), ("surname", "Lopez"), ("surname", "Meier")]),
+        ("Ольга Иванова", [("given", "Ольга"), ("surname", "Иванова")]),
+        ("On 2024-01-15 at 10:30 we sold 1,000 of v1.2 for 12.50. The Paul. Das Haus", []),
+        ("", []),
+    ],
+)
+def test_what_is_found(text, expected):
+    assert kinds(text) == expected
+    assert bool(expected) <= bool(re.search(entities.SUSPICIOUS.replace(r"\p{Lu}", "[A-ZА-Я]").replace(r"\p{L}", r"[^\W\d_]").replace("(?i)", ""), text))
+
+
+def test_surrogates_keep_kind_gender_script_and_format():
+    def new(text: str) -> str:
+        held = found(text)
+        return entities.replaced(text, held, {(e.kind, e.value): surrogate(e.kind, e.value, b"k", 0) for e in held})
+
+    text = "Mrs. Anna LOPEZ (anna.l9@web.de), Frau Lopez, +49 (030) 123 4567, 4111-1111-1111-1111. Ольга Иванова, господин Иванов."
+    out = new(text)
+    assert out == new(text)
+    assert re.fullmatch(r"Mrs\. [A-Z][a-z]+(a|ine|elle) [A-Z]+ \([a-z]{4}\.[a-z]\d@[a-z]{3}\.example\.com\), Frau [A-Z][a-z]+, \+\d\d \(\d{3}\) \d{3} \d{4}, 4\d{3}-\d{4}-\d{4}-\d{4}\. [А-Я][а-я]+(а|ия) [А-Я][а-я]+а, господин [А-Я][а-я]+\.", out)
+    latin = re.findall(r"Mrs\. \w+ (\w+)|Frau (\w+)", out)
+    assert latin[0][0].lower() == latin[1][1].lower()
+    russian = re.search(r"([А-Я][а-я]+)а, господин ([А-Я][а-я]+)\.", out)
+    assert russian[1] == russian[2]
+    assert luhn(re.search(r"4\d{3}(?:-\d{4}){3}", out)[0].replace("-", ""))
+    assert entities._mod97(surrogate("iban", "GB82WEST12345698765432", b"k", 0)) == 1
+    assert surrogate("phone", "0175557713", b"k", 0) != surrogate("phone", "0175557713", b"other", 0)
+
+
+def test_one_surrogate_for_each_entity_over_the_corpus(spark):
+    rows = [(i, f"user{i % 50}@mail.example.com called 10.0.{i % 30}.{i % 7}", "old", "x") for i in range(200)]
+    rows += [(None, "user3@mail.example.com", None, None), (None, None, None, None), (1, "", None, None), (2, "Nothing here. At all", None, "y"), (2, "Nothing here. At all", None, "y")]
+    rows += [(300, "x " * 200_000 + "user3@mail.example.com", None, None)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    out = private.pseudonymised(frame)
+    assert sorted(out.columns) == ["doc_id", "kind", "n_entities", "text"]
+    got = out.collect()
+    assert len(got) == len(rows)
+    real = set(re.findall(r"\S+@\S+|\d+\.\d+\.\d+\.\d+", " ".join(t for _, t, *_ in rows if t)))
+    fake = set(re.findall(r"\S+@\S+|\d+\.\d+\.\d+\.\d+", " ".join(r.text for r in got if r.text)))
+    assert not real & fake and len(real) == len(fake)
+    clean = sorted((r.doc_id or 0, r.text or "-", r.kind) for r in got if r.n_entities == 0)
+    assert clean == [(0, "-", None), (1, "", None), (2, "Nothing here. At all", "y"), (2, "Nothing here. At all", "y")]
+    names = {r.text.split()[0] for r in got if r.text and (r.doc_id or 0) % 50 == 3 and "called" in r.text}
+    assert names == {r.text for r in got if r.doc_id is None and r.text} == {next(r for r in got if r.doc_id == 300).text.split()[-1]}
+
+
+def test_meeting_surrogates_are_told_apart(spark, monkeypatch):
+    pairs = [("ip", f"1.1.1.{i}") for i in range(20)]
+    monkeypatch.setattr(private, "surrogate", lambda kind, value, key, attempt: f"1.1.1.{int(value[6:]) // 2 + 15 * attempt}")
+    found = {r.value: r.surrogate for r in private.assigned(spark.createDataFrame(pairs, "kind string, value string"), b"k").collect()}
+    assert set(found) == {v for _, v in pairs}
+    assert len(set(found.values())) == 20 and not set(found.values()) & set(found)
+
+
+def test_empty(spark):
+    assert private.pseudonymised(spark.createDataFrame([], SCHEMA)).count() == 0
