@@ -40,7 +40,7 @@ class Items:
     def __init__(self, ids: list[int], texts: list[str], radius: int, blocks: int):
         found = words(pc.utf8_lower(pa.array(texts, pa.string())))
         self.length = np.diff(found.first)
-        self.ids, self.radius, self.blocks = np.array(ids, np.int64), radius, blocks
+        self.ids, self.radius, self.blocks = pa.array(ids, pa.int64()), radius, blocks
         self.shingles = [_counted(found.hash[found.first[i] : found.first[i + 1]]) for i in range(len(texts))]
         self.prints = np.array([fingerprint(*x) for x in self.shingles], _U)
         self.known = {}
@@ -214,8 +214,7 @@ def _search(shared: Broadcast, similarity: float):
             if hits:
                 row, item, first, length, value = zip(*hits)
                 kept = part.drop_columns(["text"]).take(pa.array(row, pa.int64()))
-                ids = shared.value.ids[list(item)]
-                new = [pa.array(ids), pa.array(first, pa.int32()), pa.array(length, pa.int32()), pa.array(value, pa.float64())]
+                new = [shared.value.ids.take(pa.array(item, pa.int64())), pa.array(first, pa.int32()), pa.array(length, pa.int32()), pa.array(value, pa.float64())]
                 yield pa.RecordBatch.from_arrays([*kept.columns, *new], [*kept.schema.names, "item_id", "first_word", "n_words", "similarity"])
 
     return run

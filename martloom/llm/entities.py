@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 # Given names by gender and script, titles by gender.
 MALE = "james john robert michael william david richard thomas daniel paul mark george peter hans klaus jürgen wolfgang stefan pierre jean jacques philippe luc carlos josé juan miguel pedro luis иван сергей алексей дмитрий николай андрей михаил"
-FEMALE = "mary patricia jennifer linda elizabeth barbara susan sarah karen emma alice julia ingrid ursula sabine monika marie claire sophie camille maría carmen lucía isabel elena ольга татьяна наталья ирина светлана мария екатерина"
+FEMALE = "mary patricia jennifer linda elizabeth barbara susan sarah karen emma alice julia anna ingrid ursula sabine monika marie claire sophie camille maría carmen lucía isabel elena ольга татьяна наталья ирина светлана мария екатерина"
 TITLES = {
     "m": ("Mr", "Herr", "Señor", "Monsieur", "Господин", "господин"),
     "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "Mme", "Госпожа", "госпожа"),

@@ -38,7 +38,7 @@ class Model:
 
 
 def grams_of(word: str, size: int) -> list[str]:
-    framed = f" {word} "
+    framed = f" {word} " if size > 1 else word
     return [framed[i : i + size] for i in range(len(framed) - size + 1)]
 
 

@@ -26,11 +26,13 @@ _shipped: set[str] = set()
 def prepare(spark: SparkSession) -> None:
     """Make a session ready for this package's Python tasks.
 
-    Texts are handed to Python a few MB at a time, however long they are (a text longer than that, alone).
+    Texts are read and handed to Python a few MB at a time, however long they are (a text longer than
+    that, alone).
     Where the package was merely put on the driver's path, it is sent to the tasks, as --py-files would.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "512")
     root, context = Path(__file__).resolve().parents[2], spark.sparkContext
     known = str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep)
     if known or not root.is_dir() or context.applicationId in _shipped:
