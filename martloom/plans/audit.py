@@ -38,3 +38,16 @@ def key_report(entities: Mapping[str, DataFrame]) -> DataFrame:
         for entity, rows in entities.items()
     )
     return reduce(DataFrame.unionByName, violations)
+
+
+def rejected_rows(deliveries: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows delivered, and those of them without a key, which stay out of bronze; one scan each."""
+    counts = (
+        rows.agg(
+            F.lit(entity).alias("table_name"),
+            F.count("*").alias("delivered_rows"),
+            F.count_if(F.col(ENTITY_KEY[entity]).isNull()).alias("rejected_rows"),
+        )
+        for entity, rows in deliveries.items()
+    )
+    return reduce(DataFrame.unionByName, counts)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.calendar import date_attributes, date_spine
-from martloom.operators.lookup import lookup
+from martloom.operators.lookup import Lookup, lookups
 from martloom.operators.quality import quality_filter, rules_for
 from martloom.schemas import BRONZE, DIMENSIONS, FACT_SALES, SILVER, TableSpec
 
@@ -19,8 +19,7 @@ NO_PROMOTION = -1
 @dataclass(frozen=True)
 class Star:
     """The gold tables. ``maintained`` states what holds when they are kept by this library: no
-    TransactionID repeats in ``fact``, and its keys are NULL or found in their dimension (but for
-    the key of no promotion)."""
+    TransactionID repeats in ``fact``."""
 
     fact: DataFrame
     date: DataFrame
@@ -68,14 +67,16 @@ def fact_rows(
     run_ts: str | None = None,
 ) -> DataFrame:
     """Sales with the surrogate keys of their store, product, promotion and day."""
-    found = silver_sales
-    for dimension, business_key, surrogate in (
-        (store, "StoreID", "StoreKey"),
-        (product, "ProductID", "ProductKey"),
-        (promotion, "PromotionID", "PromotionKey"),
-        (date, "Date", "DateKey"),
-    ):
-        found = lookup(found, dimension, business_key, [surrogate], spread_by="TransactionID")
+    found = lookups(
+        silver_sales,
+        [
+            Lookup(store, "StoreID", ["StoreKey"]),
+            Lookup(product, "ProductID", ["ProductKey"]),
+            Lookup(promotion, "PromotionID", ["PromotionKey"]),
+            Lookup(date, "Date", ["DateKey"]),
+        ],
+        spread_by="TransactionID",
+    )
     return found.withColumns(
         {
             "PromotionKey": F.coalesce("PromotionKey", F.lit(NO_PROMOTION)),
@@ -86,19 +87,25 @@ def fact_rows(
 
 def star_rows(star: Star) -> DataFrame:
     """Every sale with a describing column of each of its dimensions."""
-    rows = star.fact
-    for dimension, key, text in (
-        (star.date, "DateKey", "Date"),
-        (star.store, "StoreKey", "StoreName"),
-        (star.product, "ProductKey", "ProductName"),
-        (star.promotion, "PromotionKey", "PromotionType"),
-    ):
-        rows = lookup(rows, dimension, key, [text], spread_by="TransactionID")
+    rows = lookups(
+        star.fact,
+        [
+            Lookup(star.date, "DateKey", ["Date"]),
+            Lookup(star.store, "StoreKey", ["StoreName"]),
+            Lookup(star.product, "ProductKey", ["ProductName"]),
+            Lookup(star.promotion, "PromotionKey", ["PromotionType"]),
+        ],
+        spread_by="TransactionID",
+    )
     return rows.select(
         "TransactionID", "Date", "StoreName", "ProductName", "PromotionType", "Quantity", "TotalSales"
     )
 
 
 def star_check(star: Star, rows: int = 10) -> DataFrame:
-    """The first sales by ID, for a look at whether the keys find their dimensions."""
-    return star_rows(star).orderBy("TransactionID").limit(rows)
+    """The first sales by ID, for a look at whether the keys find their dimensions.
+
+    A lookup keeps every sale once, so the sales are chosen before it.
+    """
+    first = star.fact.orderBy("TransactionID").limit(rows)
+    return star_rows(replace(star, fact=first)).orderBy("TransactionID")

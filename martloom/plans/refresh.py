@@ -30,7 +30,7 @@ from martloom.schemas import (
     SILVER,
     TableSpec,
 )
-from martloom.session import together
+from martloom.session import bucketed_scans, together
 from martloom.sources.warehouse import Warehouse
 
 
@@ -42,7 +42,7 @@ def load_bronze(
     order_by: Sequence[Column | str] = (),
 ) -> None:
     """Merge a delivery. A key repeated in it fails the load, unless ``order_by`` says which row
-    comes first. Rows without a key stay out; ``key_violations`` on the delivery shows them."""
+    comes first. Rows without a key stay out; ``rejected_rows`` on the delivery counts them."""
     merge_into(
         warehouse,
         BRONZE[entity],
@@ -125,7 +125,8 @@ def merge_into(
     else:
         rows = conform(one_row_per_key(source, spec.key, on_duplicate, order_by), spec.schema)
         grouped = warehouse.spark.conf.get("spark.sql.shuffle.partitions") == str(warehouse.buckets)
-    warehouse.replace(spec, rows, grouped)
+    with bucketed_scans(warehouse.spark):
+        warehouse.replace(spec, rows, grouped)
 
 
 def read_star(warehouse: Warehouse) -> Star:

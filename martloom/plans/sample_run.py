@@ -6,13 +6,17 @@ application to the shared folder, as it would be in a warehouse.
 
 from __future__ import annotations
 
-from functools import cache, cached_property
+from dataclasses import replace
+from functools import cache, cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martloom.operators.keys import scd1_dimension
+from martloom.operators.quality import rules_for
 from martloom.operators.upsert import dedupe_latest, upsert
 from martloom.plans.layers import (
+    NO_PROMOTION,
     Star,
     bronze_rows,
     dim_date_rows,
@@ -85,12 +89,42 @@ class SampleRun:
             maintained=True,
         )
 
+    def any_star(self) -> Star:
+        """The star with whole orders as transactions, which repeat, and some keys that no dimension has."""
+        lost = F.col("Quantity") % 10
+        fact = self.star.fact.withColumns(
+            {
+                "TransactionID": F.split_part("TransactionID", F.lit("-"), F.lit(1)),
+                "DateKey": F.when(lost == 3, F.date_add("DateKey", 36500)).otherwise(F.col("DateKey")),
+                "StoreKey": F.when(lost == 7, F.col("StoreKey") + 1000000 + F.col("Quantity")).otherwise(F.col("StoreKey")),
+                "ProductKey": F.when(lost == 5, F.col("ProductKey") + 1000000).otherwise(F.col("ProductKey")),
+                "PromotionKey": F.when((lost == 9) & (F.col("PromotionKey") != NO_PROMOTION), F.col("PromotionKey") + 1000000)
+                .otherwise(F.col("PromotionKey")),
+            }
+        )
+        return replace(self.star, fact=fact, maintained=False)
+
     # Two successive loads.
 
+    @cached_property
+    def _first_sales(self) -> DataFrame:
+        """Bronze sales after the first load, which the second one starts from."""
+        return self._stored(self.bronze("sales", 1), "bronze-sales")
+
+    def bronze_first(self, entity: str) -> DataFrame:
+        return self._first_sales if entity == "sales" else self.bronze(entity, 1)
+
+    def silver_first(self, entity: str) -> DataFrame:
+        return silver_rows(self.bronze_first(entity), entity, FIRST_RUN)
+
+    @cached_property
+    def _second_sales(self) -> DataFrame:
+        return self._stored(self.silver_twice("sales"), "silver-sales")
+
     def bronze_twice(self, entity: str) -> DataFrame:
         order = self.order(entity)
         return upsert(
-            self.bronze(entity, 1),
+            self.bronze_first(entity),
             bronze_rows(self.delivery(entity, 2), entity, SECOND_RUN),
             ENTITY_KEY[entity],
             on_duplicate="latest" if order else "error",
@@ -100,7 +134,7 @@ class SampleRun:
 
     def silver_twice(self, entity: str) -> DataFrame:
         return upsert(
-            self.silver(entity, 1),
+            self.silver_first(entity),
             silver_rows(self.bronze_twice(entity), entity, SECOND_RUN),
             ENTITY_KEY[entity],
             null_keys="drop",
@@ -108,8 +142,10 @@ class SampleRun:
 
     def stale_sales(self) -> DataFrame:
         """Silver sales whose latest version no longer meets the rules: they keep their old state."""
-        passing = silver_rows(self.bronze_twice("sales"), "sales").select("TransactionID")
-        return self.silver_twice("sales").join(passing, "TransactionID", "left_anti")
+        delivered = self._one_per_key(bronze_rows(self.delivery("sales", 2), "sales", SECOND_RUN), "sales")
+        met = reduce(Column.__and__, rules_for("sales").values())
+        failing = delivered.filter(~F.coalesce(met, F.lit(False))).select("TransactionID")
+        return self.silver_first("sales").join(failing, "TransactionID", "left_semi")
 
     def dimension_twice(self, entity: str, first: DataFrame | None = None) -> DataFrame:
         spec = DIMENSIONS[entity]
@@ -120,14 +156,10 @@ class SampleRun:
 
     def fact_twice(self) -> DataFrame:
         def fact(sales: DataFrame, dims: dict[str, DataFrame], run_ts: str) -> DataFrame:
-            date = self._stored(dim_date_rows(sales), "dim-date")
+            date = dim_date_rows(sales)
             return fact_rows(sales, dims["stores"], dims["products"], dims["promotions"], date, run_ts)
 
-        sales = together(
-            lambda rows: self._stored(rows(), "silver-sales"),
-            (lambda: self.silver("sales", 1), lambda: self.silver_twice("sales")),
-        )
-        first_sales, second_sales = sales.values()
+        first_sales, second_sales = self.silver_first("sales"), self._second_sales
         first_dims = together(lambda e: self.dimension(e, 1), DIMENSIONS)
         second_dims = together(lambda e: self.dimension_twice(e, first_dims[e]), DIMENSIONS)
         first = fact(first_sales, first_dims, FIRST_RUN)

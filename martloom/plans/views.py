@@ -1,15 +1,16 @@
 """The six analytics views, as SQL that serves DataFrames and catalog tables alike.
 
-A view is written as totals per fact key, with the describing columns joined to the totals:
-the partial sums absorb hot keys before the shuffle, and the joins move groups, not sales.
+A view first sums the fact per fact key (the grain), then joins dimensions to the grain, and last
+groups by the keys that were found: the partial sums absorb hot keys before the shuffle, the joins
+move groups, not sales, and sales whose keys no dimension has meet in one NULL group.
 
-Over a fact table kept by this library (``Star.maintained``) two facts about it save most of
-the work. No TransactionID repeats, so counting distinct ones is counting rows, for which no
-sale is shuffled. And every key finds its dimension row, so totals per key are final. Over any
-other fact table the keys are resolved and the transactions told apart sale by sale.
+In a fact table kept by this library (``Star.maintained``) no TransactionID repeats, so counting
+distinct ones is counting rows. For any other fact table the grain has the TransactionID as well,
+and they are told apart after the joins.
 
-Money is summed as whole hundredths of a cent, so that a total does not depend on the order of
-the rows. A group's total may reach 9e14; beyond, the sum fails (ANSI mode) instead of rounding.
+Money is summed as DECIMAL with ten digits after the point, so that a total does not depend on the
+order of the rows. Amounts of 1e15 and more, infinite ones and NaN are summed as DOUBLE beside it;
+they concern the groups that hold them only.
 """
 
 from __future__ import annotations
@@ -26,60 +27,55 @@ from martloom.sources.warehouse import Warehouse
 # Table placeholder in the SQL, by the key it is joined on.
 DIMENSION_OF = {"DateKey": "date", "StoreKey": "store", "ProductKey": "product", "PromotionKey": "promotion"}
 
-MEASURES = """
+EXACT = "ABS(f.TotalSales) < 1e15"
+MEASURES = f"""
     SUM(f.Quantity) AS quantity, COUNT(f.Quantity) AS quantities,
-    SUM(CAST(RINT(f.TotalSales * 10000) AS BIGINT)) AS revenue, COUNT(f.TotalSales) AS amounts,
+    SUM(CASE WHEN {EXACT} THEN CAST(f.TotalSales AS DECIMAL(28, 10)) END) AS revenue,
+    SUM(CASE WHEN NOT {EXACT} THEN f.TotalSales END) AS beyond, COUNT(f.TotalSales) AS amounts,
     MIN(f.TotalSales) AS lowest, MAX(f.TotalSales) AS highest"""
-REVENUE = "CAST(k.revenue AS DOUBLE) / 10000"
-AVERAGE_SALE = f"{REVENUE} / NULLIF(k.amounts, 0)"
+SUMS = """
+    SUM(g.quantity) AS quantity, SUM(g.quantities) AS quantities, SUM(g.revenue) AS revenue,
+    SUM(g.beyond) AS beyond, SUM(g.amounts) AS amounts, MIN(g.lowest) AS lowest, MAX(g.highest) AS highest"""
+REVENUE = """CASE WHEN k.beyond IS NULL THEN CAST(k.revenue AS DOUBLE)
+               ELSE COALESCE(CAST(k.revenue AS DOUBLE), 0) + k.beyond END"""
+AVERAGE_SALE = f"({REVENUE}) / NULLIF(k.amounts, 0)"
 
 
 def totals_sql(
     keys: Sequence[str],
     maintained: bool,
     distinct: Sequence[str] = (),
-    days: bool = False,
     where: str = "",
+    groups: Sequence[str] = (),
 ) -> str:
-    """Totals of the fact by its ``keys``: the number of different values of ``distinct`` columns
-    as ``different_<column>``, with ``days`` also the first and last day."""
-    if maintained:
-        return _totals_of_maintained(keys, distinct, days, where)
-    resolved = ", ".join(f"by_{key}.{key}" for key in keys)
-    joins = " ".join(
-        f"LEFT JOIN {{{DIMENSION_OF[key]}}} by_{key} ON by_{key}.{key} = f.{key}"
-        for key in (*keys, *(["DateKey"] if days else []))
-    )
+    """Totals of the fact by its ``keys`` as their dimensions have them, or by ``groups``, columns of
+    the dimensions; with the number of different values of ``distinct`` columns of the fact as
+    ``different_<column>``."""
+    by = ", ".join(groups or (f"by_{key}.{key}" for key in keys))
+    grain = ", ".join(f"f.{c}" for c in (*keys, *distinct, *(() if maintained else ["TransactionID"])))
+    how = "SUM(g.transactions)" if maintained else "COUNT(DISTINCT g.TransactionID)"
     return f"""
-        SELECT {resolved}, COUNT(DISTINCT f.TransactionID) AS transactions, {MEASURES}
-               {", MIN(by_DateKey.Date) AS first_day, MAX(by_DateKey.Date) AS last_day" if days else ""}
-               {"".join(f", COUNT(DISTINCT f.{c}) AS different_{c}" for c in distinct)}
-        FROM {{fact}} f {joins} {where}
-        GROUP BY {resolved}"""
-
-
-def _totals_of_maintained(keys: Sequence[str], distinct: Sequence[str], days: bool, where: str) -> str:
-    grain = ", ".join(f"f.{c}" for c in (*keys, *distinct))
-    by_grain = f"""
-        SELECT {grain}, COUNT(f.TransactionID) AS transactions, {MEASURES}
-               {", MIN(f.DateKey) AS first_day, MAX(f.DateKey) AS last_day" if days else ""}
-        FROM {{fact}} f {where}
-        GROUP BY {grain}"""
-    if not distinct:
-        return by_grain
-    # With one more column in the grain, every value of it is one row per key already.
-    how = "COUNT(" if len(distinct) == 1 else "COUNT(DISTINCT "
-    by = ", ".join(f"g.{key}" for key in keys)
-    return f"""
-        SELECT {by}, SUM(g.transactions) AS transactions, SUM(g.quantity) AS quantity,
-               SUM(g.quantities) AS quantities, SUM(g.revenue) AS revenue, SUM(g.amounts) AS amounts,
-               MIN(g.lowest) AS lowest, MAX(g.highest) AS highest
-               {", MIN(g.first_day) AS first_day, MAX(g.last_day) AS last_day" if days else ""}
-               {"".join(f", {how}g.{c}) AS different_{c}" for c in distinct)}
-        FROM ({by_grain}) g
+        SELECT {by}, {how} AS transactions, {SUMS}
+               {"".join(f", COUNT(DISTINCT g.{c}) AS different_{c}" for c in distinct)}
+        FROM (SELECT {grain}, COUNT(f.TransactionID) AS transactions, {MEASURES}
+              FROM {{fact}} f {where} GROUP BY {grain}) g
+        {_found(keys)}
         GROUP BY {by}"""
 
 
+def days_sql(key: str) -> str:
+    """The first and the last day of sale by ``key``, of the days the calendar has."""
+    return f"""
+        SELECT by_{key}.{key}, MIN(by_DateKey.Date) AS first_day, MAX(by_DateKey.Date) AS last_day
+        FROM (SELECT f.{key}, f.DateKey FROM {{fact}} f GROUP BY f.{key}, f.DateKey) g
+        {_found([key, "DateKey"])}
+        GROUP BY by_{key}.{key}"""
+
+
+def _found(keys: Sequence[str]) -> str:
+    return " ".join(f"LEFT JOIN {{{DIMENSION_OF[key]}}} by_{key} ON by_{key}.{key} = g.{key}" for key in keys)
+
+
 def sales_by_store_product(maintained: bool) -> str:
     return f"""
         SELECT s.StoreKey, s.StoreName, s.Region, p.ProductKey, p.ProductName, p.Category,
@@ -120,8 +116,9 @@ def store_performance(maintained: bool) -> str:
                k.transactions AS total_transactions, k.different_ProductKey AS unique_products_sold,
                k.quantity AS total_quantity_sold, {REVENUE} AS total_revenue,
                {AVERAGE_SALE} AS avg_transaction_value,
-               k.first_day AS first_sale_date, k.last_day AS last_sale_date
-        FROM ({totals_sql(["StoreKey"], maintained, ["ProductKey"], days=True)}) k
+               y.first_day AS first_sale_date, y.last_day AS last_sale_date
+        FROM ({totals_sql(["StoreKey"], maintained, ["ProductKey"])}) k
+        LEFT JOIN ({days_sql("StoreKey")}) y ON y.StoreKey <=> k.StoreKey
         LEFT JOIN {{store}} s ON s.StoreKey = k.StoreKey
         ORDER BY total_revenue DESC"""
 
@@ -134,30 +131,22 @@ def promotion_effectiveness(maintained: bool) -> str:
                k.transactions AS total_sales_during_promotion, k.quantity AS total_quantity_sold,
                {REVENUE} AS total_revenue, {AVERAGE_SALE} AS avg_sale_amount,
                k.different_StoreKey AS stores_participating, k.different_ProductKey AS products_sold,
-               ROUND({REVENUE} / NULLIF(r.MarketingSpend, 0), 2) AS roi_multiplier
+               ROUND(({REVENUE}) / NULLIF(r.MarketingSpend, 0), 2) AS roi_multiplier
         FROM ({totals_sql(["PromotionKey"], maintained, ["StoreKey", "ProductKey"], where=promoted)}) k
         LEFT JOIN {{promotion}} r ON r.PromotionKey = k.PromotionKey
         ORDER BY total_revenue DESC"""
 
 
 def sales_trend_by_month(maintained: bool) -> str:
-    if maintained:
-        # Days first; a day's totals add up to its month's.
-        monthly, transactions = f"({totals_sql(['DateKey'], maintained)}) k", "SUM(k.transactions)"
-        quantity, revenue = "SUM(k.quantity)", "SUM(k.revenue)"
-    else:
-        monthly, transactions = "{fact} k", "COUNT(DISTINCT k.TransactionID)"
-        quantity, revenue = "SUM(k.Quantity)", "SUM(CAST(RINT(k.TotalSales * 10000) AS BIGINT))"
+    month = [f"by_DateKey.{c}" for c in ("Year", "Month", "MonthName")]
     return f"""
-        SELECT d.Year, d.Month, d.MonthName, DATE_FORMAT(MAKE_DATE(d.Year, d.Month, 1), 'yyyy-MM') AS YearMonth,
-               {transactions} AS transactions, {quantity} AS quantity_sold,
-               CAST({revenue} AS DOUBLE) / 10000 AS revenue
-        FROM {monthly}
-        LEFT JOIN {{date}} d ON d.DateKey = k.DateKey
-        GROUP BY d.Year, d.Month, d.MonthName
+        SELECT k.Year, k.Month, k.MonthName, DATE_FORMAT(MAKE_DATE(k.Year, k.Month, 1), 'yyyy-MM') AS YearMonth,
+               k.transactions, k.quantity AS quantity_sold, {REVENUE} AS revenue
+        FROM ({totals_sql(["DateKey"], maintained, groups=month)}) k
         ORDER BY Year DESC, Month DESC"""
 
 
+# The names of the views and of their columns, above.
 # Each view with the columns its first rows are taken by: descending ones, then ascending ones.
 VIEWS = {
     "sales_by_store_product": (sales_by_store_product, ["total_revenue"], ["StoreKey", "ProductKey"]),

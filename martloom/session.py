@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from threading import Lock
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Scan a bucketed table bucket by bucket even where no join asks for it, so that what is
-    # derived from it is written back bucket by bucket without a shuffle.
-    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+    # A value out of range fails instead of turning into another one.
+    "spark.sql.ansi.enabled": "true",
     # A bucket written as one sorted file is read back as sorted: merging two tables that share
     # a key then needs neither a shuffle nor a sort.
     "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
@@ -33,6 +34,28 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_BUCKETS = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+_lock, _within = Lock(), 0
+
+
+@contextmanager
+def bucketed_scans(spark: SparkSession) -> Iterator[None]:
+    """Within, a bucketed table is scanned bucket by bucket even where no join asks for it, so that
+    what is derived from it is written back bucket by bucket without a shuffle. Elsewhere a scan may
+    have more tasks than there are buckets. May be entered by several threads."""
+    global _within
+    with _lock:
+        _within += 1
+        spark.conf.set(_BUCKETS, "false")
+    try:
+        yield
+    finally:
+        with _lock:
+            _within -= 1
+            if not _within:
+                spark.conf.set(_BUCKETS, "true")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only for a local master."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -15,11 +15,15 @@ def read_entity_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """One delivery of an entity, columns taken by header name and cast to their declared type.
 
     No inference: it would read the file twice and turn a key such as ``001`` into a number. A
-    value that does not fit its type fails the job.
+    value that does not fit its type fails the job, a fraction in a column of whole numbers too.
+    ``path`` may be a folder whose files all have the same header; one with other names or another
+    order fails the job. Values missing at the end of a line are NULL; values beyond the header are
+    ignored.
     """
     spec = BRONZE[entity]
     declared = [f for f in spec.schema.fields if f.name != spec.stamp]
-    raw = spark.read.csv(path, header=True)
+    # Every file's own header is held against the names, which come from one of them.
+    raw = spark.read.csv(path, header=True, enforceSchema=False)
     return raw.select(*(_typed(f) for f in declared))
 
 
@@ -44,5 +48,7 @@ def _typed(field: StructField) -> Column:
         return value
     if isinstance(field.dataType, IntegerType):
         # "3.0" is a whole number too.
-        value = value.cast("double")
+        number = value.cast("double")
+        message = F.concat(F.lit(f"{field.name} is no whole number: "), value)
+        value = F.when(number != F.floor(number), F.raise_error(message).cast("double")).otherwise(number)
     return value.cast(field.dataType).alias(field.name)

@@ -1,7 +1,7 @@
 """Retail deliveries derived from order-line, part and supplier tables.
 
-Rules on the values of the rows give the deliveries what real ones have: repeated keys, missing
-dates and names, returns with negative amounts, promotions without end or without spend, and
+Rules on the values of the rows give the deliveries what real ones have: repeated and missing keys,
+missing dates and names, returns with negative amounts, promotions without end or without spend, and
 sales of promotions, products and stores that never reach their dimension.
 """
 
@@ -49,9 +49,10 @@ def _sales(lines: DataFrame, delivery: int | None) -> DataFrame:
     # Whole cents and percents, so that the products are exact.
     cents, percent = F.rint(F.col("l_extendedprice") * 100), F.rint(F.col("l_discount") * 100)
     undated = (F.col("l_tax") == 0.08) & (F.col("l_quantity") == 50)
+    nameless = (F.col("l_tax") == 0.07) & (F.col("l_quantity") == 49)
     sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
     return lines.select(
-        F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("TransactionID"),
+        F.when(~nameless, F.concat("l_orderkey", F.lit("-"), "l_linenumber")).alias("TransactionID"),
         F.when(undated, None).otherwise(F.col("l_shipdate").cast("date")).alias("Date"),
         F.concat(F.lit("S"), "l_suppkey").alias("StoreID"),
         F.concat(F.lit("P"), "l_partkey").alias("ProductID"),

@@ -7,6 +7,7 @@ import pytest
 from martloom.__main__ import main, tasks
 from martloom.plans.audit import layer_row_counts
 from martloom.plans.refresh import refresh
+from martloom.schemas import BRONZE
 from martloom.sources.csv_files import read_folder
 from martloom.sources.warehouse import Warehouse
 from tests import samples
@@ -34,6 +35,22 @@ def test_whole_chain_and_wrong_calls(spark, tmp_path, capsys):
     shown = capsys.readouterr().out
     assert "gold.fact_sales" in shown
     assert "TotalSales positive" in shown
-    for wrong in (["--task", "bronze_sale"], []):
+    assert "rejected_rows" in shown
+    for wrong in (["--task", "bronze_sale"], [], ["--latest-by", "sale=Date", "--source", "x"], ["--latest-by", "sales", "--source", "x"]):
         with pytest.raises(SystemExit):
             main(wrong)
+
+
+def test_latest_by_chooses_among_rows_with_one_key(spark, tmp_path):
+    source = tmp_path / "in"
+    samples.write(source)
+    stores = source / "stores.csv"
+    header, first = stores.read_text().split("\n")[:2]
+    stores.write_text(f"{header}\n{first}\n" + ",".join([*first.split(",")[:-1], "9999"]) + "\n")
+    catalog = f"t{uuid.uuid4().hex[:8]}"
+    call = ["--source", str(source), "--catalog", catalog, "--root", str(tmp_path / "wh"), "--task", "bronze_stores"]
+    with pytest.raises(Exception, match="repeats StoreID"):
+        main(call)
+    main([*call, "--latest-by", "stores=SquareFootage"])
+    rows = Warehouse(spark, catalog, str(tmp_path / "wh")).read(BRONZE["stores"]).collect()
+    assert [r.SquareFootage for r in rows] == [9999]

@@ -34,6 +34,23 @@ def test_value_of_the_wrong_type_fails(spark, tmp_path):
         read_entity_csv(spark, str(path), "stores").collect()
 
 
+def test_a_fraction_is_no_whole_number(spark, tmp_path):
+    path = tmp_path / "stores.csv"
+    path.write_text("StoreID,StoreName,Region,StoreType,SquareFootage\n1,Quay,North,Small,100.9\n")
+    with pytest.raises(Exception, match="SquareFootage is no whole number: 100.9"):
+        read_entity_csv(spark, str(path), "stores").collect()
+
+
+def test_files_of_a_folder_must_agree_on_their_columns(spark, tmp_path):
+    header = "StoreID,StoreName,Region,StoreType,SquareFootage"
+    (tmp_path / "a.csv").write_text(f"{header}\n1,Quay,North,Small,1\n")
+    (tmp_path / "b.csv").write_text(f"{header}\n2,Hill,South,Large,2\n")
+    assert sorted(r.StoreID for r in read_entity_csv(spark, str(tmp_path), "stores").collect()) == ["1", "2"]
+    (tmp_path / "b.csv").write_text("StoreName,StoreID,Region,StoreType,SquareFootage\nHill,2,South,Large,2\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_entity_csv(spark, str(tmp_path), "stores").collect()
+
+
 def test_fixture_loader(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,text\n1,\n2,b\n")
     assert sorted(map(tuple, load_fixture(spark, str(tmp_path / "a.csv")).collect())) == [("1", ""), ("2", "b")]

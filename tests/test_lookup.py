@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from martloom.operators.lookup import lookup, measured_bytes
+from martloom.operators.lookup import ROW_OVERHEAD, Lookup, lookup, lookups, measured_bytes
 
 
 def facts(spark):
@@ -53,9 +53,31 @@ def test_small_dimension_is_broadcast(spark, capsys):
     assert "BroadcastHashJoin" in capsys.readouterr().out
 
 
+def test_broadcasts_of_one_call_fit_together(spark, capsys):
+    size = measured_bytes(members(spark).select("code", "number"))
+    two = [Lookup(members(spark), "code", ["number"]), Lookup(members(spark).withColumnRenamed("number", "other"), "code", ["other"])]
+    for limit, large in ((2 * size, 0), (2 * size - 1, 1), (size - 1, 2)):
+        found = lookups(facts(spark), two, "TransactionID", limit)
+        capsys.readouterr()
+        found.explain()
+        assert capsys.readouterr().out.count("SortMergeJoin") <= large
+        assert found.filter("number <=> other").count() == 6000
+        assert sorted(found.columns) == ["TransactionID", "code", "number", "other"]
+
+
+def test_hot_keys_are_found_before_the_joins(spark):
+    """Facts are read once for the hot keys of all columns: two scans, however many lookups."""
+    stored_facts = facts(spark)
+    reads = spark.sparkContext.accumulator(0)
+    counted = stored_facts.mapInPandas(lambda parts: (reads.add(len(p)) or p for p in parts), stored_facts.schema)
+    three = [Lookup(members(spark).select("code", F.col("number").alias(f"n{i}")), "code", [f"n{i}"]) for i in range(3)]
+    lookups(counted, three, "TransactionID", 0).write.format("noop").mode("overwrite").save()
+    assert reads.value == 2 * 6000
+
+
 def test_measured_bytes(spark):
     df = spark.createDataFrame([("ab", 1), (None, 2), ("ü", None)], "text string, number int")
-    assert measured_bytes(df) == 3 * 8 + 2 + 2
+    assert measured_bytes(df) == 3 * (2 * 8 + ROW_OVERHEAD) + 2 + 2
     assert measured_bytes(df.limit(0)) == 0
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,10 +11,12 @@ from pyspark.sql import functions as F
 from martloom.operators.keys import dense_key
 from martloom.operators.quality import quality_counts, rules_for
 from martloom.operators.upsert import dedupe_latest, upsert
-from martloom.plans.layers import fact_rows, silver_rows
+from martloom.plans.layers import fact_rows, silver_rows, star_check
 from martloom.plans.refresh import read_star, refresh
-from martloom.plans.views import top, view
+from martloom.plans.sample_run import SampleRun
+from martloom.plans.views import VIEWS, top, view
 from martloom.schemas import BRONZE, DIM_DATE, DIM_PRODUCT, DIM_PROMOTION, DIM_STORE, FACT_SALES, SILVER
+from martloom.session import bucketed_scans
 from martloom.sources.warehouse import Warehouse
 from tests import samples
 
@@ -38,7 +41,8 @@ def plan(capsys):
 
 def test_silver_merge_moves_and_sorts_nothing(warehouse, plan):
     source = silver_rows(warehouse.read(BRONZE["sales"]), "sales")
-    text = plan(upsert(warehouse.read(SILVER["sales"]), source, "TransactionID", null_keys="drop"))
+    with bucketed_scans(warehouse.spark):
+        text = plan(upsert(warehouse.read(SILVER["sales"]), source, "TransactionID", null_keys="drop"))
     assert "SortMergeJoin" in text
     assert "Exchange" not in text
     assert "Sort " not in text
@@ -49,7 +53,8 @@ def test_fact_merge_moves_no_sale(warehouse, plan):
         warehouse.read(SILVER["sales"]),
         *(warehouse.read(spec) for spec in (DIM_STORE, DIM_PRODUCT, DIM_PROMOTION, DIM_DATE)),
     )
-    text = plan(upsert(warehouse.read(FACT_SALES), facts, "TransactionID", ["_created_at"], null_keys="drop"))
+    with bucketed_scans(warehouse.spark):
+        text = plan(upsert(warehouse.read(FACT_SALES), facts, "TransactionID", ["_created_at"], null_keys="drop"))
     assert text.count("BroadcastHashJoin") == 4
     assert text.count("Exchange") == text.count("BroadcastExchange") == 4
 
@@ -66,13 +71,41 @@ def test_views_read_only_their_columns_and_move_only_groups(warehouse, plan):
     assert "ReadSchema: struct<TransactionID:string,DateKey:date,Quantity:int,TotalSales:double>" in text
     assert "ReadSchema: struct<DateKey:date,Year:int,Month:int,MonthName:string>" in text
     text = plan(view("store_performance", read_star(warehouse)))
-    # Sums are made before the first exchange, and the store joins after the last grouping.
-    scan, first_exchange = text.index("FileScan"), text.rindex("Exchange hashpartitioning")
-    assert "HashAggregate" in text[first_exchange:scan]
+    # Sums are made before any exchange of the fact, and the store joins after the last grouping.
+    assert facts_are_summed_before_any_exchange(text)
     assert text.index("Join") < text.index("HashAggregate")
     assert "Expand" not in text
 
 
+def facts_are_summed_before_any_exchange(text: str) -> bool:
+    """Above every scan of the fact table the next node that is no filter or projection is a partial sum."""
+    lines = text.split("\n")
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line and "fact_sales" in line]
+    above = [next(x for x in reversed(lines[:i]) if not any(n in x for n in ("Filter", "Project", "ColumnarToRow"))) for i in scans]
+    return bool(scans) and all("HashAggregate" in x and "partial_" in x or "functions=[]" in x for x in above)
+
+
+@pytest.mark.parametrize("name", VIEWS)
+def test_any_fact_is_summed_before_any_exchange(warehouse, plan, name):
+    star = replace(read_star(warehouse), maintained=False)
+    assert facts_are_summed_before_any_exchange(plan(view(name, star)))
+
+
+def test_star_check_looks_up_no_more_than_it_shows(warehouse, plan):
+    text = plan(star_check(read_star(warehouse)))
+    assert text.index("Join") < text.index("TakeOrderedAndProject", text.index("Join")) < text.index("fact_sales")
+
+
+def test_stale_rows_take_one_join_of_two_scans(spark, plan):
+    text = plan(SampleRun(spark, "/root/testdata/sf0.001").stale_sales())
+    assert text.count("FileScan") == 2 and text.count("Join") == 1 and "Exchange SinglePartition" not in text
+
+
+def test_unused_buckets_do_not_bound_the_tasks_of_a_view(warehouse, plan):
+    text = plan(view("sales_trend_by_month", read_star(warehouse)), "formatted")
+    assert "Bucketed: false (disabled by query planner)" in text
+
+
 def test_top_is_taken_without_a_full_sort(warehouse, plan):
     text = plan(top("store_performance", read_star(warehouse)))
     assert "TakeOrderedAndProject" in text

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 
@@ -98,9 +99,17 @@ def test_by_hand(spark, maintained):
     ]
 
 
+UNKNOWN = fact(
+    ("g", D3 + dt.timedelta(9), 1, 8, 9, 1, 2.0),
+    ("h", D3 + dt.timedelta(8), 1, 9, 8, 1, 4.0),
+    ("i", D3 + dt.timedelta(8), 7, 1, 1, 1, 8.0),
+)
+
+
+@pytest.mark.parametrize("facts", [FACTS, FACTS + UNKNOWN])
 @pytest.mark.parametrize("name", VIEWS)
-def test_both_ways_agree_on_a_maintained_fact(spark, name):
-    lean, plain = view(name, star(spark)), view(name, star(spark, maintained=False))
+def test_both_ways_agree_where_no_transaction_repeats(spark, name, facts):
+    lean, plain = view(name, star(spark, facts)), view(name, star(spark, facts, maintained=False))
     assert lean.schema.simpleString() == plain.schema.simpleString()
     assert rows(lean, "*") == rows(plain, "*")
 
@@ -131,6 +140,28 @@ def test_total_does_not_depend_on_the_order_of_rows(spark):
         assert view("store_performance", s).first().total_revenue == exact
 
 
+def test_unknown_days_meet_in_one_group(spark):
+    found = rows(view("daily_sales_by_store", star(spark, FACTS + UNKNOWN)), "Date", "StoreKey", "daily_revenue")
+    assert [r for r in found if r[0] is None] == [(None, 1, 6.0), (None, None, 8.0)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_money_of_any_size(spark, ansi):
+    nan, inf = float("nan"), float("inf")
+    amounts = {1: [0.00004] * 1000, 2: [5e14, 5e14], 3: [1e300, 2.0], 4: [nan, 1.0], 5: [inf, 1.0], 6: [inf, -inf], 7: [None]}
+    facts = fact(*((f"{k}-{i}", D1, 1, k, -1, 1, x) for k, held in amounts.items() for i, x in enumerate(held)))
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        s = star(spark, facts)
+        s = replace(s, product=spark.createDataFrame([(k, f"P{k}", "", "", "", 1.0, TS) for k in amounts], DIM_PRODUCT.schema))
+        found = {r.ProductKey: r.total_revenue for r in view("product_performance", s).collect()}
+        whole = view("store_performance", s).first().total_revenue
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert (found[1], found[2], found[3], found[5], found[7]) == (0.04, 1e15, 1e300, inf, None)
+    assert found[4] != found[4] and found[6] != found[6] and whole != whole
+
+
 def test_views_come_in_their_order(spark):
     revenue = [r.total_revenue for r in view("store_performance", star(spark)).collect()]
     assert revenue == sorted(revenue, reverse=True)
