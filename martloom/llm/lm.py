@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,6 +96,15 @@ def discounted(c: Column, factors: list[float]) -> Column:
     return c * value
 
 
+def _squeezed(x: np.ndarray) -> bytes:
+    """Packed small: tables and shuffles hold these by the hundred million."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
+
+
+def _spread(packed: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
+
+
 def _release(spark: SparkSession) -> None:
     """Shuffle files of finished steps go when the driver's garbage is collected; ask for it."""
     gc.collect()
@@ -141,7 +151,7 @@ def _packed(batches: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
         [
             pa.array([number], pa.int64()),
             pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), docs),
-            *(pa.array([x.tobytes()], pa.binary()) for x in (lengths.astype(np.int32), train, known, numbers)),
+            *(pa.array([x], pa.binary()) for x in (lengths.astype(np.int32).tobytes(), train.tobytes(), known.tobytes(), _squeezed(numbers))),
         ],
         ["block", "docs", "lengths", "train", "words", "tokens"],
     )
@@ -160,7 +170,7 @@ class _Block:
     @classmethod
     def of(cls, lengths: bytes, train: bytes, words_: bytes, tokens: bytes) -> _Block:
         known, size = np.frombuffer(words_, _U), np.frombuffer(lengths, np.int32).astype(np.int64)
-        token = np.frombuffer(tokens, np.uint32).astype(np.int64)
+        token = _spread(tokens, np.uint32).astype(np.int64)
         before = np.empty_like(token)
         before[1:] = token[:-1]
         before[np.cumsum(size) - size] = np.searchsorted(known, START)
@@ -233,8 +243,10 @@ def _ask_bigrams(parts: _Parts):
             for low, high in _groups(part):
                 h = code[low:high] // n
                 new = np.flatnonzero(np.diff(h, prepend=-1))
-                held = (block.words[h[new]], np.diff(np.append(new, len(h))).astype(np.int32), block.words[code[low:high] % n], np.minimum(count[low:high], 2**31 - 1).astype(np.int32))
-                rows.append((int(part[low]), number, *(x.tobytes() for x in held)))
+                times = np.diff(np.append(new, len(h))).astype(np.int32)
+                seen = np.minimum(count[low:high], 2**31 - 1).astype(np.int32)
+                h_words, w_words = block.words[h[new]].tobytes(), block.words[code[low:high] % n].tobytes()
+                rows.append((int(part[low]), number, h_words, _squeezed(times), w_words, _squeezed(seen)))
             yield _rows(rows, ("part", "block", "h", "n", "w", "c"))
 
     return run
@@ -272,9 +284,9 @@ def _count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _counted_part(part: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
     blocks = [x[0] for x in held]
-    h = np.concatenate([np.repeat(np.frombuffer(x[1], _U), np.frombuffer(x[2], np.int32)) for x in held])
+    h = np.concatenate([np.repeat(np.frombuffer(x[1], _U), _spread(x[2], np.int32)) for x in held])
     w = np.concatenate([np.frombuffer(x[3], _U) for x in held])
-    c = np.concatenate([np.frombuffer(x[4], np.int32) for x in held]).astype(np.int64)
+    c = np.concatenate([_spread(x[4], np.int32) for x in held]).astype(np.int64)
     sizes = np.array([len(x[3]) // 8 for x in held])
     order = np.lexsort((w, h))
     new = np.ones(len(order), bool)
@@ -285,7 +297,7 @@ def _counted_part(part: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
     answer[order] = np.repeat(total, np.diff(np.append(first, len(order))))
     for number, x in zip(blocks, np.split(answer, np.cumsum(sizes)[:-1])):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), pa.array([part], pa.int64()), pa.array([np.minimum(x, 2**31 - 1).astype(np.int32).tobytes()]), *[pa.nulls(1, pa.int64())] * 3],
+            [pa.array([number], pa.int64()), pa.array([part], pa.int64()), pa.array([_squeezed(np.minimum(x, 2**31 - 1).astype(np.int32))]), *[pa.nulls(1, pa.int64())] * 3],
             ["block", "part", "counts", "h", "w", "c"],
         )
     often = total >= CUT
@@ -337,7 +349,7 @@ def _tell_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found = np.where(hit, ready[1][place], 0), np.where(hit, ready[2][place], 1.0), np.where(hit, ready[3][place], 1.0)
             else:
                 found = np.zeros(len(mine), np.int64), np.ones(len(mine)), np.ones(len(mine))
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([at], pa.int64()), *(pa.array([x.tobytes()]) for x in found)], ["block", "part", "c", "alpha", "scale"])
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([at], pa.int64()), *(pa.array([_squeezed(x)]) for x in found)], ["block", "part", "c", "alpha", "scale"])
 
 
 def _pack_words(bits: int):
@@ -455,8 +467,8 @@ def _score(constants: Constants):
 
 def _scores(block: _Block, docs: pa.StructArray, told: list, counts: list, model: Constants) -> pa.RecordBatch:
     n, pairs = model.n_tokens, model.bigrams
-    c, alpha, scale = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*told), (np.int64, float, float)))
-    seen = np.frombuffer(b"".join(counts), np.int32).astype(np.int64)
+    c, alpha, scale = (np.concatenate([_spread(x, t) for x in held]) for held, t in zip(zip(*told), (np.int64, float, float)))
+    seen = np.concatenate([_spread(x, np.int32) for x in counts]).astype(np.int64)
     start = np.searchsorted(block.words, START)
     as_token = c.copy()
     as_token[start] = 0
