@@ -137,7 +137,7 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(above_u[best] / max(above_p[best], 1e-3), 0.01, 0.99))
 
 
-def learn(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600, shrink: float = 1e-3) -> Model:
+def learn(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600, shrink: float = 0.02) -> Model:
     """A scorer of least non-negative risk; with no positive or no unlabelled text, the constant 0.5."""
     size = 2 * len(FEATURES) + 1
     if not len(positive) or not len(unlabelled):
@@ -146,11 +146,12 @@ def learn(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600, shrink
     mean, spread = both.mean(0), np.maximum(both.std(0), 1e-3)
     p, u = (_expanded((x - mean) / spread) for x in (positive, unlabelled))
 
-    def against(w: np.ndarray) -> np.ndarray:  # positive against unlabelled text, for the prior
-        return (p.T @ -_logistic(-p @ w)) / len(p) + (u.T @ _logistic(u @ w)) / len(u) + shrink * w
+    def separated(p: np.ndarray, u: np.ndarray) -> np.ndarray:  # positive from unlabelled text, for the prior
+        return _descend(lambda w: (p.T @ -_logistic(-p @ w)) / len(p) + (u.T @ _logistic(u @ w)) / len(u) + shrink * w, size, steps)
 
-    first = _descend(against, size, steps)
-    prior = estimate_prior(p @ first, u @ first)
+    halves = [(p[i::2], u[i::2]) for i in (0, 1)]
+    held = [estimate_prior(b @ w, v @ w) for (a, t), (b, v) in (halves, halves[::-1]) if len(a) and len(t) and len(b) and len(v) for w in [separated(a, t)]]
+    prior = sum(held) / len(held) if held else 0.5
 
     def risk(w: np.ndarray) -> np.ndarray:
         on_p, on_u = p @ w, u @ w

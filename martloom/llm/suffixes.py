@@ -24,7 +24,7 @@ def common(a: bytes, b: bytes) -> int:
 def ordered(strings: list[bytes]) -> tuple[list[int], list[int]]:
     """Places of the strings in sorted order, and what each shares with the one before it (0 for the first)."""
     order: list[int] = []
-    todo = [(list(range(len(strings))), 0)]
+    todo = [(list(range(len(strings))), 0)] if strings else []
     while todo:
         group, depth = todo.pop()
         if len(group) == 1:
