@@ -86,11 +86,10 @@ def dart_signatures(row: np.ndarray, element: np.ndarray, weight: np.ndarray, ro
             coordinate = (mix64(g) % _U(k)).astype(np.int64)[hits]
             found.append((w[hits] * k + coordinate, rank[hits], h[hits]))
         place, ranks, hashes = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((hashes, ranks, place))
-        place, ranks, hashes = place[order], ranks[order], hashes[order]
-        first = np.ones(len(place), bool)
-        first[1:] = place[1:] != place[:-1]
-        best[place[first]], dart[place[first]] = ranks[first], hashes[first]
+        np.minimum.at(best, place, ranks)
+        won = ranks == best[place]
+        dart[place[won]] = _U(2**64 - 1)
+        np.minimum.at(dart, place[won], hashes[won])  # of equal ranks the least hash
         hit = np.isfinite(best).reshape(rows, k).all(1)
         open_ &= ~hit
         bound = np.where(open_, 2 * bound, bound)  # some coordinate is still without a dart: throw higher
