@@ -1,7 +1,7 @@
 """Personal data in a text: where it stands, what it refers to, and how a surrogate is written in its place.
 
-Kinds: email, phone, ip, card (13 to 19 digits), ssn, iban (with right check digits), token (secrets
-after a name such as ``token =``, and long hex strings), given and surname.  A name needs evidence: a
+Kinds: email, phone, ip, ip6, card (13 to 19 digits), ssn, iban (with right check digits), token (secrets
+after a name such as ``token =``, long hex strings, keys of some services), given and surname.  A name needs evidence: a
 title, or a given name of the list below followed by a capitalised word; once a text names a person,
 its given name and surname are found there alone as well.
 """
@@ -35,6 +35,10 @@ _IP = re.compile(rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)")
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 _CARD = re.compile(r"(?<!\w)\d(?:[ -]?\d){12,18}(?!\w)")
 _PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?!\w)")
+_PLUS = re.compile(r"(?<![\w.])\+\d{1,3}(?:[ .()/-]{0,2}\d){6,12}(?!\w)")
+_IP6 = re.compile(r"(?<![\w:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])")
+# The beginnings of some services' keys.
+_SERVICE = re.compile(r"(?<!\w)(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9-]{16,}|xox[abp]-[A-Za-z0-9-]{10,})(?!\w)")
 _DOMAIN = re.compile(r"@[\w-]+(?:\.[\w-]+)+")
 _LOCAL = re.compile(r"[\w.+%-]+$")
 #: What any of the above needs: lets the JVM pass texts without it by.  (Java syntax.)
@@ -68,19 +72,22 @@ def found(text: str) -> list[Entity]:
             if local:
                 take(local.start(), m.end(), "email", text[local.start() : m.end()].lower())
     if any(c in text for c in "0123456789"):
-        for m in _HEX.finditer(text):
-            take(*m.span(), "token", m[0])
+        for pattern in (_HEX, _SERVICE):
+            for m in pattern.finditer(text):
+                take(*m.span(), "token", m[0])
         for m in _IBAN.finditer(text):
             value = m[0].replace(" ", "")
             if _mod97(value) == 1:
                 take(*m.span(), "iban", value)
         for m in _IP.finditer(text):
             take(*m.span(), "ip", m[0])
+        for m in _IP6.finditer(text):
+            take(*m.span(), "ip6", m[0].lower())
         for m in _SSN.finditer(text):
             take(*m.span(), "ssn", _digits(m[0]))
         for m in _CARD.finditer(text):
             take(*m.span(), "card", _digits(m[0]))
-        for m in _PHONE.finditer(text):
+        for m in (*_PLUS.finditer(text), *_PHONE.finditer(text)):
             digits = _digits(m[0])
             marked = "+" in m[0] or "(" in m[0]
             if (7 if marked else 9) <= len(digits) <= 15:
@@ -189,6 +196,8 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int) -> str:
         return f"{_shaped(local, s)}{more}@{host}.example.{top if top in ('com', 'org', 'net') else 'com'}"
     if kind == "ip":
         return ".".join(str(1 + s.below(254 if i else 223)) for i in range(4))
+    if kind == "ip6":
+        return "".join(s.of("0123456789abcdef") if c != ":" else c for c in value)
     if kind == "card":
         body = value[0] + "".join(str(s.below(10)) for _ in value[1:-1])
         last = s.below(10)
@@ -226,7 +235,7 @@ def written(mention: str, kind: str, new: str) -> str:
         if kind == "surname" and surname_stem(mention) != mention.lower():
             new += "а"
         return new.upper() if mention.isupper() else new.capitalize()
-    if kind == "email" and mention.isupper():
+    if kind in ("email", "ip6") and mention.isupper():
         return new.upper()
     return new
 
