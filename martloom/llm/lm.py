@@ -1,7 +1,7 @@
 """A Katz backoff bigram model over all training texts, and the log probability of every text under it.
 
 Words are taken as 64-bit hashes; every text ends with one end token and its first token follows a
-start mark.  Good-Turing discounts apply to counts up to ``KEEP``.  A bigram seen at least ``CUT`` times
+start mark.  Good-Turing discounts apply to counts up to ``KEEP``.  A bigram seen in training, be it once,
 has its discounted relative frequency; what a history leaves over goes to all other tokens, in
 proportion to their unigram probability, so that each history's probabilities add up to 1 over all
 known tokens and one unknown:
@@ -14,14 +14,15 @@ Counting and lookup work on blocks of about a million tokens.  A block sends its
 packed arrays in sorted order, to the parts of the bigram table they belong to, and gets back their
 counts in the same order; so it does with its words.  Bigrams of one history are in one part, those of
 frequent histories in several, dealt by the second word.  A bigram that is common in the corpus reaches
-a part once for each block.
+a part once for each block.  The part names one of these blocks as the bigram's owner; what the seen
+bigrams of a history take together is summed from the owners, so no table of bigrams is written.
 """
 
 from __future__ import annotations
 
 import gc
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,8 +38,8 @@ from martloom.llm.scratch import scratch_path, prepare, stored, widened
 
 _U = np.uint64
 START, END = _U(0x5BF03635F0935AD1), _U(0x1F83D9ABFB41BD6B)
-#: Counts above this are not discounted; bigrams seen less often than CUT are left to the backoff.
-KEEP, CUT = 5, 2
+#: Counts above this are not discounted; bigrams seen less often than CUT, so never, are left to the backoff.
+KEEP, CUT = 5, 1
 #: Bytes of text in a block; different bigrams meant for a part.
 BLOCK_BYTES, PART = 6 << 20, 1 << 20
 #: Words with more than this share of all tokens have their bigrams dealt among several parts; so there
@@ -58,11 +59,10 @@ class Constants:
 
 @dataclass
 class Model:
-    """``words``: w, c, alpha, scale; ``bigrams``: h, w, c, those of at least CUT.  Words are given by their hash."""
+    """``words``: w, c, alpha, scale.  Words are given by their hash."""
 
     constants: Constants
     words: DataFrame
-    bigrams: DataFrame
 
 
 def good_turing(counts: dict[int, int], least: int = 1) -> list[float]:
@@ -88,21 +88,34 @@ def unigram_model(n_tokens: int, counts: dict[int, int]) -> tuple[list[float], f
     return [n_tokens / (n_tokens + 1)] * (KEEP + 1), 1 / (n_tokens + 1)  # the last for all larger counts
 
 
-def discounted(c: Column, factors: list[float]) -> Column:
-    """c times its discount; a factor beyond KEEP holds for all larger counts."""
-    value = F.lit(factors[KEEP] if len(factors) > KEEP else 1.0)
-    for r in range(KEEP, 0, -1):
-        value = F.when(c == r, F.lit(factors[r - 1])).otherwise(value)
-    return c * value
+def _squeezed(x: np.ndarray) -> bytes:
+    """Packed small, first bytes first: tables and shuffles hold these by the hundred million."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _squeezed(x: np.ndarray) -> bytes:
-    """Packed small: tables and shuffles hold these by the hundred million."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
+def _spread(packed: bytes, kind: type | np.dtype) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _squeezed_words(known: np.ndarray) -> bytes:
+    """Words in order, as steps from one to the next."""
+    return _squeezed(np.diff(known, prepend=_U(0)))
+
+
+def _spread_words(packed: bytes) -> np.ndarray:
+    return np.cumsum(_spread(packed, _U), dtype=_U)
 
 
-def _spread(packed: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
+def _squeezed_counts(x: np.ndarray) -> bytes:
+    """Packed as narrow as they allow; the first byte says how wide."""
+    x = x.astype(np.int32) if not len(x) or np.abs(x).max() < 2**31 else x
+    return bytes([x.itemsize]) + _squeezed(x)
+
+
+def _spread_counts(packed: bytes) -> np.ndarray:
+    return _spread(packed[1:], np.dtype(f"i{packed[0]}")).astype(np.int64)
 
 
 def _release(spark: SparkSession) -> None:
@@ -151,7 +164,7 @@ def _packed(batches: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
         [
             pa.array([number], pa.int64()),
             pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), docs),
-            *(pa.array([x], pa.binary()) for x in (lengths.astype(np.int32).tobytes(), train.tobytes(), known.tobytes(), _squeezed(numbers))),
+            *(pa.array([x], pa.binary()) for x in (lengths.astype(np.int32).tobytes(), train.tobytes(), _squeezed_words(known), _squeezed(numbers))),
         ],
         ["block", "docs", "lengths", "train", "words", "tokens"],
     )
@@ -169,7 +182,7 @@ class _Block:
 
     @classmethod
     def of(cls, lengths: bytes, train: bytes, words_: bytes, tokens: bytes) -> _Block:
-        known, size = np.frombuffer(words_, _U), np.frombuffer(lengths, np.int32).astype(np.int64)
+        known, size = _spread_words(words_), np.frombuffer(lengths, np.int32).astype(np.int64)
         token = _spread(tokens, np.uint32).astype(np.int64)
         before = np.empty_like(token)
         before[1:] = token[:-1]
@@ -244,9 +257,9 @@ def _ask_bigrams(parts: _Parts):
                 h = code[low:high] // n
                 new = np.flatnonzero(np.diff(h, prepend=-1))
                 times = np.diff(np.append(new, len(h))).astype(np.int32)
-                seen = np.minimum(count[low:high], 2**31 - 1).astype(np.int32)
+                seen = count[low:high]
                 h_words, w_words = block.words[h[new]].tobytes(), block.words[code[low:high] % n].tobytes()
-                rows.append((int(part[low]), number, h_words, _squeezed(times), w_words, _squeezed(seen)))
+                rows.append((int(part[low]), number, h_words, _squeezed(times), w_words, _squeezed_counts(seen)))
             yield _rows(rows, ("part", "block", "h", "n", "w", "c"))
 
     return run
@@ -262,13 +275,13 @@ def _rows(rows: list[tuple], names: tuple[str, ...]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64() if n in ("part", "block") else pa.binary()) for n, x in zip(names, columns)], list(names))
 
 
-_COUNTED = "block long, part long, counts binary, h long, w long, c long"
+_COUNTED = "block long, part long, counts binary, kinds array<long>"
 
 
 def _count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Goes through requests sorted by part; answers each, and gives the bigrams of the table.
+    """Goes through requests sorted by part; answers each, and tells how many bigrams have each count up to KEEP + 1.
 
-    Of bigrams below CUT only their number is given, as rows without h and w.
+    Counts are negative in the answer to the block that owns the bigram.
     """
     part, held = None, []
     for batch in batches:
@@ -286,7 +299,7 @@ def _counted_part(part: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
     blocks = [x[0] for x in held]
     h = np.concatenate([np.repeat(np.frombuffer(x[1], _U), _spread(x[2], np.int32)) for x in held])
     w = np.concatenate([np.frombuffer(x[3], _U) for x in held])
-    c = np.concatenate([_spread(x[4], np.int32) for x in held]).astype(np.int64)
+    c = np.concatenate([_spread_counts(x[4]) for x in held])
     sizes = np.array([len(x[3]) // 8 for x in held])
     order = np.lexsort((w, h))
     new = np.ones(len(order), bool)
@@ -295,26 +308,41 @@ def _counted_part(part: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
     total = np.add.reduceat(c[order], first)
     answer = np.empty(len(order), np.int64)
     answer[order] = np.repeat(total, np.diff(np.append(first, len(order))))
+    answer[order[first]] *= -1
     for number, x in zip(blocks, np.split(answer, np.cumsum(sizes)[:-1])):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), pa.array([part], pa.int64()), pa.array([_squeezed(np.minimum(x, 2**31 - 1).astype(np.int32))]), *[pa.nulls(1, pa.int64())] * 3],
-            ["block", "part", "counts", "h", "w", "c"],
+            [pa.array([number], pa.int64()), pa.array([part], pa.int64()), pa.array([_squeezed_counts(x)], pa.binary()), pa.nulls(1, pa.list_(pa.int64()))],
+            ["block", "part", "counts", "kinds"],
         )
-    often = total >= CUT
-    at = order[first[often]]
-    few = np.bincount(total[~often], minlength=CUT)[1:CUT]
-    n = len(at)
-    columns = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), _signed(h[at]), _signed(w[at]), pa.array(total[often], pa.int64())]
-    yield pa.RecordBatch.from_arrays(columns, ["block", "part", "counts", "h", "w", "c"])
-    once = int(few[0]) if len(few) else 0
-    yield pa.RecordBatch.from_arrays([*[pa.nulls(1, pa.int64())] * 2, pa.nulls(1, pa.binary()), *[pa.nulls(1, pa.int64())] * 2, pa.array([once], pa.int64())], ["block", "part", "counts", "h", "w", "c"])
+    kinds = np.bincount(np.minimum(total, KEEP + 2), minlength=KEEP + 3)[: KEEP + 2].astype(np.int64)
+    yield pa.RecordBatch.from_arrays(
+        [*[pa.nulls(1, pa.int64())] * 2, pa.nulls(1, pa.binary()), pa.array([kinds.tolist()], pa.list_(pa.int64()))], ["block", "part", "counts", "kinds"]
+    )
+
+
+def _sum_histories(unigrams: list[float], pairs: list[float], n_tokens: int, parts: _Parts):
+    """For each block and history, over the bigrams the block owns: their discounted counts, and their second words' probabilities."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, _, told, counts in _answered(batches):
+            c = _joined([x["c"] for x in told], np.int64)
+            code, _, _, _ = block.bigrams(parts)
+            seen = -_joined_counts(counts)
+            own = seen >= CUT
+            seen, h, w = seen[own], code[own] // len(block.words), code[own] % len(block.words)
+            mass = np.bincount(h, seen * _factors(seen, pairs), minlength=len(block.words))
+            p = np.bincount(h, c[w] * _factors(c[w], unigrams) / max(n_tokens, 1), minlength=len(block.words))
+            at = np.flatnonzero(mass)
+            yield pa.RecordBatch.from_arrays([_signed(block.words[at]), pa.array(mass[at], pa.float64()), pa.array(p[at], pa.float64())], ["h", "mass", "p"])
+
+    return run
 
 
 def _ask_words(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                known = np.frombuffer(batch.column("words")[i].as_py(), _U)
+                known = _spread_words(batch.column("words")[i].as_py())
                 part, number = top_bits(known, bits), batch.column("block")[i].as_py()
                 rows = [(int(part[a]), number, known[a:b].tobytes()) for a, b in _groups(part)]
                 yield _rows(rows, ("part", "block", "words"))
@@ -322,52 +350,108 @@ def _ask_words(bits: int):
     return run
 
 
-_TOLD = "block long, part long, c binary, alpha binary, scale binary"
+#: What blocks are told of their words: first their counts, then what histories leave over.
+_TYPES = {"c": np.int64, "alpha": float, "scale": float}
+_ELSE = {"c": 0, "alpha": 1.0, "scale": 1.0}
 
 
-def _tell_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _binary(names: Iterable[str]) -> str:
+    return ", ".join(f"{x} binary" for x in names)
+
+
+def _tell_words(names: tuple[str, ...]):
     """Goes through rows sorted by part, the table's words before the blocks' requests.
 
     The table's words come packed, too, a batch at a time.
     """
-    part, table, ready = None, [], None
-    for batch in batches:
-        for at, number, asked, c, alpha, scale in zip(*(batch.column(x).to_pylist() for x in ("part", "block", "words", "c", "alpha", "scale"))):
-            if at != part:
-                part, table, ready = at, [], None
-            if number is None:
-                table.append([np.frombuffer(x, t) for x, t in zip((asked, c, alpha, scale), (_U, np.int64, float, float))])
-                continue
-            if ready is None:
-                ready = [np.concatenate(x) for x in zip(*table)] if table else [np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)]
-                turn = np.argsort(ready[0])
-                ready = [x[turn] for x in ready]
-            mine = np.frombuffer(asked, _U)
-            if len(ready[0]):
-                place = np.minimum(np.searchsorted(ready[0], mine), len(ready[0]) - 1)
-                hit = ready[0][place] == mine
-                found = np.where(hit, ready[1][place], 0), np.where(hit, ready[2][place], 1.0), np.where(hit, ready[3][place], 1.0)
-            else:
-                found = np.zeros(len(mine), np.int64), np.ones(len(mine)), np.ones(len(mine))
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([at], pa.int64()), *(pa.array([_squeezed(x)]) for x in found)], ["block", "part", "c", "alpha", "scale"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, table, ready = None, [], None
+        kinds = (_U, *(_TYPES[x] for x in names))
+        for batch in batches:
+            for at, number, asked, *values in zip(*(batch.column(x).to_pylist() for x in ("part", "block", "words", *names))):
+                if at != part:
+                    part, table, ready = at, [], None
+                if number is None:
+                    table.append([np.frombuffer(x, t) for x, t in zip((asked, *values), kinds)])
+                    continue
+                if ready is None:
+                    ready = [np.concatenate(x) for x in zip(*table)] if table else [np.zeros(0, t) for t in kinds]
+                    turn = np.argsort(ready[0])
+                    ready = [x[turn] for x in ready]
+                mine = np.frombuffer(asked, _U)
+                if len(ready[0]):
+                    place = np.minimum(np.searchsorted(ready[0], mine), len(ready[0]) - 1)
+                    hit = ready[0][place] == mine
+                    found = [np.where(hit, x[place], _ELSE[n]) for n, x in zip(names, ready[1:])]
+                else:
+                    found = [np.full(len(mine), _ELSE[n], _TYPES[n]) for n in names]
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([at], pa.int64()), *(pa.array([_squeezed(x)]) for x in found)], ["block", "part", *names])
+
+    return run
 
 
-def _pack_words(bits: int):
+def _pack_words(bits: int, names: tuple[str, ...]):
     """Words of the table, packed by part, as they come."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             w = batch.column("w").to_numpy().view(_U)
-            values = [batch.column("c").to_numpy(), batch.column("alpha").to_numpy(), batch.column("scale").to_numpy()]
+            values = [batch.column(x).to_numpy() for x in names]
             part = top_bits(w, bits)
             turn = np.argsort(part, kind="stable")
             rows = [(int(part[turn[a]]), None, *(x[turn[a:b]].tobytes() for x in (w, *values))) for a, b in _groups(part[turn])]
-            yield _rows(rows, ("part", "block", "words", "c", "alpha", "scale"))
+            yield _rows(rows, ("part", "block", "words", *names))
 
     return run
 
 
-def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
+def _told(packed: DataFrame, table: DataFrame, bits: int, names: tuple[str, ...]) -> DataFrame:
+    """What ``table`` has of the words of each block, in the order of the block."""
+    spark = packed.sparkSession
+    requests = packed.select("block", "words").mapInArrow(_ask_words(bits), "part long, block long, words binary")
+    rows = table.select("w", *names).mapInArrow(_pack_words(bits, names), f"part long, block long, words binary, {_binary(names)}")
+    both = rows.unionByName(requests, allowMissingColumns=True).repartition("part").sortWithinPartitions("part", F.asc_nulls_first("block"))
+    path, schema = scratch_path(spark, "lm-told"), f"block long, part long, {_binary(names)}"
+    both.mapInArrow(_tell_words(names), schema).write.option("compression", "zstd").parquet(path)
+    _release(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _together(blocks: DataFrame, counted: DataFrame, *told: DataFrame) -> DataFrame:
+    """Each block's answers, then the block."""
+    rows = blocks.withColumn("kind", F.lit(0))
+    for kind, more in enumerate((counted, *told), 1):
+        rows = rows.unionByName(more.withColumn("kind", F.lit(kind)), allowMissingColumns=True)
+    return rows.repartition("block").sortWithinPartitions("block", F.desc("kind"), "part")
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Block, pa.Array | None, list[dict], list[bytes]]]:
+    """Each block with its documents, if they are there, what it was told of its words, and the counts of its bigrams."""
+    told, counts = [], []
+    for batch in batches:
+        names, about = set(batch.schema.names), [x for x in _TYPES if x in batch.schema.names]
+        for i in range(batch.num_rows):
+            kind = batch.column("kind")[i].as_py()
+            if kind > 1:
+                told.append({x: v for x in about if (v := batch.column(x)[i].as_py()) is not None})
+            elif kind == 1:
+                counts.append(batch.column("counts")[i].as_py())
+            else:
+                block = _Block.of(*(batch.column(c)[i].as_py() for c in _PACKED))
+                yield block, batch.column("docs").slice(i, 1).flatten() if "docs" in names else None, told, counts
+                told, counts = [], []
+
+
+def _joined(packed: Iterable[bytes], kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(_spread(x, kind) for x in packed)])
+
+
+def _joined_counts(packed: Iterable[bytes]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *map(_spread_counts, packed)])
+
+
+def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, list[DataFrame]]:
     """Learn from the rows of ``docs`` marked train; returns the model, the blocks, and what each block was told."""
     spark = docs.sparkSession
     prepare(spark)
@@ -395,12 +479,12 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
     asked.mapInArrow(_count_bigrams, _COUNTED).write.option("compression", "zstd").parquet(path)
     counted = spark.read.schema(_COUNTED).parquet(path)
     _release(spark)
-    bigrams = counted.filter("h IS NOT NULL").select("h", "w", "c")
-    per_count = {r.c: r.n for r in bigrams.filter(F.col("c") <= KEEP + 1).groupBy("c").agg(F.count("*").alias("n")).collect()}
-    once = counted.filter("counts IS NULL AND h IS NULL").agg(F.sum("c")).first()[0]
-    pairs = good_turing(per_count | {1: once or 0}, CUT)
-    chance = counts.select("w", (discounted(F.col("c"), unigrams) / max(total.n, 1)).alias("p"))
-    sums = bigrams.join(chance, "w").groupBy("h").agg(F.sum(discounted(F.col("c"), pairs)).alias("mass"), F.sum("p").alias("p"))
+    kinds = counted.filter("kinds IS NOT NULL").agg(*(F.coalesce(F.sum(F.col("kinds")[r]), F.lit(0)) for r in range(KEEP + 2))).first()
+    pairs = good_turing(dict(enumerate(kinds)), CUT)
+    answers = counted.filter("counts IS NOT NULL").select("block", "part", "counts")
+    seen = _told(packed, counts, bits, ("c",))
+    owned = _together(packed, answers, seen).mapInArrow(_sum_histories(unigrams, pairs, total.n, parts), "h long, mass double, p double")
+    sums = owned.groupBy("h").agg(F.sum("mass").alias("mass"), F.sum("p").alias("p"))
     share = F.col("mass") / F.col("c")
     most = F.col("c") / (F.col("c") + 1)  # a history always leaves something for what it was not seen with
     scale = F.when(share > most, most / share).otherwise(1.0)
@@ -408,15 +492,9 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
     alpha = F.coalesce((1 - F.col("scale") * share) / (1 - F.col("p")), F.lit(1.0))
     table = stored(known.select("w", "c", alpha.alias("alpha"), "scale"), "lm-table")
     _release(spark)
-    requests = packed.select("block", "words").mapInArrow(_ask_words(bits), "part long, block long, words binary")
-    rows = table.mapInArrow(_pack_words(bits), "part long, block long, words binary, c binary, alpha binary, scale binary")
-    both = rows.unionByName(requests, allowMissingColumns=True).repartition("part").sortWithinPartitions("part", F.asc_nulls_first("block"))
-    path = scratch_path(spark, "lm-told")
-    both.mapInArrow(_tell_words, _TOLD).write.option("compression", "zstd").parquet(path)
-    told = spark.read.schema(_TOLD).parquet(path)
-    _release(spark)
-    model = Model(Constants(total.n, total.v, unigrams, pairs, unknown, parts), table, bigrams)
-    return model, blocks, counted.filter("counts IS NOT NULL").select("block", "part", "counts"), told
+    left = _told(packed, table, bits, ("alpha", "scale"))
+    model = Model(Constants(total.n, total.v, unigrams, pairs, unknown, parts), table)
+    return model, blocks, answers, [seen, left]
 
 
 def scored(docs: DataFrame, train: Column) -> DataFrame:
@@ -432,12 +510,7 @@ def scored(docs: DataFrame, train: Column) -> DataFrame:
     docs = docs.drop(*[x.split()[0] for x in added.split(", ")])
     rows = docs.withColumns({"train": F.coalesce(train, F.lit(False)), "text": F.coalesce("text", F.lit(""))})
     model, blocks, counted, told = fit(rows)
-    all_ = (
-        blocks.withColumn("kind", F.lit(0))
-        .unionByName(counted.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-        .unionByName(told.withColumn("kind", F.lit(2)), allowMissingColumns=True)
-    )
-    together = all_.repartition("block").sortWithinPartitions("block", F.desc("kind"), "part")
+    together = _together(blocks, counted, *told)
     fields = docs.drop("text").schema
     return together.mapInArrow(_score(model.constants), widened(fields, added))
 
@@ -449,26 +522,16 @@ def _factors(c: np.ndarray, factors: list[float]) -> np.ndarray:
 
 def _score(constants: Constants):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told, counts = [], []
-        for batch in batches:
-            for i in range(batch.num_rows):
-                kind = batch.column("kind")[i].as_py()
-                if kind == 2:
-                    told.append([batch.column(c)[i].as_py() for c in ("c", "alpha", "scale")])
-                elif kind == 1:
-                    counts.append(batch.column("counts")[i].as_py())
-                else:
-                    block = _Block.of(*(batch.column(c)[i].as_py() for c in _PACKED))
-                    yield _scores(block, batch.column("docs").slice(i, 1).flatten(), told, counts, constants)
-                    told, counts = [], []
+        for block, docs, told, counts in _answered(batches):
+            yield _scores(block, docs, told, counts, constants)
 
     return run
 
 
 def _scores(block: _Block, docs: pa.StructArray, told: list, counts: list, model: Constants) -> pa.RecordBatch:
     n, pairs = model.n_tokens, model.bigrams
-    c, alpha, scale = (np.concatenate([_spread(x, t) for x in held]) for held, t in zip(zip(*told), (np.int64, float, float)))
-    seen = np.concatenate([_spread(x, np.int32) for x in counts]).astype(np.int64)
+    c, alpha, scale = (_joined([x[name] for x in told if name in x], kind) for name, kind in _TYPES.items())
+    seen = np.abs(_joined_counts(counts))
     start = np.searchsorted(block.words, START)
     as_token = c.copy()
     as_token[start] = 0

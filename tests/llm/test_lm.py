@@ -112,3 +112,37 @@ def test_nothing_to_learn_from_and_nothing_at_all(spark):
     found = scores(spark, [(1, "a b", False, None)])
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in found] == [(3, 0, 0, 0.0, 0.0)]
     assert scores(spark, []) == []
+
+
+class Whole(Brute):
+    """All bigrams of training count, those seen once too; says so by itself, whatever the module's CUT."""
+
+    def __init__(self, texts: list):
+        super().__init__(texts)
+        self.d2 = lm.good_turing(Counter(self.pairs.values()))
+        mass, single = Counter(), Counter()
+        for (h, w), c in self.pairs.items():
+            mass[h] += self.discounted(c, self.d2)
+            single[h] += self.one(w)
+        for h, n in self.begun.items():
+            share = mass[h] / n
+            self.scale[h] = min(1, n / (n + 1) / share)
+            self.alpha[h] = (1 - self.scale[h] * share) / (1 - single[h])
+
+    def two(self, h: str, w: str) -> float:
+        if c := self.pairs.get((h, w), 0):
+            return self.scale[h] * self.discounted(c, self.d2) / self.begun[h]
+        return self.alpha.get(h, 1.0) * self.one(w)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_bigrams_seen_once_have_their_own_discount(spark, rows, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(lm, "PART", 500)
+        monkeypatch.setattr(lm, "HOT", 1e-4)
+    random.seed(7)
+    more = rows + [(i, " ".join(random.choices([f"v{n}" for n in range(40)], range(1, 41), k=30)), i % 3 != 0, "x") for i in range(300, 340)]
+    model = Whole([t for _, t, learn, _ in more if learn])
+    assert 0 < model.d2[0] < 1 and Counter(model.pairs.values())[1] > 100
+    wanted = [model.score(r[1]) for r in sorted(more, key=lambda r: (r[0] or 0, len(tokens(r[1])), r[2] or False))]
+    assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in scores(spark, more)] == wanted
