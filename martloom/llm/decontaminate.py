@@ -5,7 +5,8 @@ words, weighted by how often they occur in the run), so similar runs differ in f
 every item length slide over the whole text.  Fingerprints are cut into blocks of bits; two that
 differ in at most ``radius`` bits agree up to ``radius // blocks`` bits in one block at least, so a
 table of each block's values near an item's finds all items within the radius.  What it finds is
-compared by exact weighted shingle similarity.
+compared by exact weighted shingle similarity.  A text shorter than an item is one window, the whole
+text; the items that share enough of its shingles are looked up by shingle and compared exactly.
 
 A window without any shingle of any item has similarity 0 with all of them, so only windows around
 such a shingle are given a fingerprint.  This drops no window that could match.
@@ -51,6 +52,13 @@ class Items:
             self.known.setdefault(size, []).extend(x for i in here for x in self.shingles[i][0].tolist())
             self.tables[length] = (here, _block_tables(self.prints[here], radius, blocks))
         self.known = {size: np.unique(np.array(x, _U)) for size, x in self.known.items()}
+        #: Shingles in order, and the item of each.
+        self.holders = {}
+        for size in self.known:
+            held = [i for i, n in enumerate(self.length.tolist()) if n and min(SIZE, n) == size]
+            hashes = np.concatenate([self.shingles[i][0] for i in held])
+            turn = np.argsort(hashes, kind="stable")
+            self.holders[size] = hashes[turn], np.repeat(held, [len(self.shingles[i][0]) for i in held])[turn]
 
 
 def _counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,6 +111,7 @@ def matches_in(text_words: np.ndarray, items: Items, similarity: float) -> list[
         spots = np.flatnonzero(known[np.minimum(np.searchsorted(known, runs), len(known) - 1)] == runs)
         if not len(spots):
             continue
+        best |= _shortened(runs, size, n, items, similarity)
         for length, (here, tables) in items.tables.items():
             if min(SIZE, length) != size or length > n:
                 continue
@@ -116,6 +125,23 @@ def matches_in(text_words: np.ndarray, items: Items, similarity: float) -> list[
     return [(item, *match) for item, match in sorted(best.items())]
 
 
+def _shortened(runs: np.ndarray, size: int, n: int, items: Items, similarity: float) -> dict[int, tuple[int, int, float]]:
+    """Matches of the whole text with items that are longer."""
+    hashes, counts = window = np.unique(runs, return_counts=True)
+    sorted_, holders = items.holders[size]
+    low, high = np.searchsorted(sorted_, hashes, "left"), np.searchsorted(sorted_, hashes, "right")
+    times = high - low
+    at = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+    shared = np.bincount(holders[at], np.repeat(counts, times), minlength=len(items.length))  # no fewer than really shared
+    held = np.maximum(items.length - size + 1, 1)
+    found = {}
+    for item in np.flatnonzero((items.length > n) & (shared > 0) & (shared >= similarity * held - 1e-6)).tolist():
+        value = _similarity(window, items.shingles[item])
+        if value >= similarity:
+            found[item] = (0, n, value)
+    return found
+
+
 def _starts(spots: np.ndarray, before: int, last: int) -> np.ndarray:
     """Starts of all windows that hold one of the spots."""
     edge = np.zeros(last + 2, np.int64)
@@ -153,7 +179,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     """The benchmark items that texts hold: columns of ``docs`` but text, item_id, first_word, n_words, similarity.
 
     One row for each row of ``docs`` and item with a window of the item's length at least that similar;
-    the best such window, the first if several.  Words are compared in lower case.  Texts and items that
+    the best such window, the first if several.  A text with fewer words than the item is its only window.  Words are compared in lower case.  Texts and items that
     are null or without words match nothing; equal items match each on its own; an item of fewer than
     five words is one shingle.  Columns named like the new ones are replaced.
     """

@@ -85,3 +85,39 @@ def test_empty(spark):
     docs, items = spark.createDataFrame([(1, "a", "b")], DOCS), spark.createDataFrame([], ITEMS)
     assert d.contaminated(docs, items).count() == 0 and d.clean(docs, items).count() == 1
     assert d.contaminated(docs.limit(0), spark.createDataFrame([(1, "a", None)], ITEMS)).count() == 0
+
+
+def whole(docs: list, items: list) -> set:
+    """``brute``, and texts shorter than an item as the one window."""
+    found = brute(docs, items)
+    for i, text in docs:
+        words = (text or "").lower().split()
+        for n, item in items:
+            want = (item or "").lower().split()
+            if 0 < len(words) < len(want):
+                size = min(5, len(want))
+                a, b = runs(words, size), runs(want, size)
+                smaller = sum((a & b).values())
+                value = smaller / (sum(a.values()) + sum(b.values()) - smaller)
+                if value >= 0.8:
+                    found.add((i, n, round(value, 9)))
+    return found
+
+
+def test_texts_shorter_than_the_item(spark, case):
+    random.seed(5)
+    items = case[1] + [(40 + i, " ".join(random.choices([f"w{n}" for n in range(60)], k=k))) for i, k in enumerate((6, 9, 9, 50, 50, 50))]
+    items += [(50, "a b " * 20), (51, "a b " * 20 + "c")]
+    docs: list = [(0, " ".join(items[-4][1].split()[:45])), (1, "a b " * 18), (2, "a b " * 10), (3, items[0][1])]
+    for i, (_, item) in enumerate([x for x in items if x[1]] * 4, 10):
+        words = item.upper().split()
+        for _ in range(min(i % 4, len(words))):
+            del words[random.choice((0, -1))]
+        docs.append((i, " ".join(words)))
+    want = whole(docs, items)
+    assert (0, items[-4][0], round(41 / 46, 9)) in want and len(want) > len(brute(docs, items)) + 20
+    frames = spark.createDataFrame([(*x, "old") for x in docs], DOCS), spark.createDataFrame([(*x, None) for x in items], ITEMS)
+    found = d.contaminated(*frames).collect()
+    assert {(r.doc_id, r.item_id, round(r.similarity, 9)) for r in found} == want
+    assert {(r.first_word, r.n_words) for r in found if r.doc_id == 0} == {(0, 45)}
+    assert {r.doc_id for r in d.clean(*frames).collect()} == {i for i, _ in docs} - {i for i, _, _ in want}
