@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -88,7 +88,9 @@ def _hot_keys(facts: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
     parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = F.explode(F.array(*(F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns)))
     counts = facts.select(keys.alias("key")).groupBy("key.c", "key.v").agg(F.count("*").alias("n"))
-    counts = checkpoint(counts.withColumn("all", F.sum("n").over(Window.partitionBy("c"))).filter(F.col("n") > F.col("all") / parts))
+    counts = checkpoint(counts)
+    totals = counts.groupBy("c").agg(F.sum("n").alias("all"))
+    counts = checkpoint(counts.join(F.broadcast(totals), "c").filter(F.col("n") > F.col("all") / parts))
     return {
         c: counts.filter((F.col("c") == c) & F.col("v").isNotNull()).select(F.col("v").cast(facts.schema[c].dataType).alias(c))
         for c in columns

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from martloom.operators import lookup as module
 from martloom.operators.lookup import ROW_OVERHEAD, Lookup, lookup, lookups, measured_bytes
 
 
@@ -75,6 +76,16 @@ def test_hot_keys_are_found_before_the_joins(spark):
     assert reads.value == 2 * 6000
 
 
+def test_hot_keys_are_found_without_a_window(spark, monkeypatch):
+    """No task gets all distinct keys of a column."""
+    plans = []
+    monkeypatch.setattr(module, "checkpoint", lambda df: plans.append(df) or df)
+    hot = module._hot_keys(facts(spark), ["code", "TransactionID"])
+    assert {r.code for r in hot["code"].collect()} == {"hot", "unknown"} and hot["TransactionID"].count() == 0
+    for df in (*plans, *hot.values()):
+        assert "Window" not in df._jdf.queryExecution().toString()
+
+
 def test_measured_bytes(spark):
     df = spark.createDataFrame([("ab", 1), (None, 2), ("ü", None)], "text string, number int")
     assert measured_bytes(df) == 3 * (2 * 8 + ROW_OVERHEAD) + 2 + 2
