@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from martloom.llm import chat, decontaminate, language, lm, mixing, near, private, quality, repeats
+from martloom.llm import chat, decontaminate, divergence, fim, language, lm, mixing, near, private, quality, repeats, urls
 from martloom.llm.sample import held_out, learnable
 from martloom.llm.topk import quantised, top_k
 
@@ -76,6 +76,21 @@ def op10_katz(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_fim(spark: SparkSession, folder: str) -> DataFrame:
+    found = fim.filled_in_middle(table(spark, folder, "documents").select("doc_id", "text"))
+    back = fim.restored(F.col("output"), F.col("form"))
+    hashes = F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *hashes)
+
+
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents").select("text", "lang", "source"))
+
+
+def op13_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judged(table(spark, folder, "pages").select("page_id", "url")).drop("url")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_topk": op1_topk,
@@ -88,6 +103,9 @@ def queries() -> dict[str, Query]:
         "op8_repeats": op8_repeats,
         "op9_mixing": op9_mixing,
         "op10_katz": op10_katz,
+        "op11_fim": op11_fim,
+        "op12_divergence": op12_divergence,
+        "op13_urls": op13_urls,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -134,5 +152,103 @@ FROM sized GROUP BY conv_id
 """
 
 
+OP11_SQL = r"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+           sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    FROM documents
+), numbered AS (
+    SELECT *, len(lines) AS n,
+           CAST('0x' || h[1:8] AS BIGINT) % (len(lines) + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (len(lines) + 1) AS c2,
+           CAST('0x' || h[17:24] AS BIGINT) % 100 AS whether, CAST('0x' || h[25:32] AS BIGINT) % 100 AS which
+    FROM drawn
+), cut AS (
+    SELECT *,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR whether >= 100 THEN 'plain'
+                WHEN which < 50 THEN 'spm' ELSE 'psm' END AS form,
+           array_to_string(lines[1:least(c1, c2)], '') AS p,
+           array_to_string(lines[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+           array_to_string(lines[greatest(c1, c2) + 1:n], '') AS s
+    FROM numbered
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
+OP12_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+    FROM documents
+), words AS (
+    SELECT id, lang, source,
+           translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+    FROM docs
+), kept AS (
+    SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 10
+), sizes AS (
+    SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(n) AS total FROM kept GROUP BY lang
+), groups AS (
+    SELECT DISTINCT lang, source FROM docs
+), used AS (
+    SELECT w.lang, w.source, w.term, count(*) AS n FROM words w SEMI JOIN kept k ON k.lang = w.lang AND k.term = w.term GROUP BY ALL
+), totals AS (
+    SELECT lang, source, sum(n) AS total FROM used GROUP BY lang, source
+), cells AS (
+    SELECT g.lang, g.source, k.term, CAST(coalesce(u.n, 0) AS HUGEINT) AS n,
+           1 + 1000000000 * (CAST(coalesce(u.n, 0) AS HUGEINT) + 2) // (coalesce(t.total, 0) + 2 * z.v) AS p,
+           1 + 1000000000 * (k.n + 2) // (z.total + 2 * z.v) AS q
+    FROM groups g JOIN kept k ON k.lang = g.lang JOIN sizes z ON z.lang = g.lang
+    LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+    LEFT JOIN used u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM cells a JOIN cells b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source
+    GROUP BY a.lang, a.source, b.source
+), every_pair AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value
+    FROM groups a JOIN groups b ON b.lang = a.lang AND b.source <> a.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+), every_term AS (
+    SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value
+    FROM cells WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+    FROM (SELECT * FROM every_pair UNION ALL SELECT * FROM every_term)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+OP13_SQL = r"""
+WITH split AS (
+    SELECT row_number() OVER () AS id, page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS tail FROM pages
+), bare AS (
+    SELECT id, page_id, regexp_replace(coalesce(tail, ''), '(?s)[?#].*$', '') AS tail FROM split
+), parts AS (
+    SELECT id, page_id,
+           translate(CASE WHEN strpos(tail, '/') > 0 THEN substr(tail, 1, strpos(tail, '/') - 1) ELSE tail END, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           CASE WHEN strpos(tail, '/') > 0 THEN substr(tail, strpos(tail, '/')) ELSE '' END AS path
+    FROM bare
+), rules(verdict, h, p) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), fitting AS (
+    SELECT id, arg_max({'rule': h || p, 'verdict': rules.verdict}, length(h || p)) AS best
+    FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY id
+), bad AS (
+    SELECT id, regexp_matches('.' || host, '\.(spam|cheap)-|-(spam|pills)\.|casino') OR contains(path, '/wp-login.php') AND NOT regexp_matches(path, '/wp-login\.php[^/]*/')
+           OR ends_with('.' || host || path, '.exe') OR ends_with('.' || host || path, '.apk') AS blocked
+    FROM parts
+)
+SELECT page_id, host, path, f.best.rule AS rule, coalesce(f.best.verdict, CASE WHEN b.blocked THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN fitting f USING (id) JOIN bad b USING (id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": OP1_SQL, "op7_chat": OP7_SQL}
+    return {"op1_topk": OP1_SQL, "op7_chat": OP7_SQL, "op11_fim": OP11_SQL, "op12_divergence": OP12_SQL, "op13_urls": OP13_SQL}

@@ -45,6 +45,18 @@ def prepare(spark: SparkSession) -> None:
     context.addPyFile(path)
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """Names for working columns that ``df`` does not have, whatever case its own are in."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def widened(schema: StructType, more: str) -> StructType:
     """A schema with further columns, given as DDL."""
     return StructType([*schema.fields, *StructType.fromDDL(more).fields])
