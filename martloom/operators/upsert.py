@@ -33,14 +33,16 @@ def one_row_per_key(
     """The rows that have a key, each key once.
 
     A key that comes twice fails the job (``on_duplicate="error"``) or is reduced to the first
-    row in ``order_by`` (``"latest"``).
+    row in ``order_by`` (``"latest"``); ``"unique"`` says that none does.
     """
     keyed = source.filter(F.col(key).isNotNull())
+    if on_duplicate == "unique":
+        return keyed
     if on_duplicate == "latest":
         return _first_per_key(keyed, key, order_by)
     if on_duplicate == "error":
         return _assert_one_per_key(keyed, key)
-    raise ValueError(f"on_duplicate must be error or latest, not {on_duplicate!r}")
+    raise ValueError(f"on_duplicate must be error, latest or unique, not {on_duplicate!r}")
 
 
 def upsert(
@@ -101,8 +103,11 @@ def _first_per_key(df: DataFrame, key: str, order_by: Sequence[Column | str]) ->
 
 
 def _assert_one_per_key(df: DataFrame, key: str) -> DataFrame:
-    # A window without an order: rows already grouped and sorted by key are not sorted again.
-    times = F.count("*").over(Window.partitionBy(key))
+    # Grouped, not in a window: of a key that comes often one row for each task is moved and held, and
+    # rows already grouped and sorted by key are neither moved nor sorted again.
+    others = [c for c in df.columns if c != key]
+    row = F.any_value(F.struct(*others) if others else F.lit(True)).alias("_row")
     message = F.concat(F.lit(f"upsert source repeats {key} "), F.col(key).cast("string"))
     once = F.when(F.col("_times") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
-    return df.withColumn("_times", times).filter(once).drop("_times")
+    grouped = df.groupBy(key).agg(F.count("*").alias("_times"), row).filter(once)
+    return grouped.select(*(key if c == key else F.col("_row").getField(c).alias(c) for c in df.columns))

@@ -1,12 +1,20 @@
-"""One run of the whole chain: deliveries to bronze, silver, gold and the analytics views."""
+"""One run of the whole chain: deliveries to bronze, silver, gold and the analytics views.
+
+Where the warehouse keeps its sales in parts, a load reads the rows that the layer below changed since
+the last one, and writes the parts these rows and their former versions are in.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from martloom.operators.keys import scd1_dimension
+from martloom.operators.quality import rules_for
 from martloom.operators.upsert import conform, one_row_per_key, upsert
 from martloom.plans.audit import layer_row_counts
 from martloom.plans.layers import (
@@ -15,6 +23,7 @@ from martloom.plans.layers import (
     dim_date_rows,
     dimension_members,
     fact_rows,
+    run_time,
     silver_rows,
 )
 from martloom.plans.views import publish_views
@@ -30,8 +39,8 @@ from martloom.schemas import (
     SILVER,
     TableSpec,
 )
-from martloom.session import bucketed_scans, together
-from martloom.sources.warehouse import Warehouse
+from martloom.session import bucketed_scans, checkpoint, together
+from martloom.sources.warehouse import LOAD, PART, Warehouse
 
 
 def load_bronze(
@@ -53,10 +62,36 @@ def load_bronze(
 
 
 def load_silver(warehouse: Warehouse, entity: str, run_ts: str | None = None) -> None:
-    """Merge the bronze rows that meet the rules; silver rows that stopped meeting them stay."""
+    """Merge the bronze rows that meet the rules; silver rows that stopped meeting them stay.
+
+    The time of validation of all rows that meet the rules is that of the last load.
+    """
+    if warehouse.in_parts(SILVER[entity]):
+        _load_changed_silver(warehouse, entity, run_ts)
+        return
     merge_into(warehouse, SILVER[entity], silver_rows(warehouse.read(BRONZE[entity]), entity, run_ts))
 
 
+def _load_changed_silver(warehouse: Warehouse, entity: str, run_ts: str | None) -> None:
+    """Merge what changed in bronze.
+
+    The time of validation is one for all rows that meet the rules, so it is kept once, beside the table.
+    Only a row that stopped meeting them gets a time of its own, that of the load before.
+    """
+    spec = SILVER[entity]
+    now = _micros(warehouse, run_ts)
+    changed, marks = changed_rows(warehouse, spec, BRONZE[entity])
+    own_time = F.lit(None).cast("timestamp")
+    source = silver_rows(changed, entity).withColumn(spec.stamp, own_time)
+    if warehouse.has_parts(spec):
+        met = reduce(Column.__and__, rules_for(entity).values())
+        failed = changed.filter(~F.coalesce(met, F.lit(False))).select(spec.key)
+        held = warehouse.rows(spec).filter(F.col(spec.stamp).isNull()).select(*spec.columns)
+        stale = held.join(failed, spec.key, "left_semi")
+        source = source.unionByName(stale.withColumn(spec.stamp, F.timestamp_micros(F.lit(warehouse.stamp(spec)))))
+    merge_parts(warehouse, spec, source, on_duplicate="unique", marks=marks, stamp=now)
+
+
 def load_dim_date(warehouse: Warehouse) -> None:
     """Replace the calendar by the days from the first to the last sale."""
     warehouse.replace(DIM_DATE, dim_date_rows(warehouse.read(SILVER["sales"])))
@@ -71,17 +106,58 @@ def load_dimension(warehouse: Warehouse, entity: str, run_ts: str | None = None)
 
 
 def load_fact(warehouse: Warehouse, run_ts: str | None = None) -> None:
-    """Merge all of silver sales, so that sales find dimension rows that came after them. A sale
+    """Merge silver sales, so that sales find dimension rows that came after them. A sale
     keeps the time it was first loaded."""
-    facts = fact_rows(
-        warehouse.read(SILVER["sales"]),
-        warehouse.read(DIM_STORE),
-        warehouse.read(DIM_PRODUCT),
-        warehouse.read(DIM_PROMOTION),
-        warehouse.read(DIM_DATE),
-        run_ts,
-    )
-    merge_into(warehouse, FACT_SALES, facts, preserve=[FACT_SALES.stamp])
+    dims = {spec.label: warehouse.read(spec) for spec in (DIM_STORE, DIM_PRODUCT, DIM_PROMOTION, DIM_DATE)}
+    if warehouse.in_parts(FACT_SALES):
+        sales, marks = changed_rows(warehouse, FACT_SALES, SILVER["sales"])
+        late, newest = _waiting_sales(warehouse, sales)
+        facts = fact_rows(late, *dims.values(), run_ts)
+        merge_parts(warehouse, FACT_SALES, facts, [FACT_SALES.stamp], "unique", marks=marks | newest)
+        return
+    merge_into(warehouse, FACT_SALES, fact_rows(warehouse.read(SILVER["sales"]), *dims.values(), run_ts), preserve=[FACT_SALES.stamp])
+
+
+def _waiting_sales(warehouse: Warehouse, changed: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """``changed`` with the older sales whose store, product or promotion came since the last load of the
+    fact table, and the highest surrogate key of each dimension.
+
+    Keys are given in order, so members that came since have higher ones than any that were there. Without
+    new members no older sale is read.
+    """
+    newest, waiting = {}, []
+    spec, since = SILVER["sales"], warehouse.mark(FACT_SALES, SILVER["sales"].label)
+    for dim in (DIM_STORE, DIM_PRODUCT, DIM_PROMOTION):
+        members, last = warehouse.read(dim), warehouse.mark(FACT_SALES, dim.label)
+        newest[dim.label] = members.agg(F.max(dim.surrogate)).first()[0] or 0
+        if 0 <= last < newest[dim.label] and since >= 0:
+            fresh = members.filter(F.col(dim.surrogate) > last).select(dim.key)
+            older = warehouse.rows(spec).filter(F.col(LOAD) <= since).select(spec.key, PART, dim.key)
+            waiting.append(older.join(fresh, dim.key, "left_semi").select(spec.key, PART))
+    if waiting:
+        found = checkpoint(reduce(DataFrame.union, waiting).distinct())
+        parts = [r[0] for r in found.select(PART).distinct().collect()]
+        old = warehouse.rows(spec).filter(F.col(PART).isin(parts) & (F.col(LOAD) <= since))
+        changed = changed.unionByName(old.join(found.select(spec.key), spec.key, "left_semi").select(*changed.columns))
+    return changed, newest
+
+
+def changed_rows(warehouse: Warehouse, reader: TableSpec, source: TableSpec) -> tuple[DataFrame, dict[str, int]]:
+    """Rows of ``source`` written by loads that the last load of ``reader`` has not seen (all before its
+    first one), and the mark to keep with the next.
+
+    The load number is a column with a least and a greatest value in the footer of every file, so files of
+    parts that no such load wrote are skipped.
+    """
+    since, seen = warehouse.mark(reader, source.label), warehouse.load(source)
+    rows = warehouse.rows(source)
+    if since >= 0:
+        rows = rows.filter(F.col(LOAD) > since)
+    return rows.select(*source.columns), {source.label: seen}
+
+
+def _micros(warehouse: Warehouse, run_ts: str | None) -> int:
+    return warehouse.spark.range(1).select(F.unix_micros(run_time(run_ts))).first()[0]
 
 
 def refresh(
@@ -89,17 +165,27 @@ def refresh(
     deliveries: Mapping[str, DataFrame],
     run_ts: str | None = None,
     order_by: Mapping[str, Sequence[Column | str]] | None = None,
+    run: str | None = None,
 ) -> DataFrame:
     """Bring every table up to date with a delivery of each entity; returns the row counts.
 
-    Running the same delivery again changes audit columns only.
+    Running the same delivery again changes audit columns only. All tables show their new state
+    together, after the last one is made: whoever reads meanwhile, or after a failure, finds the star as it
+    was. ``run`` names the delivery: a refresh that failed goes on, under the same name, after the
+    tables it had made.
     """
     order_by = order_by or {}
-    together(lambda e: load_bronze(warehouse, e, deliveries[e], run_ts, order_by.get(e, ())), ENTITIES)
-    together(lambda e: load_silver(warehouse, e, run_ts), ENTITIES)
-    load_dim_date(warehouse)
-    together(lambda e: load_dimension(warehouse, e, run_ts), DIMENSIONS)
-    load_fact(warehouse, run_ts)
+
+    def once(spec: TableSpec, job: Callable[..., None], *arguments) -> None:
+        if not warehouse.waits(spec):
+            job(warehouse, *arguments)
+
+    with warehouse.staged(run or uuid.uuid4().hex):
+        together(lambda e: once(BRONZE[e], load_bronze, e, deliveries[e], run_ts, order_by.get(e, ())), ENTITIES)
+        together(lambda e: once(SILVER[e], load_silver, e, run_ts), ENTITIES)
+        once(DIM_DATE, load_dim_date)
+        together(lambda e: once(DIMENSIONS[e], load_dimension, e, run_ts), DIMENSIONS)
+        once(FACT_SALES, load_fact, run_ts)
     publish_views(warehouse)
     return layer_row_counts(warehouse)
 
@@ -115,8 +201,12 @@ def merge_into(
     """Upsert ``source`` into a table of the warehouse.
 
     The merge reads a bucketed table in its buckets and leaves every row in its bucket. A first
-    load is grouped by key as well, but by shuffle partitions, which may be another number.
+    load is grouped by key as well, but by shuffle partitions, which may be another number. Of a
+    table in parts, only those that the merge touches are read and written.
     """
+    if warehouse.in_parts(spec):
+        merge_parts(warehouse, spec, source, preserve, on_duplicate, order_by)
+        return
     if warehouse.exists(spec):
         rows = upsert(
             warehouse.read(spec), source, spec.key, preserve, on_duplicate, order_by, null_keys="drop"
@@ -129,6 +219,37 @@ def merge_into(
         warehouse.replace(spec, rows, grouped)
 
 
+def merge_parts(
+    warehouse: Warehouse,
+    spec: TableSpec,
+    source: DataFrame,
+    preserve: Sequence[str] = (),
+    on_duplicate: str = "error",
+    order_by: Sequence[Column | str] = (),
+    marks: Mapping[str, int] | None = None,
+    stamp: int | None = None,
+) -> None:
+    """Upsert ``source`` into a table in parts, writing the parts that hold its rows or their former versions.
+
+    Where these are is found by a join of keys, for which only the keys of the table are read. A table not yet
+    in parts is written as a whole.
+    """
+    load = F.lit(warehouse.load(spec) + 1).cast("long")
+    came = conform(one_row_per_key(source, spec.key, on_duplicate, order_by), spec.schema).withColumn(LOAD, load)
+    if not warehouse.exists(spec):
+        warehouse.replace(spec, came, marks=marks, stamp=stamp)
+        return
+    came, target = checkpoint(came), warehouse.rows(spec)
+    if not warehouse.has_parts(spec):
+        warehouse.replace(spec, upsert(target.drop(PART), came, spec.key, preserve, "unique", null_keys="drop"), marks=marks, stamp=stamp)
+        return
+    former = target.select(spec.key, PART).join(came.select(spec.key), spec.key, "left_semi").select(PART)
+    touched = former.union(came.select(warehouse.part_of(spec))).distinct()
+    parts = [r[0] for r in touched.collect()]  # no more than the table has parts
+    old = target.filter(F.col(PART).isin(parts)).drop(PART)
+    warehouse.replace_parts(spec, upsert(old, came, spec.key, preserve, "unique", null_keys="drop"), parts, marks, stamp)
+
+
 def read_star(warehouse: Warehouse) -> Star:
     """The gold tables of a warehouse."""
     return Star(

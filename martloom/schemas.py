@@ -15,8 +15,9 @@ class TableSpec:
     key: str
     stamp: str | None = None
     surrogate: str | None = None
-    # Tables that grow with the sales are bucketed by their key; dimensions are not.
-    bucketed: bool = False
+    # Tables that grow with the sales are kept in parts by this column, a day, or in buckets by their key;
+    # the others are not.
+    day: str | None = None
 
     @property
     def schema(self) -> StructType:
@@ -26,6 +27,10 @@ class TableSpec:
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
+    @property
+    def grows(self) -> bool:
+        return self.day is not None
+
     @property
     def label(self) -> str:
         return f"{self.layer}.{self.name}"
@@ -57,7 +62,7 @@ def _layer(layer: str, stamp: str) -> dict[str, TableSpec]:
             f"{columns}, {stamp} timestamp",
             ENTITY_KEY[entity],
             stamp,
-            bucketed=entity == "sales",
+            day="Date" if entity == "sales" else None,
         )
         for entity, columns in ENTITY_COLUMNS.items()
     }
@@ -108,7 +113,7 @@ FACT_SALES = TableSpec(
     "UnitPrice double, DiscountAmount double, TotalSales double, _created_at timestamp",
     "TransactionID",
     "_created_at",
-    bucketed=True,
+    day="DateKey",
 )
 # The entity each overwrite-style dimension is built from.
 DIMENSIONS = {"products": DIM_PRODUCT, "stores": DIM_STORE, "promotions": DIM_PROMOTION}
