@@ -30,7 +30,9 @@ _U = np.uint64
 #: A term is in the audit if it occurs in so many documents of its language.
 LEAST_DOCS = 10
 #: Bytes of the first prefixes; each level doubles them.
-FIRST = 3
+FIRST = 4
+#: Counts that a task adds up before it hands them on.
+HELD = 400_000
 #: Bits of the table of kept prefixes: 16 for each, and no more than 128 MB.
 MOST_BITS = 1 << 30
 #: Sources compared with each other at a time, and counts of a language in a part of its terms.
@@ -46,18 +48,22 @@ _BYTE = mix64(np.arange(1, 257, dtype=_U) * _U(0xD1342543DE82EF95))
 
 
 def document_terms(docs: DataFrame) -> DataFrame:
-    """lang, source, terms and counts of each row of ``docs``: its different terms, in lower case, as bytes."""
+    """lang, source and the different terms of each row of ``docs``, in lower case.
+
+    ``terms`` holds their bytes, one term after the other, ``sizes`` and ``counts`` how many bytes each has and
+    how often it occurs, as 32-bit numbers.
+    """
     prepare(docs.sparkSession)
     rows = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *_terms(batch.column("text"))], ["lang", "source", "terms", "counts"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *_terms(batch.column("text"))], ["lang", "source", "terms", "sizes", "counts"])
 
-    return rows.mapInArrow(run, "lang string, source string, terms array<binary>, counts array<int>")
+    return rows.mapInArrow(run, "lang string, source string, terms binary, sizes binary, counts binary")
 
 
-def _terms(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+def _terms(texts: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
     data, at = utf8(texts)
     data = _LOWER[data]
     solid = np.concatenate([[False], _PART_OF_TERM[data], [False]])
@@ -69,9 +75,16 @@ def _terms(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
     found = _binary(data[solid[1:-1]], ends - begins).dictionary_encode()
     known = max(len(found.dictionary), 1)
     key, count = np.unique(row * known + found.indices.to_numpy(), return_counts=True)
-    offsets = pa.array(np.searchsorted(key, np.arange(len(at)) * known).astype(np.int32))
-    terms = found.dictionary.take(pa.array(key % known))
-    return pa.ListArray.from_arrays(offsets, terms), pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int32)))
+    per_row = np.diff(np.searchsorted(key, np.arange(len(at)) * known))
+    terms, where = _bytes_of(found.dictionary.take(pa.array(key % known)))
+    size = np.diff(where)
+    bytes_ = np.diff(where[np.concatenate([[0], np.cumsum(per_row)])])
+    numbers = (_binary(x.astype(np.uint32).view(np.uint8), 4 * per_row) for x in (size, count))
+    return _binary(terms, bytes_), *numbers
+
+
+def _numbers(packed: pa.Array) -> np.ndarray:
+    return np.ascontiguousarray(_bytes_of(packed)[0]).view(np.uint32).astype(np.int64)
 
 
 def _binary(data: np.ndarray, size: np.ndarray) -> pa.Array:
@@ -115,13 +128,13 @@ def _level(shared: Broadcast | None, length: int):
     ``shared``: the bits of the prefixes kept half that length; terms that were complete there are left out.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             groups = [batch.column(c).dictionary_encode() for c in ("lang", "source")]
             lang, source = (g.indices.to_numpy().astype(np.int64) for g in groups)
-            terms, counts = batch.column("terms"), batch.column("counts").flatten().to_numpy()
-            row = np.repeat(np.arange(batch.num_rows), np.diff(terms.offsets.to_numpy()))
-            found = terms.flatten().dictionary_encode()
+            counts = _numbers(batch.column("counts"))
+            row = np.repeat(np.arange(batch.num_rows), pc.binary_length(batch.column("sizes")).to_numpy() // 4)
+            found = _binary(_bytes_of(batch.column("terms"))[0], _numbers(batch.column("sizes"))).dictionary_encode()
             known, term = found.dictionary, found.indices.to_numpy().astype(np.int64)
             size = pc.binary_length(known).to_numpy()
             if shared is not None:
@@ -144,7 +157,27 @@ def _level(shared: Broadcast | None, length: int):
                 key, docs = np.unique(lang[in_row // some] * some + in_row % some, return_counts=True)
                 yield _counted(groups, key // some, None, cut.dictionary.take(pa.array(key % some)), False, docs, np.zeros(len(key), np.int64))
 
-    return run
+    return lambda batches: _added_up(counts_of(batches))
+
+
+def _added_up(counted: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same counts, those of a task's batches added up as far as a bounded table of them holds."""
+    keys = ["lang", "source", "prefix", "complete"]
+    held, rows = [], 0
+    for batch in counted:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= HELD:
+            table = pa.Table.from_batches(held).group_by(keys, use_threads=False).aggregate([("docs", "sum"), ("n", "sum")])
+            held, rows = [], 0
+            table = table.rename_columns([*keys, "docs", "n"])
+            if table.num_rows > HELD // 2:  # too many different ones to hold
+                yield from table.to_batches(50_000)
+            else:
+                held, rows = table.to_batches(), table.num_rows
+    if held:
+        table = pa.Table.from_batches(held).group_by(keys, use_threads=False).aggregate([("docs", "sum"), ("n", "sum")])
+        yield from table.rename_columns([*keys, "docs", "n"]).to_batches(50_000)
 
 
 def _counted(groups: list, lang: np.ndarray, source: np.ndarray | None, prefix: pa.Array, complete: bool, docs: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
