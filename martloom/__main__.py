@@ -62,6 +62,10 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--catalog", default="retail_dev", help="prefix of the layer databases")
     parser.add_argument("--root", help="folder of the databases; default: the warehouse folder of the session")
     parser.add_argument("--buckets", type=int, help="buckets of the sales tables; default: shuffle partitions")
+    parser.add_argument(
+        "--parts", choices=["day", "month", "year"], help="keep the sales tables in parts of this length instead of buckets"
+    )
+    parser.add_argument("--run", help="name of the delivery; a run that failed goes on under the same name")
     parser.add_argument("--run-ts", help="time written to the audit columns; default: now")
     parser.add_argument("--report", action="store_true", help="also show the rows that lack a key or break a rule")
     parser.add_argument(
@@ -79,7 +83,7 @@ def main(arguments: list[str] | None = None) -> None:
     if wrong:
         parser.error(f"--latest-by needs an entity and columns, not {', '.join(sorted(wrong))}")
     spark = tune(SparkSession.builder.appName("martloom").getOrCreate())
-    warehouse = Warehouse(spark, chosen.catalog, chosen.root, chosen.buckets)
+    warehouse = Warehouse(spark, chosen.catalog, chosen.root, chosen.buckets, chosen.parts)
     if chosen.task:
         named = tasks(warehouse, chosen.source, chosen.run_ts, order_by)
         unknown = set(chosen.task) - set(named)
@@ -88,7 +92,7 @@ def main(arguments: list[str] | None = None) -> None:
         for task in chosen.task:
             named[task]()
     elif chosen.source:
-        refresh(warehouse, read_folder(spark, chosen.source), chosen.run_ts, order_by).show(truncate=False)
+        refresh(warehouse, read_folder(spark, chosen.source), chosen.run_ts, order_by, chosen.run).show(truncate=False)
     else:
         parser.error("--source is needed to run the whole chain")
     if chosen.report and chosen.source:

@@ -8,9 +8,14 @@ In a fact table kept by this library (``Star.maintained``) no TransactionID repe
 distinct ones is counting rows. For any other fact table the grain has the TransactionID as well,
 and they are told apart after the joins.
 
-Money is summed as DECIMAL with ten digits after the point, so that a total does not depend on the
-order of the rows. Amounts of 1e15 and more, infinite ones and NaN are summed as DOUBLE beside it;
-they concern the groups that hold them only.
+Different stores and products are counted by bits: surrogate keys are whole numbers, and the grain has 64 of
+them to a row, a word of bits that are put together by OR. So a group holds a 64th of its different keys.
+
+Money is summed exactly, with ten digits after the point, so that a total does not depend on the order of
+the rows. Amounts below 2**19 are three whole numbers, units and two times five digits of the fraction; their
+sums stay within 64 bits for 10**13 sales in a group, and make a DECIMAL at the end. Larger amounts are
+summed as DECIMAL, those of 1e15 and more, infinite ones and NaN as DOUBLE beside it; they concern the groups that
+hold them only.
 """
 
 from __future__ import annotations
@@ -27,20 +32,33 @@ from martloom.sources.warehouse import Warehouse
 # Table placeholder in the SQL, by the key it is joined on.
 DIMENSION_OF = {"DateKey": "date", "StoreKey": "store", "ProductKey": "product", "PromotionKey": "promotion"}
 
+# A double below this is nearer to a number of ten digits after the point than to any other such number.
+SMALL = f"ABS(f.TotalSales) < {2**19}"
 EXACT = "ABS(f.TotalSales) < 1e15"
+WORDS = f"""
+    CASE WHEN {SMALL} THEN CAST(f.TotalSales AS BIGINT) END AS units,
+    CASE WHEN {SMALL} THEN CAST(ROUND((f.TotalSales - CAST(f.TotalSales AS BIGINT)) * 1e10) AS BIGINT) END AS fraction"""
 MEASURES = f"""
     SUM(f.Quantity) AS quantity, COUNT(f.Quantity) AS quantities,
-    SUM(CASE WHEN {EXACT} THEN CAST(f.TotalSales AS DECIMAL(28, 10)) END) AS revenue,
+    SUM(f.units) AS units, SUM(f.fraction DIV 100000) AS high, SUM(f.fraction % 100000) AS low,
+    SUM(CASE WHEN NOT {SMALL} AND {EXACT} THEN CAST(f.TotalSales AS DECIMAL(28, 10)) END) AS large,
     SUM(CASE WHEN NOT {EXACT} THEN f.TotalSales END) AS beyond, COUNT(f.TotalSales) AS amounts,
     MIN(f.TotalSales) AS lowest, MAX(f.TotalSales) AS highest"""
-SUMS = """
-    SUM(g.quantity) AS quantity, SUM(g.quantities) AS quantities, SUM(g.revenue) AS revenue,
-    SUM(g.beyond) AS beyond, SUM(g.amounts) AS amounts, MIN(g.lowest) AS lowest, MAX(g.highest) AS highest"""
-REVENUE = """CASE WHEN k.beyond IS NULL THEN CAST(k.revenue AS DOUBLE)
-               ELSE COALESCE(CAST(k.revenue AS DOUBLE), 0) + k.beyond END"""
+ADDED = ("quantity", "quantities", "units", "high", "low", "large", "beyond", "amounts")
+# The exact part of a total.
+EXACT_SUM = """(CAST(COALESCE(k.units, 0) AS DECIMAL(29, 10)) + CAST(COALESCE(k.high, 0) AS DECIMAL(20, 0)) * 0.00001
+               + CAST(COALESCE(k.low, 0) AS DECIMAL(20, 0)) * 0.0000000001 + CAST(COALESCE(k.large, 0) AS DECIMAL(37, 10)))"""
+REVENUE = f"""CASE WHEN k.beyond IS NOT NULL THEN CAST({EXACT_SUM} AS DOUBLE) + k.beyond
+               WHEN k.units IS NOT NULL OR k.large IS NOT NULL THEN CAST({EXACT_SUM} AS DOUBLE) END"""
 AVERAGE_SALE = f"({REVENUE}) / NULLIF(k.amounts, 0)"
 
 
+def sums(once: str = "") -> str:
+    """Totals of rows of the grain; of those that ``once`` says, where a row comes several times."""
+    added = (f"SUM(CASE WHEN {once} THEN g.{c} END) AS {c}" if once else f"SUM(g.{c}) AS {c}" for c in ADDED)
+    return f"{', '.join(added)}, MIN(g.lowest) AS lowest, MAX(g.highest) AS highest"
+
+
 def totals_sql(
     keys: Sequence[str],
     maintained: bool,
@@ -49,18 +67,39 @@ def totals_sql(
     groups: Sequence[str] = (),
 ) -> str:
     """Totals of the fact by its ``keys`` as their dimensions have them, or by ``groups``, columns of
-    the dimensions; with the number of different values of ``distinct`` columns of the fact as
-    ``different_<column>``."""
-    by = ", ".join(groups or (f"by_{key}.{key}" for key in keys))
-    grain = ", ".join(f"f.{c}" for c in (*keys, *distinct, *(() if maintained else ["TransactionID"])))
-    how = "SUM(g.transactions)" if maintained else "COUNT(DISTINCT g.TransactionID)"
+    the dimensions; with the number of different values of ``distinct`` columns of the fact, whole
+    numbers, as ``different_<column>``."""
+    found = groups or [f"by_{key}.{key}" for key in keys]
+    names = [x.split(".")[1] for x in found]
+    words = [f"SHIFTRIGHT(f.{c}, 6) AS word_{c}" for c in distinct]
+    bits = [f"BIT_OR(SHIFTLEFT(CAST(1 AS BIGINT), CAST(f.{c} & 63 AS INT))) AS bits_{c}" for c in distinct]
+    grain = [f"f.{c}" for c in (*keys, *(() if maintained else ["TransactionID"]))]
+    by = ", ".join([*grain, *(x.split(" AS ")[0] for x in words)])
+    counted = ", ".join([*grain, *words, "COUNT(f.TransactionID) AS transactions", *bits, MEASURES])
+    rows = f"(SELECT {counted} FROM (SELECT *, {WORDS} FROM {{fact}} f {where}) f GROUP BY {by}) g {_found(keys)}"
+    if not distinct:
+        how = "SUM(g.transactions)" if maintained else "COUNT(DISTINCT g.TransactionID)"
+        return f"SELECT {', '.join(found)}, {how} AS transactions, {sums()} FROM {rows} GROUP BY {', '.join(found)}"
+    if maintained and len(distinct) == 1:
+        (column,) = distinct
+        return f"""
+            SELECT {", ".join(names)}, SUM(g.transactions) AS transactions, {sums()}, COALESCE(SUM(BIT_COUNT(g.bits)), 0) AS different_{column}
+            FROM (SELECT {", ".join(found)}, g.word_{column}, SUM(g.transactions) AS transactions, BIT_OR(g.bits_{column}) AS bits, {sums()}
+                  FROM {rows} GROUP BY {", ".join(found)}, g.word_{column}) g
+            GROUP BY {", ".join(names)}"""
+    # Several things to tell apart: a row of the grain comes once for each, with its totals the first time.
+    kinds = [f"STRUCT({i} AS kind, g.word_{c} AS word, g.bits_{c} AS bits, CAST(NULL AS STRING) AS id)" for i, c in enumerate(distinct)]
+    if not maintained:
+        kinds.append(f"STRUCT({len(distinct)} AS kind, NULL AS word, NULL AS bits, g.TransactionID AS id)")
+    how = "SUM(g.transactions)" if maintained else "COUNT(g.id)"
+    different = (f"COALESCE(SUM(CASE WHEN g.kind = {i} THEN BIT_COUNT(g.bits) END), 0) AS different_{c}" for i, c in enumerate(distinct))
+    inner = ", ".join([*found, "x.kind", "x.word", "x.id"])
     return f"""
-        SELECT {by}, {how} AS transactions, {SUMS}
-               {"".join(f", COUNT(DISTINCT g.{c}) AS different_{c}" for c in distinct)}
-        FROM (SELECT {grain}, COUNT(f.TransactionID) AS transactions, {MEASURES}
-              FROM {{fact}} f {where} GROUP BY {grain}) g
-        {_found(keys)}
-        GROUP BY {by}"""
+        SELECT {", ".join(names)}, {how} AS transactions, {sums()}, {", ".join(different)}
+        FROM (SELECT {inner}, SUM(CASE WHEN x.kind = 0 THEN g.transactions END) AS transactions, BIT_OR(x.bits) AS bits, {sums("x.kind = 0")}
+              FROM {rows} LATERAL VIEW INLINE(ARRAY({", ".join(kinds)})) x AS kind, word, bits, id
+              GROUP BY {inner}) g
+        GROUP BY {", ".join(names)}"""
 
 
 def days_sql(key: str) -> str:

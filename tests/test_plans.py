@@ -85,6 +85,12 @@ def facts_are_summed_before_any_exchange(text: str) -> bool:
     return bool(scans) and all("HashAggregate" in x and "partial_" in x or "functions=[]" in x for x in above)
 
 
+@pytest.mark.parametrize("maintained", [True, False])
+@pytest.mark.parametrize("name", VIEWS)
+def test_nothing_is_expanded_to_count_different_keys(warehouse, plan, name, maintained):
+    assert "Expand" not in plan(view(name, replace(read_star(warehouse), maintained=maintained)))
+
+
 @pytest.mark.parametrize("name", VIEWS)
 def test_any_fact_is_summed_before_any_exchange(warehouse, plan, name):
     star = replace(read_star(warehouse), maintained=False)
