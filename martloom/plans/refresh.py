@@ -39,7 +39,7 @@ from martloom.schemas import (
     SILVER,
     TableSpec,
 )
-from martloom.session import bucketed_scans, checkpoint, together
+from martloom.session import bucketed_scans, together, written
 from martloom.sources.warehouse import LOAD, PART, Warehouse
 
 
@@ -89,7 +89,7 @@ def _load_changed_silver(warehouse: Warehouse, entity: str, run_ts: str | None)
         held = warehouse.rows(spec).filter(F.col(spec.stamp).isNull()).select(*spec.columns)
         stale = held.join(failed, spec.key, "left_semi")
         source = source.unionByName(stale.withColumn(spec.stamp, F.timestamp_micros(F.lit(warehouse.stamp(spec)))))
-    merge_parts(warehouse, spec, source, on_duplicate="unique", marks=marks, stamp=now)
+    merge_parts(warehouse, spec, source, on_duplicate="unique", marks=marks, stamp=now, keys=source)
 
 
 def load_dim_date(warehouse: Warehouse) -> None:
@@ -113,7 +113,9 @@ def load_fact(warehouse: Warehouse, run_ts: str | None = None) -> None:
         sales, marks = changed_rows(warehouse, FACT_SALES, SILVER["sales"])
         late, newest = _waiting_sales(warehouse, sales)
         facts = fact_rows(late, *dims.values(), run_ts)
-        merge_parts(warehouse, FACT_SALES, facts, [FACT_SALES.stamp], "unique", marks=marks | newest)
+        # The day of a sale is the key of its day.
+        at = late.select("TransactionID", F.col("Date").alias(FACT_SALES.day))
+        merge_parts(warehouse, FACT_SALES, facts, [FACT_SALES.stamp], "unique", marks=marks | newest, keys=at)
         return
     merge_into(warehouse, FACT_SALES, fact_rows(warehouse.read(SILVER["sales"]), *dims.values(), run_ts), preserve=[FACT_SALES.stamp])
 
@@ -125,21 +127,24 @@ def _waiting_sales(warehouse: Warehouse, changed: DataFrame) -> tuple[DataFrame,
     Keys are given in order, so members that came since have higher ones than any that were there. Without
     new members no older sale is read.
     """
-    newest, waiting = {}, []
-    spec, since = SILVER["sales"], warehouse.mark(FACT_SALES, SILVER["sales"].label)
-    for dim in (DIM_STORE, DIM_PRODUCT, DIM_PROMOTION):
-        members, last = warehouse.read(dim), warehouse.mark(FACT_SALES, dim.label)
-        newest[dim.label] = members.agg(F.max(dim.surrogate)).first()[0] or 0
-        if 0 <= last < newest[dim.label] and since >= 0:
-            fresh = members.filter(F.col(dim.surrogate) > last).select(dim.key)
-            older = warehouse.rows(spec).filter(F.col(LOAD) <= since).select(spec.key, PART, dim.key)
-            waiting.append(older.join(fresh, dim.key, "left_semi").select(spec.key, PART))
-    if waiting:
-        found = checkpoint(reduce(DataFrame.union, waiting).distinct())
-        parts = [r[0] for r in found.select(PART).distinct().collect()]
-        old = warehouse.rows(spec).filter(F.col(PART).isin(parts) & (F.col(LOAD) <= since))
-        changed = changed.unionByName(old.join(found.select(spec.key), spec.key, "left_semi").select(*changed.columns))
-    return changed, newest
+    spec, dims = SILVER["sales"], (DIM_STORE, DIM_PRODUCT, DIM_PROMOTION)
+    since, members = warehouse.mark(FACT_SALES, spec.label), {dim.label: warehouse.read(dim) for dim in dims}
+    highest = (members[d.label].agg(F.coalesce(F.max(d.surrogate), F.lit(0)).alias("key")).withColumn("dim", F.lit(d.label)) for d in dims)
+    newest = {row.dim: row.key for row in reduce(DataFrame.union, highest).collect()}
+    last = {dim.label: warehouse.mark(FACT_SALES, dim.label) for dim in dims}
+    grown = [dim for dim in dims if 0 <= last[dim.label] < newest[dim.label]]
+    if since < 0 or not grown:
+        return changed, newest
+    older = warehouse.rows(spec).filter(F.col(LOAD) <= since)
+    found = older.select(spec.key, PART, *(dim.key for dim in grown))
+    for dim in grown:
+        fresh = members[dim.label].filter(F.col(dim.surrogate) > last[dim.label])
+        found = found.join(fresh.select(dim.key, F.lit(True).alias(f"_{dim.surrogate}")), dim.key, "left")
+    found = found.filter(F.coalesce(*(f"_{dim.surrogate}" for dim in grown))).select(spec.key, PART)
+    found = written(found, "late-sales")
+    parts = [r[0] for r in found.select(PART).distinct().collect()]
+    late = older.filter(F.col(PART).isin(parts)).join(found.select(spec.key), spec.key, "left_semi")
+    return changed.unionByName(late.select(*changed.columns)), newest
 
 
 def changed_rows(warehouse: Warehouse, reader: TableSpec, source: TableSpec) -> tuple[DataFrame, dict[str, int]]:
@@ -180,11 +185,17 @@ def refresh(
         if not warehouse.waits(spec):
             job(warehouse, *arguments)
 
+    def below_fact(entity: str) -> None:
+        """The tables of one entity, each from the one before."""
+        once(BRONZE[entity], load_bronze, entity, deliveries[entity], run_ts, order_by.get(entity, ()))
+        once(SILVER[entity], load_silver, entity, run_ts)
+        if entity in DIMENSIONS:
+            once(DIMENSIONS[entity], load_dimension, entity, run_ts)
+        else:
+            once(DIM_DATE, load_dim_date)
+
     with warehouse.staged(run or uuid.uuid4().hex):
-        together(lambda e: once(BRONZE[e], load_bronze, e, deliveries[e], run_ts, order_by.get(e, ())), ENTITIES)
-        together(lambda e: once(SILVER[e], load_silver, e, run_ts), ENTITIES)
-        once(DIM_DATE, load_dim_date)
-        together(lambda e: once(DIMENSIONS[e], load_dimension, e, run_ts), DIMENSIONS)
+        together(below_fact, ENTITIES)
         once(FACT_SALES, load_fact, run_ts)
     publish_views(warehouse)
     return layer_row_counts(warehouse)
@@ -228,23 +239,27 @@ def merge_parts(
     order_by: Sequence[Column | str] = (),
     marks: Mapping[str, int] | None = None,
     stamp: int | None = None,
+    keys: DataFrame | None = None,
 ) -> None:
     """Upsert ``source`` into a table in parts, writing the parts that hold its rows or their former versions.
 
-    Where these are is found by a join of keys, for which only the keys of the table are read. A table not yet
-    in parts is written as a whole.
+    Where these are is found by a join of keys, for which only the keys of the table are read. ``keys`` has
+    the keys and days of ``source`` where they are had from stored tables for less; otherwise ``source`` is
+    written first. A table not yet in parts is written as a whole.
     """
     load = F.lit(warehouse.load(spec) + 1).cast("long")
     came = conform(one_row_per_key(source, spec.key, on_duplicate, order_by), spec.schema).withColumn(LOAD, load)
     if not warehouse.exists(spec):
         warehouse.replace(spec, came, marks=marks, stamp=stamp)
         return
-    came, target = checkpoint(came), warehouse.rows(spec)
+    target = warehouse.rows(spec)
     if not warehouse.has_parts(spec):
         warehouse.replace(spec, upsert(target.drop(PART), came, spec.key, preserve, "unique", null_keys="drop"), marks=marks, stamp=stamp)
         return
-    former = target.select(spec.key, PART).join(came.select(spec.key), spec.key, "left_semi").select(PART)
-    touched = former.union(came.select(warehouse.part_of(spec))).distinct()
+    if keys is None:
+        keys = came = written(came, spec.name)
+    former = target.select(spec.key, PART).join(keys.select(spec.key), spec.key, "left_semi").select(PART)
+    touched = former.union(keys.select(warehouse.part_of(spec))).distinct()
     parts = [r[0] for r in touched.collect()]  # no more than the table has parts
     old = target.filter(F.col(PART).isin(parts)).drop(PART)
     warehouse.replace_parts(spec, upsert(old, came, spec.key, preserve, "unique", null_keys="drop"), parts, marks, stamp)

@@ -170,7 +170,7 @@ class SampleRun:
     def warehouse(self) -> Warehouse:
         """A catalog brought up to date with the first and then the second delivery."""
         root = scratch_path(self.spark, "warehouse")
-        warehouse = Warehouse(self.spark, "sample_" + root.rsplit("-", 1)[1], root, parts="month")
+        warehouse = Warehouse(self.spark, "sample_" + root.rsplit("-", 1)[1], root, parts="year")
         for part, run_ts in ((1, FIRST_RUN), (2, SECOND_RUN)):
             deliveries = {entity: self.delivery(entity, part) for entity in ENTITIES}
             refresh(warehouse, deliveries, run_ts, {"sales": sales_order()})

@@ -12,10 +12,10 @@ Different stores and products are counted by bits: surrogate keys are whole numb
 them to a row, a word of bits that are put together by OR. So a group holds a 64th of its different keys.
 
 Money is summed exactly, with ten digits after the point, so that a total does not depend on the order of
-the rows. Amounts below 2**19 are three whole numbers, units and two times five digits of the fraction; their
-sums stay within 64 bits for 10**13 sales in a group, and make a DECIMAL at the end. Larger amounts are
-summed as DECIMAL, those of 1e15 and more, infinite ones and NaN as DOUBLE beside it; they concern the groups that
-hold them only.
+the rows. An amount below 2**17 is a whole number of these digits, cut into two limbs; their sums stay within
+64 bits for 2 * 10**11 sales in a group (beyond, the query fails), and make a DECIMAL at the end. Larger amounts
+are summed as DECIMAL, those of 1e15 and more, infinite ones and NaN as DOUBLE beside it; they concern the
+groups that hold them only.
 """
 
 from __future__ import annotations
@@ -33,23 +33,22 @@ from martloom.sources.warehouse import Warehouse
 DIMENSION_OF = {"DateKey": "date", "StoreKey": "store", "ProductKey": "product", "PromotionKey": "promotion"}
 
 # A double below this is nearer to a number of ten digits after the point than to any other such number.
-SMALL = f"ABS(f.TotalSales) < {2**19}"
+SMALL = f"ABS(f.TotalSales) < {2**17}"
 EXACT = "ABS(f.TotalSales) < 1e15"
-WORDS = f"""
-    CASE WHEN {SMALL} THEN CAST(f.TotalSales AS BIGINT) END AS units,
-    CASE WHEN {SMALL} THEN CAST(ROUND((f.TotalSales - CAST(f.TotalSales AS BIGINT)) * 1e10) AS BIGINT) END AS fraction"""
+DIGITS = f"""CASE WHEN {SMALL} THEN CAST(f.TotalSales AS BIGINT) * 10000000000
+    + CAST(ROUND((f.TotalSales - CAST(f.TotalSales AS BIGINT)) * 1e10) AS BIGINT) END AS digits"""
 MEASURES = f"""
     SUM(f.Quantity) AS quantity, COUNT(f.Quantity) AS quantities,
-    SUM(f.units) AS units, SUM(f.fraction DIV 100000) AS high, SUM(f.fraction % 100000) AS low,
+    SUM(SHIFTRIGHT(f.digits, 25)) AS high, SUM(f.digits & {2**25 - 1}) AS low,
     SUM(CASE WHEN NOT {SMALL} AND {EXACT} THEN CAST(f.TotalSales AS DECIMAL(28, 10)) END) AS large,
     SUM(CASE WHEN NOT {EXACT} THEN f.TotalSales END) AS beyond, COUNT(f.TotalSales) AS amounts,
     MIN(f.TotalSales) AS lowest, MAX(f.TotalSales) AS highest"""
-ADDED = ("quantity", "quantities", "units", "high", "low", "large", "beyond", "amounts")
-# The exact part of a total.
-EXACT_SUM = """(CAST(COALESCE(k.units, 0) AS DECIMAL(29, 10)) + CAST(COALESCE(k.high, 0) AS DECIMAL(20, 0)) * 0.00001
-               + CAST(COALESCE(k.low, 0) AS DECIMAL(20, 0)) * 0.0000000001 + CAST(COALESCE(k.large, 0) AS DECIMAL(37, 10)))"""
+ADDED = ("quantity", "quantities", "high", "low", "large", "beyond", "amounts")
+# The exact part of a total: a step of the high limb is 2**25 of the last digit.
+EXACT_SUM = """(CAST(COALESCE(k.high, 0) AS DECIMAL(19, 0)) * 0.0033554432 + CAST(COALESCE(k.low, 0) AS DECIMAL(19, 0)) * 0.0000000001
+               + CAST(COALESCE(k.large, 0) AS DECIMAL(37, 10)))"""
 REVENUE = f"""CASE WHEN k.beyond IS NOT NULL THEN CAST({EXACT_SUM} AS DOUBLE) + k.beyond
-               WHEN k.units IS NOT NULL OR k.large IS NOT NULL THEN CAST({EXACT_SUM} AS DOUBLE) END"""
+               WHEN k.high IS NOT NULL OR k.large IS NOT NULL THEN CAST({EXACT_SUM} AS DOUBLE) END"""
 AVERAGE_SALE = f"({REVENUE}) / NULLIF(k.amounts, 0)"
 
 
@@ -76,7 +75,7 @@ def totals_sql(
     grain = [f"f.{c}" for c in (*keys, *(() if maintained else ["TransactionID"]))]
     by = ", ".join([*grain, *(x.split(" AS ")[0] for x in words)])
     counted = ", ".join([*grain, *words, "COUNT(f.TransactionID) AS transactions", *bits, MEASURES])
-    rows = f"(SELECT {counted} FROM (SELECT *, {WORDS} FROM {{fact}} f {where}) f GROUP BY {by}) g {_found(keys)}"
+    rows = f"(SELECT {counted} FROM (SELECT *, {DIGITS} FROM {{fact}} f {where}) f GROUP BY {by}) g {_found(keys)}"
     if not distinct:
         how = "SUM(g.transactions)" if maintained else "COUNT(DISTINCT g.TransactionID)"
         return f"SELECT {', '.join(found)}, {how} AS transactions, {sums()} FROM {rows} GROUP BY {', '.join(found)}"

@@ -84,6 +84,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written once to the shared folder and read from there, column by column."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def together(job: Callable[[Item], Result], items: Iterable[Item]) -> dict[Item, Result]:
     """Run a job for every item, their Spark jobs sharing the cluster. The first error is raised."""
     items = list(items)

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.schemas import TABLES, TableSpec
+from martloom.session import together
 
 # Columns of a state in parts that its view does not show: the part, and the load that wrote the row.
 PART, LOAD = "_part", "_load"
@@ -63,6 +64,8 @@ class Warehouse:
         self.root = root
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.parts = parts
+        self._known: dict[str, dict[str, str]] = {}
+        self._read: dict[str, dict[str, str]] = {}
         self._run: str | None = None
         self._waiting: set[str] = set()
 
@@ -186,7 +189,8 @@ class Warehouse:
         dealt = df.select(*spec.columns, LOAD, self.part_of(spec).alias(PART)).hint("rebalance", PART)
         files = f"{database}.{version}_files"
         dealt.write.format("parquet").partitionBy(PART).saveAsTable(files)
-        places = sorted((dict(kept) | self._places(files)).items())
+        placed = dict(kept) | self._places(files)
+        places = sorted(placed.items())
         self.spark.sql(
             f"CREATE TABLE {database}.{version} ({spec.ddl}, {LOAD} BIGINT, {PART} STRING) USING parquet "
             f"PARTITIONED BY ({PART}) LOCATION '{self._folder(spec.layer)}/{version}'"
@@ -194,14 +198,17 @@ class Warehouse:
         for at in range(0, len(places), _AT_ONCE):
             named = " ".join(f"PARTITION ({PART} = '{part}') LOCATION '{place}'" for part, place in places[at : at + _AT_ONCE])
             self.spark.sql(f"ALTER TABLE {database}.{version} ADD {named}")
+        self._known[f"{database}.{version}"] = placed
         properties = {_VERSION: version, _BUCKETS: "0", _PARTS: self.parts, _LOAD: str(load)}
         properties |= {_READ + name: str(value) for name, value in (marks or {}).items()}
         self._show(spec, properties | ({} if stamp is None else {_STAMP: str(stamp)}))
 
     def _places(self, table: str) -> dict[str, str]:
-        """The folder of each part."""
-        folders = {unquote(f).rsplit("/", 1)[0] for f in self.spark.table(table).inputFiles()}
-        return {folder.rsplit(f"{PART}=", 1)[1]: folder for folder in folders}
+        """The folder of each part; a state never changes."""
+        if table not in self._known:
+            folders = {unquote(f).rsplit("/", 1)[0] for f in self.spark.table(table).inputFiles()}
+            self._known[table] = {folder.rsplit(f"{PART}=", 1)[1]: folder for folder in folders}
+        return self._known[table]
 
     def _folder(self, layer: str) -> str:
         return self.spark.catalog.getDatabase(self.database(layer)).locationUri
@@ -215,19 +222,23 @@ class Warehouse:
         After an error they wait: ``staged`` under the same name finds them (``waits``), under another one
         drops them.
         """
-        self._waiting = {spec.label for spec in TABLES if self._is_of(spec, run)}
+        found = together(lambda spec: self._is_of(spec, run), TABLES)
+        self._waiting = {spec.label for spec in TABLES if found[spec]}
         self._run = run
         try:
             yield
             waiting = [spec for spec in TABLES if spec.label in self._waiting]
-            before = {spec.label: self._properties_of(self.name(spec), spec.layer).get(_VERSION) for spec in waiting}
-            for spec in waiting:
-                self._define(self.name(spec), spec, self._properties(spec))
+            before = {spec: self._properties_of(self.name(spec), spec.layer).get(_VERSION) for spec in waiting}
+            now = {spec: self._properties(spec) for spec in waiting}
+            together(lambda spec: self._define(self.name(spec), spec, now[spec]), waiting)
         finally:
-            self._run, self._waiting = None, set()
-        for spec in waiting:
+            self._run, self._waiting, self._read = None, set(), {}
+
+        def tidy(spec: TableSpec) -> None:
             self.spark.sql(f"DROP VIEW IF EXISTS {self._waiting_name(spec)}")
-            self._drop_all_but(spec, {before[spec.label], self._properties(spec)[_VERSION]})
+            self._drop_all_but(spec, {before[spec], now[spec][_VERSION]})
+
+        together(tidy, waiting)
 
     def waits(self, spec: TableSpec) -> bool:
         """Whether this run has already made the table's new state."""
@@ -265,6 +276,7 @@ class Warehouse:
             columns = ", ".join(stamped if c == spec.stamp and _STAMP in properties else c for c in spec.columns)
         version = f"{self.database(spec.layer)}.{properties[_VERSION]}"
         self.spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({named}) AS SELECT {columns} FROM {version}")
+        self._read.pop(name, None)
 
     # The catalog.
 
@@ -278,9 +290,14 @@ class Warehouse:
         return self._properties_of(self._shown(spec), spec.layer)
 
     def _properties_of(self, name: str, layer: str) -> dict[str, str]:
+        if self._run is not None and name in self._read:  # within a run nobody else writes the tables
+            return self._read[name]
         if not self._there(layer, name):
             return {}
-        return {p.key: p.value for p in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect() if p.key.startswith("martloom.")}
+        read = {p.key: p.value for p in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect() if p.key.startswith("martloom.")}
+        if self._run is not None:
+            self._read[name] = read
+        return read
 
     def _drop_all_but(self, spec: TableSpec, kept: set[str | None]) -> None:
         database = self.database(spec.layer)

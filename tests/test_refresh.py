@@ -16,7 +16,7 @@ RUN_1, RUN_2 = "2024-06-01 00:00:00", "2024-06-02 00:00:00"
 SALES_HEADER = samples.SALES.splitlines()[0] + "\n"
 
 
-@pytest.fixture(params=[None, "day", "year"], ids=["buckets", "days", "years"])
+@pytest.fixture(params=[None, "day"], ids=["buckets", "days"])
 def warehouse(spark, tmp_path, request):
     return Warehouse(spark, f"t{uuid.uuid4().hex[:8]}", str(tmp_path / "wh"), parts=request.param)
 
