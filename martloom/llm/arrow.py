@@ -117,7 +117,3 @@ def shingles(found: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
         word = np.where(inside, found.hash[np.minimum(here, len(found.hash) - 1)], _U(0))
         total = mix64(total + word + _U(k + 1))
     return total, rows, at
-
-
-def packed(*arrays: np.ndarray) -> bytes:
-    return b"".join(np.ascontiguousarray(x).tobytes() for x in arrays)

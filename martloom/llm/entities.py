@@ -2,7 +2,7 @@
 
 Kinds: email, phone, ip, ip6, card (13 to 19 digits), ssn, iban (with right check digits), token (secrets
 after a name such as ``token =``, long hex strings, keys of some services), given and surname.  A name needs evidence: a
-title, or a given name of the list below followed by a capitalised word; once a text names a person,
+title, a phrase such as ``my name is``, or a given name of the list below followed by a capitalised word; once a text names a person,
 its given name and surname are found there alone as well.
 """
 
@@ -14,8 +14,8 @@ import re
 from dataclasses import dataclass
 
 # Given names by gender and script, titles by gender.
-MALE = "james john robert michael william david richard thomas daniel paul mark george peter hans klaus jürgen wolfgang stefan pierre jean jacques philippe luc carlos josé juan miguel pedro luis иван сергей алексей дмитрий николай андрей михаил"
-FEMALE = "mary patricia jennifer linda elizabeth barbara susan sarah karen emma alice julia anna ingrid ursula sabine monika marie claire sophie camille maría carmen lucía isabel elena ольга татьяна наталья ирина светлана мария екатерина"
+MALE = "james john robert michael william david richard thomas daniel paul mark george peter hans klaus jürgen wolfgang stefan pierre jean jacques philippe luc carlos josé juan miguel pedro luis kevin brian jason jeffrey ryan jacob nicholas eric jonathan stephen justin brandon benjamin samuel gregory patrick andrew matthew иван сергей алексей дмитрий николай андрей михаил"
+FEMALE = "mary patricia jennifer linda elizabeth barbara susan sarah karen emma alice julia anna ingrid ursula sabine monika marie claire sophie camille maría carmen lucía isabel elena emily ashley kimberly donna michelle amanda melissa deborah stephanie rebecca laura sharon cynthia kathleen angela brenda pamela nicole katherine samantha ольга татьяна наталья ирина светлана мария екатерина"
 TITLES = {
     "m": ("Mr", "Herr", "Señor", "Monsieur", "Господин", "господин"),
     "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "Mme", "Госпожа", "госпожа"),
@@ -26,6 +26,8 @@ GENDER = {name: "m" for name in MALE.split()} | {name: "f" for name in FEMALE.sp
 _TITLE_GENDER = {title: gender for gender, titles in TITLES.items() for title in titles}
 _CAP = r"[^\W\d_a-zа-яßà-öø-ÿ][^\W\d_]+(?:-[^\W\d_]+)?"
 _TITLED = re.compile(rf"\b({'|'.join(_TITLE_GENDER)})\.? ({_CAP}(?: {_CAP}){{0,2}})\b")
+# Words that a person's own name follows.
+_CUE = re.compile(rf"\b(?:[Mm]y name is|[Mm]ein Name ist|[Mm]e llamo|[Mm]i nombre es|[Jj]e m'appelle|[Мм]еня зовут) ({_CAP}(?: {_CAP})?)\b")
 _PAIR = re.compile(rf"\b({_CAP})(?= ({_CAP})\b)")
 _TOKEN = re.compile(r"\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_+/=.-]{8,})", re.IGNORECASE)
 _HEX = re.compile(r"(?<!\w)(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{32,}(?!\w)")
@@ -40,9 +42,9 @@ _IP6 = re.compile(r"(?<![\w:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-
 # The beginnings of some services' keys.
 _SERVICE = re.compile(r"(?<!\w)(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9-]{16,}|xox[abp]-[A-Za-z0-9-]{10,})(?!\w)")
 _DOMAIN = re.compile(r"@[\w-]+(?:\.[\w-]+)+")
-_LOCAL = re.compile(r"[\w.+%-]+$")
+_LOCAL = re.compile(r"[\w.+%-]")
 #: What any of the above needs: lets the JVM pass texts without it by.  (Java syntax.)
-SUSPICIOUS = r"[0-9@]|\p{Lu}\p{L}+ \p{Lu}\p{L}|(?i)(token|secret|password|passwd|key)\s*[=:]|\b(" + "|".join(_TITLE_GENDER) + r")\.? \p{Lu}"
+SUSPICIOUS = r"[0-9@]|\p{Lu}\p{L}+ \p{Lu}\p{L}|(?i)(token|secret|password|passwd|key)\s*[=:]|\bgh[pousr]_|\bsk-|\bxox[abp]-|AKIA|\b(" + "|".join(_TITLE_GENDER) + r")\.? \p{Lu}"
 
 
 @dataclass(frozen=True)
@@ -68,13 +70,16 @@ def found(text: str) -> list[Entity]:
         take(*m.span(1), "token", m[1])
     if "@" in text:
         for m in _DOMAIN.finditer(text):
-            local = _LOCAL.search(text, max(0, m.start() - 128), m.start())
-            if local:
-                take(local.start(), m.end(), "email", text[local.start() : m.end()].lower())
+            start = m.start()
+            while start and _LOCAL.match(text[start - 1]):
+                start -= 1
+            if start < m.start():
+                take(start, m.end(), "email", text[start : m.end()].lower())
+    for m in _SERVICE.finditer(text):
+        take(*m.span(), "token", m[0])
     if any(c in text for c in "0123456789"):
-        for pattern in (_HEX, _SERVICE):
-            for m in pattern.finditer(text):
-                take(*m.span(), "token", m[0])
+        for m in _HEX.finditer(text):
+            take(*m.span(), "token", m[0])
         for m in _IBAN.finditer(text):
             value = m[0].replace(" ", "")
             if _mod97(value) == 1:
@@ -82,7 +87,8 @@ def found(text: str) -> list[Entity]:
         for m in _IP.finditer(text):
             take(*m.span(), "ip", m[0])
         for m in _IP6.finditer(text):
-            take(*m.span(), "ip6", m[0].lower())
+            if sum(map(bool, m[0].split(":"))) > 2:  # two groups are as likely names of source code
+                take(*m.span(), "ip6", m[0].lower())
         for m in _SSN.finditer(text):
             take(*m.span(), "ssn", _digits(m[0]))
         for m in _CARD.finditer(text):
@@ -105,6 +111,11 @@ def _names(text: str, take) -> None:
         parts.setdefault(surname, ("surname", surname_stem(surname)))
         for name in given:
             parts.setdefault(name, ("given", f"{GENDER.get(name.lower(), gender)}:{name.lower()}"))
+    for m in _CUE.finditer(text):
+        name, *surname = m[1].split(" ")
+        parts.setdefault(name, ("given", f"{GENDER.get(name.lower(), 'n')}:{name.lower()}"))
+        for x in surname:
+            parts.setdefault(x, ("surname", surname_stem(x)))
     for m in _PAIR.finditer(text):
         gender = GENDER.get(m[1].lower())
         if gender and m[2].lower() != m[1].lower():
@@ -196,6 +207,8 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int) -> str:
         return f"{_shaped(local, s)}{more}@{host}.example.{top if top in ('com', 'org', 'net') else 'com'}"
     if kind == "ip":
         return ".".join(str(1 + s.below(254 if i else 223)) for i in range(4))
+    if kind == "ip6" and longer > 1:  # a short form has few others
+        return ":".join("".join(s.of("0123456789abcdef") for _ in range(4)) for _ in range(8))
     if kind == "ip6":
         return "".join(s.of("0123456789abcdef") if c != ":" else c for c in value)
     if kind == "card":

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from martloom.llm.arrow import mix64, words
-from martloom.llm.scratch import scratch_path, prepare, stored, widened
+from martloom.llm.scratch import free, prepare, scratch_path, stored, widened
 
 _U = np.uint64
 START, END = _U(0x5BF03635F0935AD1), _U(0x1F83D9ABFB41BD6B)
@@ -508,11 +508,14 @@ def scored(docs: DataFrame, train: Column) -> DataFrame:
     """
     added = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
     docs = docs.drop(*[x.split()[0] for x in added.split(", ")])
-    rows = docs.withColumns({"train": F.coalesce(train, F.lit(False)), "text": F.coalesce("text", F.lit(""))})
+    own = next((c for c in docs.columns if c.lower() == "train"), "train")
+    flag, kept = free(docs, "flag", "train")  # a column of the input may be called as the mark is
+    rows = docs.withColumns({flag: F.coalesce(train, F.lit(False)), "text": F.coalesce("text", F.lit(""))})
+    rows = rows.withColumnRenamed(own, kept).withColumnRenamed(flag, "train")
     model, blocks, counted, told = fit(rows)
     together = _together(blocks, counted, *told)
-    fields = docs.drop("text").schema
-    return together.mapInArrow(_score(model.constants), widened(fields, added))
+    fields = rows.drop("train", "text").schema
+    return together.mapInArrow(_score(model.constants), widened(fields, added)).withColumnRenamed(kept, own)
 
 
 def _factors(c: np.ndarray, factors: list[float]) -> np.ndarray:

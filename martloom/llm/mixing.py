@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.scratch import prepare, stored
+from martloom.llm.scratch import free, prepare, stored
 
 #: Documents balanced in one task at a time.
 BLOCK = 2_000
@@ -63,16 +63,16 @@ def mixed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     rows alone, so reruns agree.
     """
     rows = _drawn(docs, block).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-    return rows.select("doc_id", "source", "size", "source_size", "target", _copies(F.col("i")).alias("copies")).withColumn("taken", F.col("size") * F.col("copies"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", _copies(F.col("i"), F.col("n"), F.col("times")).alias("copies")).withColumn("taken", F.col("size") * F.col("copies"))
 
 
 def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that the mix takes, with ``copies``, how often (a column of that name is replaced)."""
-    docs = docs.drop("copies").withColumn("_unit", _unit())
-    drawn = _drawn(docs, block).select(F.col("unit").alias("_unit"), "n", "times")
-    i = F.row_number().over(Window.partitionBy("_unit").orderBy("_unit"))
-    joined = docs.join(drawn, "_unit").withColumn("_i", i)
-    return joined.withColumn("copies", _copies(F.col("_i"))).filter("copies > 0").drop("_unit", "n", "times", "_i")
+    docs = docs.drop("copies")
+    unit, n, times, i = free(docs, "unit", "n", "times", "i")
+    drawn = _drawn(docs, block).select(F.col("unit").alias(unit), F.col("n").alias(n), F.col("times").alias(times))
+    joined = docs.withColumn(unit, _unit()).join(drawn, unit).withColumn(i, F.row_number().over(Window.partitionBy(unit).orderBy(unit)))
+    return joined.withColumn("copies", _copies(F.col(i), F.col(n), F.col(times))).filter("copies > 0").drop(unit, n, times, i)
 
 
 def _unit() -> Column:
@@ -81,9 +81,9 @@ def _unit() -> Column:
     return F.unhex(F.md5(F.concat_ws("\x02", *parts)))
 
 
-def _copies(i: Column) -> Column:
+def _copies(i: Column, n: Column, times: Column) -> Column:
     """Of the i-th of n rows alike, which are taken so many times together."""
-    return (F.floor(F.col("times") / F.col("n")) + (i <= F.col("times") % F.col("n")).cast("long")).cast("long")
+    return (F.floor(times / n) + (i <= times % n).cast("long")).cast("long")
 
 
 def _drawn(docs: DataFrame, block: int) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.arrow import mix64, shingles, words
 from martloom.llm.components import components
-from martloom.llm.scratch import prepare, stored
+from martloom.llm.scratch import free, prepare, stored
 
 _U = np.uint64
 SIZE, SIMILARITY = 5, 0.8
@@ -227,10 +227,11 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row of each class of ``docs``, all columns: the least doc_id, and of several such rows the
     least text; rows that agree in both are copies, of which any one stays.  Null texts all stay.
     """
-    best = _classes(docs, similarity).filter("best").select(F.col("key").alias("_key"), F.col("low").alias("_low"))
-    keyed = docs.withColumn("_key", text_key())
-    kept = keyed.join(best, (keyed["_key"] == best["_key"]) & keyed["doc_id"].eqNullSafe(best["_low"]), "left_semi")
-    return kept.dropDuplicates(["_key"]).unionByName(keyed.filter("text IS NULL")).drop("_key")
+    key, best_key, low = free(docs, "key", "best_key", "low")
+    best = _classes(docs, similarity).filter("best").select(F.col("key").alias(best_key), F.col("low").alias(low))
+    keyed = docs.withColumn(key, text_key())
+    kept = keyed.join(best, (F.col(key) == F.col(best_key)) & F.col("doc_id").eqNullSafe(F.col(low)), "left_semi")
+    return kept.dropDuplicates([key]).unionByName(keyed.filter("text IS NULL")).drop(key)
 
 
 def _classes(docs: DataFrame, similarity: float) -> DataFrame:

@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.entities import SUSPICIOUS, found, replaced, surrogate
-from martloom.llm.scratch import prepare, stored, widened
+from martloom.llm.scratch import free, prepare, stored, widened
 
+#: Tries for a surrogate that is nobody else's.
+TRIES = 40
 _ENTITY = "array<struct<kind:string,value:string>>"
 
 
@@ -30,23 +32,26 @@ def pseudonymised(docs: DataFrame, key: bytes = b"martloom") -> DataFrame:
     prepare(docs.sparkSession)
     docs = docs.drop("n_entities")
     maybe = F.coalesce(F.col("text").rlike(SUSPICIOUS), F.lit(False))
-    searched = docs.filter(maybe).mapInArrow(_search, widened(docs.schema, f"_entities {_ENTITY}"))
-    held = stored(searched.withColumn("_row", F.monotonically_increasing_id()), "private-texts")
-    mentions = held.select("_row", F.explode(F.array_distinct("_entities")).alias("e")).select("_row", "e.kind", "e.value")
+    # Working names that the input does not have.
+    entities, row, surrogates = free(docs, "entities", "row", "surrogates")
+    searched = docs.filter(maybe).mapInArrow(_search(entities), widened(docs.schema, f"`{entities}` {_ENTITY}"))
+    held = stored(searched.withColumn(row, F.monotonically_increasing_id()), "private-texts")
+    mentions = held.select(row, F.explode(F.array_distinct(entities)).alias("e")).select(row, "e.kind", "e.value")
     named = assigned(mentions.select("kind", "value").distinct(), key)
-    lists = mentions.join(named, ["kind", "value"]).groupBy("_row").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("_named"))
+    lists = mentions.join(named, ["kind", "value"]).groupBy(row).agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias(surrogates))
     whole = widened(docs.schema, "n_entities long")
-    changed = held.filter(F.size("_entities") > 0).drop("_entities").join(lists, "_row").drop("_row").mapInArrow(_replace, whole)
+    changed = held.filter(F.size(entities) > 0).drop(entities).join(lists, row).drop(row).mapInArrow(_replace(surrogates), whole)
     none = F.lit(0).cast("long").alias("n_entities")
-    clean = docs.filter(~maybe).select("*", none).unionByName(held.filter(F.size("_entities") == 0).select(*docs.columns, none))
+    clean = docs.filter(~maybe).select("*", none).unionByName(held.filter(F.size(entities) == 0).select(*docs.columns, none))
     return clean.unionByName(changed.select(clean.columns))
 
 
 def assigned(entities: DataFrame, key: bytes) -> DataFrame:
     """kind, value and surrogate: different for each entity of a kind, and the value of none.
 
-    Of entities that meet at a surrogate the first by value keeps it and the others try again; surrogates
-    grow longer after a few tries, so that there is always room.
+    Of entities that meet at a surrogate the first by value keeps it and the others try again. After a few
+    tries surrogates of emails, tokens, names and IPv6 addresses grow longer, so that there is always room. Those
+    of other kinds keep their length; where it has no room after ``TRIES``, an error names the kind.
     """
     real = stored(entities, "private-entities")
     open_, done, attempt = real, None, 0
@@ -65,13 +70,20 @@ def assigned(entities: DataFrame, key: bytes) -> DataFrame:
         if open_.isEmpty():
             return done
         attempt += 1
+        if attempt == TRIES:
+            kinds = ", ".join(sorted(r.kind for r in open_.select("kind").distinct().collect()))
+            raise RuntimeError(f"no surrogates of their own are left for all entities of kind {kinds}")
 
 
-def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _search(name: str):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("value", pa.string())]))
-    for batch in batches:
-        lists = [[{"kind": e.kind, "value": e.value} for e in found(x)] for x in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, kind)], [*batch.schema.names, "_entities"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [[{"kind": e.kind, "value": e.value} for e in found(x)] for x in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, kind)], [*batch.schema.names, name])
+
+    return run
 
 
 def _propose(key: bytes, attempt: int):
@@ -84,13 +96,16 @@ def _propose(key: bytes, attempt: int):
     return run
 
 
-def _replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = batch.schema.get_field_index("text")
-        texts, counts = [], []
-        for text, named in zip(batch.column("text").to_pylist(), batch.column("_named").to_pylist()):
-            entities = found(text)
-            counts.append(len(entities))
-            texts.append(replaced(text, entities, {(x["kind"], x["value"]): x["surrogate"] for x in named}))
-        batch = batch.drop_columns(["_named"]).set_column(at, "text", pa.array(texts, pa.string()))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64())], [*batch.schema.names, "n_entities"])
+def _replace(name: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            texts, counts = [], []
+            for text, named in zip(batch.column("text").to_pylist(), batch.column(name).to_pylist()):
+                entities = found(text)
+                counts.append(len(entities))
+                texts.append(replaced(text, entities, {(x["kind"], x["value"]): x["surrogate"] for x in named}))
+            batch = batch.drop_columns([name]).set_column(at, "text", pa.array(texts, pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64())], [*batch.schema.names, "n_entities"])
+
+    return run

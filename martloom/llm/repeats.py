@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.arrow import _BYTE, mix64, powers, utf8
-from martloom.llm.scratch import prepare, stored, widened
+from martloom.llm.scratch import free, prepare, stored, widened
 from martloom.llm.suffixes import ordered
 
 _U = np.uint64
@@ -308,19 +308,20 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, limit: int = LIMIT) -
     places = regions.select("key", "id", F.explode("starts").alias("start")).join(ranges, "id")
     absolute = lambda c: F.transform(c, lambda x: x + F.col("start"))
     spans = places.select("key", absolute("low").alias("low"), absolute("high").alias("high"))
-    spans = spans.groupBy("key").agg(F.flatten(F.collect_list("low")).alias("_low"), F.flatten(F.collect_list("high")).alias("_high"))
-    copies = texts.select("key").groupBy("key").agg(F.count("*").alias("_copies")).filter("_copies > 1")
-    by_key = spans.join(copies, "key", "full").withColumnRenamed("key", "_key")
-    joined = docs.withColumn("_key", text_key()).join(by_key, "_key", "left").drop("_key")
+    key, low, high, times = free(docs, "key", "low", "high", "copies")
+    spans = spans.groupBy("key").agg(F.flatten(F.collect_list("low")).alias(low), F.flatten(F.collect_list("high")).alias(high))
+    copies = texts.select("key").groupBy("key").agg(F.count("*").alias(times)).filter(F.col(times) > 1)
+    by_key = spans.join(copies, "key", "full").withColumnRenamed("key", key)
+    joined = docs.withColumn(key, text_key()).join(by_key, key, "left").drop(key)
     rest = docs.drop("text").schema
-    return joined.mapInArrow(_cut(length, rest.names), widened(rest, "n_bytes long, n_removed long, n_spans long, kept binary"))
+    return joined.mapInArrow(_cut(length, rest.names, (low, high, times)), widened(rest, "n_bytes long, n_removed long, n_spans long, kept binary"))
 
 
-def _cut(length: int, rest: list[str]):
+def _cut(length: int, rest: list[str], found: tuple[str, str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, low, high, copies in zip(*(batch.column(c).to_pylist() for c in ("text", "_low", "_high", "_copies"))):
+            for text, low, high, copies in zip(*(batch.column(c).to_pylist() for c in ("text", *found))):
                 raw = (text or "").encode()
                 edge = np.zeros(len(raw) + 1, np.int64)
                 if copies is not None and copies > 1:
