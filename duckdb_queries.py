@@ -345,6 +345,15 @@ def statements() -> dict[str, str]:
         f"AS rejected_rows FROM ({delivery(e, None)})"
         for e in COLUMNS
     )
+    one["rejected_lines"] = f"""
+        SELECT CASE Quantity WHEN 7 THEN 'too many values' WHEN 13 THEN 'too few values' ELSE 'Quantity is no int' END AS reason,
+               COUNT(*) AS line_count, MIN(TransactionID) AS first_key, MAX(TransactionID) AS last_key
+        FROM ({one_per_key("sales", None)}) WHERE Quantity IN (7, 13, 29) GROUP BY reason"""
+    one["csv_past_bad_lines"] = f"SELECT * FROM ({one_per_key('sales', None)}) WHERE Quantity NOT IN (7, 13, 29)"
+    one["fixture_stores"] = "SELECT " + ", ".join(
+        f"COALESCE(CAST({c} AS VARCHAR), '') AS {c}" for c in COLUMNS["stores"].split()
+    ) + f" FROM ({delivery('stores', None)})"
+    one["fact_sales_spread"] = one["fact_sales"]
     for name, (view, order) in TOP.items():
         one[name] = over(once, f"SELECT * FROM ({VIEWS[view]}) ORDER BY {order} LIMIT 5")
 
@@ -358,6 +367,7 @@ def statements() -> dict[str, str]:
         "refreshed_fact_sales": "SELECT * FROM gold_fact_sales",
         "refreshed_silver_sales": "SELECT * FROM silver_sales",
         "refreshed_dim_date": "SELECT * FROM gold_dim_date",
+        "preview_dim_store": "SELECT * FROM gold_dim_store ORDER BY StoreKey LIMIT 10",
     }
     for entity in COLUMNS:
         two[f"upsert_{entity}"] = f"SELECT * FROM bronze_{entity}"

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.operators.keys import scd1_dimension
+from martloom.operators.lookup import BROADCAST_SETTING
 from martloom.operators.quality import rules_for
 from martloom.operators.upsert import dedupe_latest, upsert
 from martloom.plans.layers import (
@@ -27,7 +28,7 @@ from martloom.plans.layers import (
 from martloom.plans.refresh import refresh
 from martloom.schemas import BRONZE, DIMENSIONS, ENTITIES, ENTITY_KEY, FACT_SALES
 from martloom.session import scratch_path, together
-from martloom.sources.csv_files import read_entity_csv
+from martloom.sources.csv_files import load_fixture, read_entity_csv, rejected_lines
 from martloom.sources.sample_tables import sales_order, sample_delivery
 from martloom.sources.warehouse import Warehouse
 
@@ -52,6 +53,40 @@ class SampleRun:
         self._one_per_key(self.delivery(entity), entity).select(*self._columns(entity)).write.csv(path, header=True)
         return read_entity_csv(self.spark, path, entity)
 
+    def damaged_csv(self) -> str:
+        """Sales as header-row CSV files in which lines are cut short, carry a surplus value or a wrong one."""
+        path, columns = scratch_path(self.spark, "damaged-csv"), self._columns("sales")
+        rows = self._one_per_key(self.delivery("sales"), "sales").select(*columns)
+        text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns}
+        line = F.concat_ws(",", *text.values())
+        damaged = (
+            F.when(F.col("Quantity") == 7, F.concat(line, F.lit(",surplus")))
+            .when(F.col("Quantity") == 13, F.concat_ws(",", *list(text.values())[:3]))
+            .when(F.col("Quantity") == 29, F.concat_ws(",", *(text | {"Quantity": F.lit("many")}).values()))
+            .otherwise(line)
+        )
+        files = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        lines = rows.select(F.pmod(F.xxhash64("TransactionID"), F.lit(files)).alias("file"), F.lit(1).alias("at"), damaged.alias("value"))
+        headers = self.spark.range(files).select(F.col("id").alias("file"), F.lit(0).alias("at"), F.lit(",".join(columns)).alias("value"))
+        dealt = lines.union(headers).repartition("file").sortWithinPartitions("file", "at").select("file", "value")
+        dealt.write.partitionBy("file").text(path)
+        return f"{path}/*"
+
+    def rejected_lines(self) -> DataFrame:
+        """Lines of a damaged delivery that are left out, by reason."""
+        key = F.split_part("line", F.lit(","), F.lit(1))
+        found = rejected_lines(self.spark, self.damaged_csv(), "sales").groupBy("reason")
+        return found.agg(F.count("*").alias("line_count"), F.min(key).alias("first_key"), F.max(key).alias("last_key"))
+
+    def read_past_bad_lines(self) -> DataFrame:
+        return read_entity_csv(self.spark, self.damaged_csv(), "sales", bad_lines="reject")
+
+    def fixture(self, entity: str) -> DataFrame:
+        """A delivery as a small test input: all text, nothing NULL."""
+        path = scratch_path(self.spark, entity) + ".csv"
+        self.delivery(entity).select(*self._columns(entity)).write.csv(path, header=True)
+        return load_fixture(self.spark, path)
+
     # One load of everything.
 
     def bronze(self, entity: str, part: int | None = None) -> DataFrame:
@@ -89,6 +124,15 @@ class SampleRun:
             maintained=True,
         )
 
+    def fact_spread(self) -> DataFrame:
+        """The fact table with no dimension small enough to broadcast."""
+        self.spark.conf.set(BROADCAST_SETTING, "0")
+        try:
+            star = self.star
+            return fact_rows(self.silver_sales, star.store, star.product, star.promotion, star.date, FIRST_RUN)
+        finally:
+            self.spark.conf.unset(BROADCAST_SETTING)
+
     def any_star(self) -> Star:
         """The star with whole orders as transactions, which repeat, and some keys that no dimension has."""
         lost = F.col("Quantity") % 10

@@ -91,9 +91,10 @@ class Warehouse:
     def read(self, spec: TableSpec) -> DataFrame:
         return self.spark.table(self._shown(spec))
 
-    def preview(self, spec: TableSpec, rows: int = 10) -> DataFrame:
-        """Any few rows, for a look."""
-        return self.read(spec).limit(rows)
+    def preview(self, spec: TableSpec, rows: int = 10, order_by: str | None = None) -> DataFrame:
+        """A few rows, for a look: any, or the first in an order."""
+        found = self.read(spec)
+        return (found.orderBy(order_by) if order_by else found).limit(rows)
 
     def replace(
         self,

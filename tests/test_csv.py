@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from martloom.sources.csv_files import load_fixture, read_entity_csv
+from martloom.sources.csv_files import load_fixture, read_entity_csv, rejected_lines
 from tests import samples
 
 
@@ -58,3 +58,20 @@ def test_fixture_loader(spark, tmp_path):
     assert sorted(map(tuple, load_fixture(spark, str(tmp_path / "b.json")).collect())) == [(1, "a"), (2, None)]
     with pytest.raises(ValueError):
         load_fixture(spark, str(tmp_path / "c.xml"))
+
+
+def test_bad_lines_are_listed_left_out_or_fail(spark, tmp_path):
+    header = "StoreID,StoreName,Region,StoreType,SquareFootage"
+    (tmp_path / "a.csv").write_text(f'{header}\n1,"Quay, new",North,Small,1\n2,Hill\n3,Hill,South,Large,3,4,5\n')
+    (tmp_path / "b.csv").write_text(f"{header}\n4,Moor,South,Large,many\n5,Moor,South,Large,1.5\n6,,,,\n7,Dale,South,Large,2.0\n")
+    found = {r.line.split(",")[0]: (r.file[-5:], r.reason) for r in rejected_lines(spark, str(tmp_path), "stores").collect()}
+    wrong = ("b.csv", "SquareFootage is no int")
+    assert found == {"2": ("a.csv", "too few values"), "3": ("a.csv", "too many values"), "4": wrong, "5": wrong}
+    kept = read_entity_csv(spark, str(tmp_path), "stores", bad_lines="reject").collect()
+    assert sorted((r.StoreID, r.StoreName, r.SquareFootage) for r in kept) == [("1", "Quay, new", 1), ("6", None, None), ("7", "Dale", 2)]
+    with pytest.raises(Exception, match="line does not fit the header: .*a.csv: (2,Hill|3,Hill,South,Large,3,4,5)"):
+        read_entity_csv(spark, str(tmp_path / "a.csv"), "stores", bad_lines="fail").collect()
+    both = read_entity_csv(spark, str(tmp_path / "a.csv"), "stores").orderBy("StoreID").collect()
+    assert [(r.StoreID, r.Region, r.SquareFootage) for r in both] == [("1", "North", 1), ("2", None, None), ("3", "South", 3)]
+    with pytest.raises(ValueError, match="keep, reject, fail"):
+        read_entity_csv(spark, str(tmp_path), "stores", bad_lines="drop")
