@@ -3,13 +3,14 @@
 A SimHash of a run of words is 64 bits: each bit is the sign of a sum over the run's shingles (five
 words, weighted by how often they occur in the run), so similar runs differ in few bits.  Windows of
 every item length slide over the whole text.  Fingerprints are cut into blocks of bits; two that
-differ in at most ``radius`` bits agree up to ``radius // blocks`` bits in one block at least, so a
-table of each block's values near an item's finds all items within the radius.  What it finds is
-compared by exact weighted shingle similarity.  A text shorter than an item is one window, the whole
-text; the items that share enough of its shingles are looked up by shingle and compared exactly.
-
-A window without any shingle of any item has similarity 0 with all of them, so only windows around
-such a shingle are given a fingerprint.  This drops no window that could match.
+differ in at most ``radius`` bits agree up to ``radius // blocks`` bits in one block at least.  A window
+and an item that pass this in a block, and then in the whole print, are compared by exact weighted shingle
+similarity.  A text shorter than an item is one window, the whole text; the items that share enough of its
+shingles are compared exactly.
+
+A window has similarity 0 with every item it shares no shingle with.  So a window is only ever held against
+the items that own one of its shingles, which a list from shingles to items names: this drops no pair that
+could match, and what a text costs does not grow with the number of items it has nothing of.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ PART_BYTES = 4 << 20
 
 
 class Items:
-    """Benchmark items of one part, and the tables that find them: by length of item, by block of bits."""
+    """Benchmark items of one part, and what finds them: lists from shingles to items, blocks of fingerprints."""
 
     def __init__(self, ids: list[int], texts: list[str], radius: int, blocks: int):
         found = words(pc.utf8_lower(pa.array(texts, pa.string())))
@@ -44,18 +45,14 @@ class Items:
         self.ids, self.radius, self.blocks = pa.array(ids, pa.int64()), radius, blocks
         self.shingles = [_counted(found.hash[found.first[i] : found.first[i + 1]]) for i in range(len(texts))]
         self.prints = np.array([fingerprint(*x) for x in self.shingles], _U)
+        #: Which differences of two blocks are within the part of the radius that falls to one.
+        self.near = _block_tables(np.zeros(1, _U), radius, blocks)
         self.known = {}
-        self.tables = {}
-        for length in sorted(set(self.length.tolist()) - {0}):
-            here = np.flatnonzero(self.length == length)
-            size = min(SIZE, length)
-            self.known.setdefault(size, []).extend(x for i in here for x in self.shingles[i][0].tolist())
-            self.tables[length] = (here, _block_tables(self.prints[here], radius, blocks))
-        self.known = {size: np.unique(np.array(x, _U)) for size, x in self.known.items()}
         #: Shingles in order, and the item of each.
         self.holders = {}
-        for size in self.known:
+        for size in sorted({min(SIZE, n) for n in self.length.tolist()} - {0}):
             held = [i for i, n in enumerate(self.length.tolist()) if n and min(SIZE, n) == size]
+            self.known[size] = np.unique(np.concatenate([self.shingles[i][0] for i in held]))
             hashes = np.concatenate([self.shingles[i][0] for i in held])
             turn = np.argsort(hashes, kind="stable")
             self.holders[size] = hashes[turn], np.repeat(held, [len(self.shingles[i][0]) for i in held])[turn]
@@ -104,24 +101,25 @@ def _block_tables(prints: np.ndarray, radius: int, blocks: int) -> list[np.ndarr
 def matches_in(text_words: np.ndarray, items: Items, similarity: float) -> list[tuple[int, int, int, float]]:
     """Matches in one text, given as word hashes: place of the item, first word, words, similarity (the best window of each item)."""
     n, best = len(text_words), {}
-    for size, known in items.known.items():
+    for size, (hashes, holders) in items.holders.items():
         if n < size:
             continue
         runs = _runs(text_words, size)
-        spots = np.flatnonzero(known[np.minimum(np.searchsorted(known, runs), len(known) - 1)] == runs)
-        if not len(spots):
+        low, high = np.searchsorted(hashes, runs, "left"), np.searchsorted(hashes, runs, "right")
+        times = high - low
+        if not times.any():
             continue
         best |= _shortened(runs, size, n, items, similarity)
-        for length, (here, tables) in items.tables.items():
-            if min(SIZE, length) != size or length > n:
-                continue
-            starts = _starts(spots, length - size, n - length)
-            for start, found in _within(runs, starts, length - size + 1, items, here, tables):
+        spot = np.repeat(np.arange(len(runs)), times)  # each shingle of the text beside each item that owns it
+        owner = holders[np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())]
+        lengths = items.length[owner]
+        for length in np.unique(lengths[lengths <= n]).tolist():
+            here = lengths == length
+            for start, item in _within(runs, spot[here], owner[here], length - size + 1, n - length, items):
                 window = np.unique(runs[start : start + length - size + 1], return_counts=True)
-                for item in found:
-                    value = _similarity(window, items.shingles[item])
-                    if value >= similarity and value > best.get(item, (0, 0, 0.0))[2]:
-                        best[item] = (start, length, value)
+                value = _similarity(window, items.shingles[item])
+                if value >= similarity and value > best.get(item, (0, 0, 0.0))[2]:
+                    best[item] = (start, length, value)
     return [(item, *match) for item, match in sorted(best.items())]
 
 
@@ -150,23 +148,49 @@ def _starts(spots: np.ndarray, before: int, last: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(edge)[: last + 1] > 0)
 
 
-def _within(runs: np.ndarray, starts: np.ndarray, held: int, items: Items, here: np.ndarray, tables: list) -> Iterator[tuple[int, list[int]]]:
-    """Windows, by start, and the items whose fingerprint is within the radius of theirs."""
-    width, ends = 64 // items.blocks, np.flatnonzero(np.diff(starts) > 1) + 1
+#: Windows held against items at a time.
+PAIRS = 1 << 18
+
+
+def _within(runs: np.ndarray, spot: np.ndarray, owner: np.ndarray, held: int, last: int, items: Items) -> Iterator[tuple[int, int]]:
+    """Windows of ``held`` shingles, by start, that have a shingle of an item and a fingerprint within the radius of its.
+
+    ``spot`` and ``owner``: shingles of the text, by place, and items that own them; ``last``: the last start.
+    Starts come in order for each item.
+    """
+    order = np.lexsort((spot, owner))
+    spot, owner = spot[order], owner[order]
+    low, high = np.maximum(spot - held + 1, 0), np.minimum(spot, last)
+    same = owner[1:] == owner[:-1]
+    low[1:] = np.where(same, np.maximum(low[1:], high[:-1] + 1), low[1:])  # a window counts once for an item
+    times = np.maximum(high - low + 1, 0)
+    starts = _starts(np.unique(spot), held - 1, last)
+    prints, width = _prints(runs, starts, held), 64 // items.blocks
+    first = 0
+    ends = np.cumsum(times)
+    while first < len(times):
+        stop = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + PAIRS, "right")))
+        n = times[first:stop]
+        start = np.repeat(low[first:stop] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        item = np.repeat(owner[first:stop], n)
+        apart = prints[np.searchsorted(starts, start)] ^ items.prints[item]
+        near = np.zeros(len(apart), bool)
+        for k, table in enumerate(items.near):
+            near |= table[((apart >> _U(k * width)) & _U(2**width - 1)).astype(np.int64)]
+        near &= np.bitwise_count(apart) <= items.radius
+        yield from zip(start[near].tolist(), item[near].tolist())
+        first = stop
+
+
+def _prints(runs: np.ndarray, starts: np.ndarray, held: int) -> np.ndarray:
+    """Fingerprints of the windows of ``held`` shingles at ``starts``, which are in order."""
+    found, ends = [np.zeros(0, _U)], np.flatnonzero(np.diff(starts) > 1) + 1
     for part in (x for group in np.split(starts, ends) for x in np.split(group, range(4096, len(group), 4096))):
-        if not len(part):
-            continue
-        signs = _signs(mix64(runs[part[0] : part[-1] + held]))
-        total = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(signs, 0, dtype=np.int32)])
-        prints = _folded(total[held:] - total[:-held])
-        near = np.zeros(len(part), bool)
-        for k, table in enumerate(tables):
-            near |= table[((prints >> _U(k * width)) & _U(2**width - 1)).astype(np.int64)]
-        for at in np.flatnonzero(near):
-            apart = np.bitwise_count(items.prints[here] ^ prints[at])
-            found = here[apart <= items.radius]
-            if len(found):
-                yield int(part[at]), found.tolist()
+        if len(part):
+            signs = _signs(mix64(runs[part[0] : part[-1] + held]))
+            total = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(signs, 0, dtype=np.int32)])
+            found.append(_folded(total[held:] - total[:-held]))
+    return np.concatenate(found)
 
 
 def _similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:

@@ -81,6 +81,32 @@ def test_blocks_find_every_print_within_the_radius():
             assert any(t[(other >> k * width) & (2**width - 1)] for k, t in enumerate(tables))
 
 
+def test_items_a_text_has_nothing_of_are_not_compared(monkeypatch):
+    """What is held against each other stays the same from 200 to 20,000 unrelated items."""
+    random.seed(8)
+    item = [f"i{n}" for n in range(40)]
+    text = " ".join(random.choices([f"w{n}" for n in range(500)], k=400) + item + ["w1", "w2"] * 100)
+    compared = []
+    real = np.searchsorted
+    for n in (200, 20_000):
+        others = [" ".join(f"o{i}x{j}" for j in range(random.choice([20, 40]))) for i in range(n)]
+        items = d.Items(list(range(n + 1)), [" ".join(item), *others], d.RADIUS, d.BLOCKS)
+        hashes = d.words(d.pa.array([text])).hash
+        pairs = 0
+
+        def counted(a, v, *rest):
+            nonlocal pairs
+            pairs += len(v) if np.ndim(v) and a.dtype == np.int64 else 0
+            return real(a, v, *rest)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(d.np, "searchsorted", counted)
+            found = d.matches_in(hashes, items, 0.8)
+        assert [(i, first, length) for i, first, length, _ in found] == [(0, 400, 40)]
+        compared.append(pairs)
+    assert compared[0] == compared[1] > 0
+
+
 def test_empty(spark):
     docs, items = spark.createDataFrame([(1, "a", "b")], DOCS), spark.createDataFrame([], ITEMS)
     assert d.contaminated(docs, items).count() == 0 and d.clean(docs, items).count() == 1
