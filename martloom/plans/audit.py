@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from martloom.operators.quality import key_violations, quality_counts, rules_for
 from martloom.schemas import ENTITY_KEY, TABLES
+from martloom.sources.footers import footers
 from martloom.sources.warehouse import Warehouse
 
 
 def layer_row_counts(warehouse: Warehouse) -> DataFrame:
-    """Rows of every table of the warehouse."""
+    """Rows of every table of the warehouse, as its files' footers count them."""
     counts = (
-        warehouse.read(spec).agg(F.lit(spec.label).alias("table_name"), F.count("*").alias("row_count"))
+        footers(warehouse.read(spec)).agg(F.lit(spec.label).alias("table_name"), F.count("*").alias("row_count"))
         for spec in TABLES
     )
     return reduce(DataFrame.unionByName, counts)

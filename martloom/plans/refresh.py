@@ -40,6 +40,7 @@ from martloom.schemas import (
     TableSpec,
 )
 from martloom.session import bucketed_scans, together, written
+from martloom.sources.footers import footers
 from martloom.sources.warehouse import LOAD, PART, Warehouse
 
 
@@ -94,7 +95,7 @@ def _load_changed_silver(warehouse: Warehouse, entity: str, run_ts: str | None)
 
 def load_dim_date(warehouse: Warehouse) -> None:
     """Replace the calendar by the days from the first to the last sale."""
-    warehouse.replace(DIM_DATE, dim_date_rows(warehouse.read(SILVER["sales"])))
+    warehouse.replace(DIM_DATE, dim_date_rows(footers(warehouse.read(SILVER["sales"]))))
 
 
 def load_dimension(warehouse: Warehouse, entity: str, run_ts: str | None = None) -> None:

@@ -8,15 +8,18 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from martloom.functions.calendar import date_spine
 from martloom.operators.keys import dense_key
 from martloom.operators.quality import quality_counts, rules_for
 from martloom.operators.upsert import dedupe_latest, upsert
+from martloom.plans.audit import layer_row_counts
 from martloom.plans.layers import fact_rows, silver_rows, star_check
 from martloom.plans.refresh import read_star, refresh
 from martloom.plans.sample_run import SampleRun
 from martloom.plans.views import VIEWS, top, view
-from martloom.schemas import BRONZE, DIM_DATE, DIM_PRODUCT, DIM_PROMOTION, DIM_STORE, FACT_SALES, SILVER
+from martloom.schemas import BRONZE, DIM_DATE, DIM_PRODUCT, DIM_PROMOTION, DIM_STORE, FACT_SALES, SILVER, TABLES
 from martloom.session import bucketed_scans
+from martloom.sources.footers import footers
 from martloom.sources.warehouse import Warehouse
 from tests import samples
 
@@ -132,6 +135,16 @@ def test_dense_key_sorts_no_row_in_a_single_task(spark, plan):
     assert text.count("SinglePartition") == 1
 
 
+def test_counts_and_extremes_come_from_footers(warehouse, plan):
+    text = plan(layer_row_counts(warehouse))
+    assert text.count("PushedAggregation: [COUNT(*)]") == len(TABLES) and "FileScan" not in text
+    spine = date_spine(footers(warehouse.read(SILVER["sales"])), "Date")
+    assert "PushedAggregation: [MIN(Date), MAX(Date)]" in plan(spine)
+    assert spine.count() == 4
+    # Other reads are as they were.
+    assert "FileScan" in plan(warehouse.read(SILVER["sales"]))
+
+
 def test_quality_is_counted_in_one_scan(warehouse, plan):
     assert plan(quality_counts(warehouse.read(BRONZE["sales"]), rules_for("sales"))).count("FileScan") == 1
 
