@@ -171,13 +171,24 @@ def _sharing_rare(texts: DataFrame, apart: DataFrame, similarity: float) -> Data
     order = Window.partitionBy("key").orderBy("n", "unit")
     first = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1
     ranked = units.join(often, "unit").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= first)
-    rare = ranked.filter("low < high").select("unit", F.col("key").alias("a"), "class", "size", (F.col("size") - F.col("rank")).alias("rest"))
+    rare = stored(ranked.filter("low < high").select("unit", F.col("key").alias("a"), "class", "size", (F.col("size") - F.col("rank")).alias("rest")), "near-rare")
     other = rare.toDF("unit", "b", "b_class", "b_size", "b_rest")
     needed = F.ceil((F.col("size") + F.col("b_size")) * (similarity / (1 + similarity)) - 1e-9)
-    met = rare.join(other, "unit").filter(F.col("class") < F.col("b_class")).filter(1 + F.least("rest", "b_rest") >= needed)
+    met = _outsiders(rare).join(other, "unit").filter(F.col("class") != F.col("b_class")).filter(1 + F.least("rest", "b_rest") >= needed)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _outsiders(rare: DataFrame) -> DataFrame:
+    """The rows that are not of the class most rows of their run are in.
+
+    Of two rows of different classes one at least is such a row, so these, joined with all rows of their run,
+    meet every pair that counts; a cluster with a few outsiders is not joined with itself.
+    """
+    per = rare.groupBy("unit", "class").agg(F.count("*").alias("n"))
+    most = per.groupBy("unit").agg(F.max(F.struct("n", "class")).getField("class").alias("most"))
+    return rare.join(most, "unit").filter(F.col("class") != F.col("most")).drop("most")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose exact similarity is high enough."""
     prepare(pairs.sparkSession)

@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from martloom.llm import chat, decontaminate, divergence, fim, language, lm, mixing, near, private, quality, repeats, urls
+from martloom.llm import chat, decontaminate, divergence, fim, language, lm, mixing, near, pipeline, private, quality, repeats, urls
 from martloom.llm.sample import held_out, learnable
 from martloom.llm.topk import quantised, top_k
 
@@ -106,7 +105,7 @@ def queries() -> dict[str, Query]:
         "op11_fim": op11_fim,
         "op12_divergence": op12_divergence,
         "op13_urls": op13_urls,
-        "pipeline": corpus_pipeline.run,
+        "pipeline": pipeline.run,
     }
 
 

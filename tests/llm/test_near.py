@@ -80,6 +80,14 @@ def test_links_a_leader_does_not_show_are_found(spark, texts):
     assert got == {(a, b) for i, a in enumerate(different) for b in different[i + 1 :] if held[a] and held[b] and similarity(held[a], held[b]) >= 0.8}
 
 
+def test_a_cluster_with_one_outsider_is_not_joined_with_itself(spark):
+    rows = [(f"r{i % 7}", f"k{i // 7}", "cluster") for i in range(7 * 500)] + [("r0", "outsider", "other"), ("r1", "outsider", "other")]
+    rare = spark.createDataFrame(rows, "unit string, a string, class string")
+    left = near._outsiders(rare)
+    assert sorted(map(tuple, left.select("unit", "a", "class").collect())) == [("r0", "outsider", "other"), ("r1", "outsider", "other")]
+    assert left.join(rare.toDF("unit", "b", "b_class"), "unit").count() == 2 * 501
+
+
 def test_coordinates_agree_as_often_as_texts_are_similar():
     a = [f"a{i}" for i in range(80)] + [f"b{i}" for i in range(20)]
     b = [f"a{i}" for i in range(80)] + [f"c{i}" for i in range(20)]
