@@ -58,6 +58,12 @@ def main() -> None:
     silver, store = warehouse.read(SILVER["sales"]), warehouse.read(DIM_STORE)
     for how, limit in (("broadcast", None), ("spread", 0)):
         timed(f"store lookup, {how}", lambda n=limit: run(lookup(silver, store, "StoreID", ["StoreKey"], "TransactionID", n)))
+    # What one more day costs, in a warehouse that rewrites its tables and in one that keeps them in parts.
+    one_day = deliveries | {"sales": sales.filter("Date = DATE '1998-01-05' AND TransactionID LIKE '%-%-%'").drop("copy")}
+    in_parts = Warehouse(spark, "bench_parts", scratch_path(spark, "warehouse"), parts="month")
+    timed("everything, first, in months", lambda: refresh(in_parts, deliveries, None, {"sales": sales_order()}))
+    for name, made in (("buckets", warehouse), ("months", in_parts)):
+        timed(f"one day more, in {name}", lambda w=made: refresh(w, one_day, None, {"sales": sales_order()}))
     print(json.dumps({"sales": sales.count(), "seconds": seconds}))
     spark.stop()
 

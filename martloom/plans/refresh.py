@@ -87,9 +87,13 @@ def _load_changed_silver(warehouse: Warehouse, entity: str, run_ts: str | None)
     if warehouse.has_parts(spec):
         met = reduce(Column.__and__, rules_for(entity).values())
         failed = changed.filter(~F.coalesce(met, F.lit(False))).select(spec.key)
-        held = warehouse.rows(spec).filter(F.col(spec.stamp).isNull()).select(*spec.columns)
-        stale = held.join(failed, spec.key, "left_semi")
-        source = source.unionByName(stale.withColumn(spec.stamp, F.timestamp_micros(F.lit(warehouse.stamp(spec)))))
+        valid = warehouse.rows(spec).filter(F.col(spec.stamp).isNull())
+        # Of the table the keys alone are read, and the parts that hold such a row.
+        held = valid.select(spec.key, PART).join(failed, spec.key, "left_semi").select(PART).distinct()
+        parts = [] if failed.isEmpty() else [r[0] for r in held.collect()]
+        if parts:
+            stale = valid.filter(F.col(PART).isin(parts)).select(*spec.columns).join(failed, spec.key, "left_semi")
+            source = source.unionByName(stale.withColumn(spec.stamp, F.timestamp_micros(F.lit(warehouse.stamp(spec)))))
     merge_parts(warehouse, spec, source, on_duplicate="unique", marks=marks, stamp=now, keys=source)
 
 
