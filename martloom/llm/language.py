@@ -43,16 +43,17 @@ def grams_of(word: str, size: int) -> list[str]:
 
 
 def fit(
-    texts: DataFrame, fit_rows: int = 20_000, longest: int = 5, words: int = 20_000, grams: int = 6_000
+    texts: DataFrame, fit_rows: int = 5_000, longest: int = 5, words: int = 20_000, grams: int = 6_000
 ) -> Model:
     """Learn from columns doc_id, text and lang, rows without text or lang aside.
 
-    At most about ``fit_rows`` whole texts are learned from; of each language the ``words`` most
+    Of each language about ``fit_rows`` whole texts are learned from, each different text once, so that
+    a language is learned alike however small its share of the corpus is.  Of these the ``words`` most
     frequent words and, for each length up to ``longest``, the ``grams`` most frequent n-grams are
     kept (ties by code point).  So the model, which every task gets, has a bounded size.
     """
     prepare(texts.sparkSession)
-    rows = bounded(texts.filter("text IS NOT NULL AND lang IS NOT NULL"), fit_rows, "doc_id", "text")
+    rows = bounded(texts.filter("text IS NOT NULL AND lang IS NOT NULL"), fit_rows, "lang", "text", each="lang")
     counted = (
         rows.select("lang", "text")
         .mapInArrow(_counts(longest), "lang string, size int, gram string, n long")
