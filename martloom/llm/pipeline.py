@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm import decontaminate, mixing, near, private, quality
 from martloom.llm.sample import learnable
-from martloom.llm.scratch import stored
+from martloom.llm.scratch import free, stored
 
 #: Documents with a lower quality score go.
 LEAST_QUALITY = 0.3
@@ -20,7 +20,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier does not reject; it learns from the labels of four fifths of them."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs.filter(learnable(5, 0)), labels.filter(learnable(5, 0)))
-    return quality.scored(docs, model, "_score").filter(F.col("_score") >= LEAST_QUALITY).drop("_score")
+    (score,) = free(docs, "score")
+    return quality.scored(docs, model, score).filter(F.col(score) >= LEAST_QUALITY).drop(score)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,13 +1,16 @@
 """Quality scores by positive-unlabelled learning: trusted good texts, unlabelled web text, no bad ones.
 
-Texts become a short vector of shares and logarithms (letters, capitals, symbols, repeats, line and
-word shapes).  With class prior pi, the risk of a scorer g is
+Texts become a vector: shares and logarithms of their shape (letters, capitals, symbols, repeats, line and
+word shapes), and how much of them falls into each of ``BUCKETS`` buckets of hashed words and word pairs.
+With class prior pi, the risk of a scorer g is
 
     pi * E_pos[loss(g)] + max(0, E_unl[loss(-g)] - pi * E_pos[loss(-g)])
 
 whose second part estimates the risk on the bad texts nobody labelled and is kept from turning
-negative (Kiryo et al., 2017).  The prior itself is estimated from the same two samples: under any
-score, unlabelled text above a threshold is at least pi times the positive text above it.
+negative (Kiryo et al., 2017).  Scorers are fitted on bounded samples.  The prior is a figure of the
+corpus and is estimated over every unlabelled text: under any score, unlabelled text above a threshold is at
+least pi times the positive text above it, so the texts are scored by a model that learned from other ones and
+counted by score.
 """
 
 from __future__ import annotations
@@ -21,9 +24,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.arrow import utf8, words
+from martloom.llm.arrow import Words, mix64, utf8, words
 from martloom.llm.sample import bounded
-from martloom.llm.scratch import prepare, widened
+from martloom.llm.scratch import free, prepare, widened
 
 #: Kinds of bytes whose shares are features.
 KINDS = {
@@ -43,7 +46,14 @@ _KIND = np.full(256, len(KINDS), np.uint8)
 for _i, _bytes in enumerate(KINDS.values()):
     _KIND[list(_bytes)] = _i
 _ODD = np.array([k in ("digit", "shout", "symbol", "bar") for k in (*KINDS, "")])
-FEATURES = (*KINDS, "chars", "words", "word_length", "distinct", "commonest", "same_as_last", "odd_words", "lines", "distinct_lines", "line_words")
+SHAPES = (*KINDS, "chars", "words", "word_length", "distinct", "commonest", "same_as_last", "odd_words", "lines", "distinct_lines", "line_words")
+#: Buckets of hashed words, and as many of pairs of neighbouring words.
+BUCKETS = 128
+FEATURES = (*SHAPES, *(f"word_{i}" for i in range(BUCKETS)), *(f"pair_{i}" for i in range(BUCKETS)))
+#: Words of a text whose word features count half.
+ENOUGH = 100
+#: Scores are counted between this many thresholds when the prior is estimated.
+CUTS = 96
 
 
 def features(texts: pa.Array) -> np.ndarray:
@@ -85,10 +95,24 @@ def features(texts: pa.Array) -> np.ndarray:
             np.log1p(lines[:, 0]) / 10,
             lines[:, 1] / np.maximum(lines[:, 0], 1),
             np.log1p(n / np.maximum(lines[:, 0], 1)) / 10,
+            *_buckets(found).T,
         ]
     )
 
 
+def _buckets(found: Words) -> np.ndarray:
+    """The root of each bucket's share of a text's words, then of its word pairs."""
+    rows, h = len(found.first) - 1, found.hash
+    inside = found.row[1:] == found.row[:-1]
+    pair = mix64(h[:-1] * np.uint64(3) + h[1:])[inside]
+    shares = []
+    for hashed, row in ((h, found.row), (pair, found.row[1:][inside])):
+        bucket = (hashed % np.uint64(BUCKETS)).astype(np.int64)
+        held = np.bincount(row * BUCKETS + bucket, minlength=rows * BUCKETS).reshape(rows, BUCKETS)
+        shares.append(np.sqrt(held / np.maximum(held.sum(1, keepdims=True), 1)))
+    return np.column_stack(shares)
+
+
 def _lines(text: str) -> tuple[int, int]:
     lines = [x for x in text.split("\n") if x]
     return len(lines), len(set(lines))
@@ -102,17 +126,26 @@ class Model:
     prior: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return _logistic(_expanded((x - self.mean) / self.spread) @ self.weights)
+        return _logistic(_expanded(x, self.mean, self.spread) @ self.weights)
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def _expanded(z: np.ndarray) -> np.ndarray:
-    """A constant, each feature and its square."""
-    z = np.clip(z, -8, 8)
-    return np.column_stack([np.ones(len(z)), z, z * z / 8])
+def _expanded(x: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """A constant, each feature against the average text, and the square of each that tells a shape.
+
+    The words of a short text tell little of what it could have said: their features count the less, the
+    fewer words there are.
+    """
+    z = np.clip((x - mean) / spread, -8, 8)
+    n = np.expm1(10 * x[:, SHAPES.index("words")])
+    shape, said = z[:, : len(SHAPES)], z[:, len(SHAPES) :] * (n / (n + ENOUGH))[:, None]
+    return np.column_stack([np.ones(len(z)), shape, shape * shape / 8, said])
+
+
+_SIZE = 1 + len(SHAPES) + len(FEATURES)
 
 
 def _descend(gradient, size: int, steps: int, rate: float = 0.05) -> np.ndarray:
@@ -125,33 +158,48 @@ def _descend(gradient, size: int, steps: int, rate: float = 0.05) -> np.ndarray:
     return w
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The least ratio of unlabelled to positive text above any threshold, each with its sampling error."""
-    both = np.concatenate([positive, unlabelled])
-    cuts = np.unique(np.quantile(both, np.linspace(0, 0.95, 96)))
-    above_p = np.array([(positive >= c).mean() for c in cuts])
-    above_u = np.array([(unlabelled >= c).mean() for c in cuts])
+def _shrink(positives: int, least: float = 0.02) -> np.ndarray:
+    """How strongly each weight is drawn to zero: words the more, the fewer texts there are to judge them by."""
+    held = np.full(_SIZE, least)
+    held[1 + 2 * len(SHAPES) :] = max(least, 200 / max(positives, 1))
+    return held
+
+
+def _scaling(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return both.mean(0), np.maximum(both.std(0), 1e-3)
+
+
+def separate(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 300) -> Model:
+    """A scorer that tells positive from unlabelled text, for the prior; without either, the constant 0.5."""
+    if not len(positive) or not len(unlabelled):
+        return Model(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), np.zeros(_SIZE), 0.5)
+    mean, spread = _scaling(np.concatenate([positive, unlabelled]))
+    p, u = (_expanded(x, mean, spread) for x in (positive, unlabelled))
+    shrink = _shrink(len(p))
+    w = _descend(lambda w: (p.T @ -_logistic(-p @ w)) / len(p) + (u.T @ _logistic(u @ w)) / len(u) + shrink * w, _SIZE, steps)
+    return Model(mean, spread, w, 0.5)
+
+
+def thresholds(positive: np.ndarray) -> np.ndarray:
+    """Scores that cut the positive texts into parts of about one size."""
+    return np.unique(np.quantile(positive, np.linspace(0, 0.95, CUTS)))
+
+
+def estimate_prior(above_p: np.ndarray, above_u: np.ndarray, n_p: int, n_u: int) -> float:
+    """The least ratio of unlabelled to positive text above any threshold, each share with its sampling error."""
     error = np.sqrt(np.log(40) / 2)  # of a share, with probability 0.95, times sqrt(n)
-    most = (above_u + error / np.sqrt(len(unlabelled))) / np.maximum(above_p - error / np.sqrt(len(positive)), 1e-3)
+    most = (above_u + error / np.sqrt(n_u)) / np.maximum(above_p - error / np.sqrt(n_p), 1e-3)
     best = int(most.argmin())
     return float(np.clip(above_u[best] / max(above_p[best], 1e-3), 0.01, 0.99))
 
 
-def learn(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600, shrink: float = 0.02) -> Model:
+def learn(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400) -> Model:
     """A scorer of least non-negative risk; with no positive or no unlabelled text, the constant 0.5."""
-    size = 2 * len(FEATURES) + 1
     if not len(positive) or not len(unlabelled):
-        return Model(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), np.zeros(size), 0.5)
-    both = np.concatenate([positive, unlabelled])
-    mean, spread = both.mean(0), np.maximum(both.std(0), 1e-3)
-    p, u = (_expanded((x - mean) / spread) for x in (positive, unlabelled))
-
-    def separated(p: np.ndarray, u: np.ndarray) -> np.ndarray:  # positive from unlabelled text, for the prior
-        return _descend(lambda w: (p.T @ -_logistic(-p @ w)) / len(p) + (u.T @ _logistic(u @ w)) / len(u) + shrink * w, size, steps)
-
-    halves = [(p[i::2], u[i::2]) for i in (0, 1)]
-    held = [estimate_prior(b @ w, v @ w) for (a, t), (b, v) in (halves, halves[::-1]) if len(a) and len(t) and len(b) and len(v) for w in [separated(a, t)]]
-    prior = sum(held) / len(held) if held else 0.5
+        return separate(positive, unlabelled)
+    mean, spread = _scaling(np.concatenate([positive, unlabelled]))
+    p, u = (_expanded(x, mean, spread) for x in (positive, unlabelled))
+    shrink = _shrink(len(p))
 
     def risk(w: np.ndarray) -> np.ndarray:
         on_p, on_u = p @ w, u @ w
@@ -160,35 +208,86 @@ def learn(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600, shrink
         value = np.logaddexp(0, on_u).mean() - prior * np.logaddexp(0, on_p).mean()
         return (good + bad if value >= 0 else -bad) + shrink * w  # below zero, step back out
 
-    return Model(mean, spread, _descend(risk, size, steps), prior)
+    return Model(mean, spread, _descend(risk, _SIZE, steps), prior)
 
 
-def fit(texts: DataFrame, labels: DataFrame, fit_rows: int = 20_000) -> Model:
+def fit(texts: DataFrame, labels: DataFrame, fit_rows: int = 10_000) -> Model:
     """Learn from ``texts`` (doc_id, text) and ``labels`` (doc_id, quality).
 
     Positive: documents all of whose labels are 1.  Unlabelled: documents without a label; where there
-    are none, all documents.  At most about ``fit_rows`` of each are learned from, in whole; only
-    their feature vectors reach the driver.
+    are none, all documents.  About ``fit_rows`` different ones of each are learned from, in whole; only
+    their feature vectors reach the driver.  The class prior is estimated over all unlabelled documents: each
+    text is in one of two folds by a hash of it, and is scored by the model of the other one.
     """
     prepare(texts.sparkSession)
-    marked = labels.groupBy("doc_id").agg(F.min("quality").alias("_quality"))
+    (mark,) = free(labels, "mark")
+    marked = labels.groupBy("doc_id").agg(F.min("quality").alias(mark))
     joined = texts.select("doc_id", "text").join(marked, "doc_id", "left")
-    positive = _vectors(bounded(joined.filter("_quality = 1"), fit_rows, "doc_id"))
-    unlabelled = _vectors(bounded(joined.filter("_quality IS NULL"), fit_rows, "doc_id"))
-    if not len(unlabelled):
-        unlabelled = _vectors(bounded(joined, fit_rows, "doc_id"))
-    return learn(positive, unlabelled)
-
+    fold = F.xxhash64("text", F.lit("fold")).bitwiseAND(F.lit(1)).cast("int").alias("fold")
+    positive = joined.filter(F.col(mark) == 1).select("doc_id", "text", fold)
+    unlabelled = joined.filter(F.col(mark).isNull()).select("doc_id", "text", fold)
+    (p, p_fold), (u, u_fold) = (_vectors(bounded(x, fit_rows, "doc_id", "text")) for x in (positive, unlabelled))
+    if not len(u):
+        unlabelled = joined.select("doc_id", "text", fold)
+        u, u_fold = _vectors(bounded(unlabelled, fit_rows, "doc_id", "text"))
+    return learn(p, u, _prior(p, p_fold, u, u_fold, unlabelled))
+
+
+def _prior(p: np.ndarray, p_fold: np.ndarray, u: np.ndarray, u_fold: np.ndarray, unlabelled: DataFrame) -> float:
+    """The prior among all of ``unlabelled``; 0.5 if there is too little to tell."""
+    if not all((x == i).any() for x in (p_fold, u_fold) for i in (0, 1)):
+        return 0.5
+    models = [separate(p[p_fold != i], u[u_fold != i]) for i in (0, 1)]  # of a fold: what the other one taught
+    scores = [models[i].score(p[p_fold == i]) for i in (0, 1)]
+    cuts = [thresholds(x) for x in scores]
+    counted = _histogram(unlabelled, models, cuts)
+    found = []
+    for i in (0, 1):
+        n = counted[i].sum()
+        if n:
+            above_u = counted[i][::-1].cumsum()[::-1][1:] / n
+            above_p = np.array([(scores[i] >= c).mean() for c in cuts[i]])
+            found.append(estimate_prior(above_p, above_u, len(scores[i]), int(n)))
+    return sum(found) / len(found) if found else 0.5
+
+
+def _histogram(rows: DataFrame, models: list[Model], cuts: list[np.ndarray]) -> list[np.ndarray]:
+    """How many texts of each fold score below the first threshold, from each one to the next, and above the last."""
+    shared = rows.sparkSession.sparkContext.broadcast((models, cuts))
 
-def _vectors(rows: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models, cuts = shared.value
+        held = [np.zeros(len(c) + 1, np.int64) for c in cuts]
         for batch in batches:
-            x = features(batch.column(0))
-            yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(x.ravel(), len(FEATURES)).cast(pa.list_(pa.float64()))], ["x"])
+            x, fold = features(batch.column("text")), batch.column("fold").to_numpy()
+            for i, model in enumerate(models):
+                at = np.searchsorted(cuts[i], model.score(x[fold == i]), "right")
+                held[i] += np.bincount(at, minlength=len(held[i]))
+        for i, counts in enumerate(held):
+            n = len(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([i] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array(counts)], ["fold", "at", "n"])
 
-    flat = rows.select("text").mapInArrow(run, "x array<double>").toArrow().column("x").combine_chunks()
-    x = flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
-    return x[np.lexsort(x.T)]  # the same order whichever task was first
+    total = [np.zeros(len(c) + 1, np.int64) for c in cuts]
+    summed = rows.select("text", "fold").mapInArrow(run, "fold int, at int, n long").groupBy("fold", "at").agg(F.sum("n").alias("n"))
+    for row in summed.collect():
+        total[row["fold"]][row["at"]] = row["n"]
+    shared.unpersist()
+    return total
+
+
+def _vectors(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Features of each text, and its fold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = features(batch.column("text")).astype(np.float32)
+            vectors = pa.FixedSizeListArray.from_arrays(x.ravel(), len(FEATURES)).cast(pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([vectors, batch.column("fold")], ["x", "fold"])
+
+    table = rows.select("text", "fold").mapInArrow(run, "x array<float>, fold int").toArrow().combine_chunks()
+    x = table.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+    order = np.lexsort(x.T)  # the same order whichever task was first
+    return x[order], table.column("fold").to_numpy()[order]
 
 
 def scored(texts: DataFrame, model: Model, name: str = "score") -> DataFrame:

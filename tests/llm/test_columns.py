@@ -28,7 +28,7 @@ def operators(docs, spark):
         "clean": lambda: decontaminate.clean(docs, benchmark),
         "contaminated": lambda: decontaminate.contaminated(docs, benchmark),
         "without_repeats": lambda: repeats.without_repeats(docs),
-        "quality": lambda: quality.scored(docs, quality.learn(quality.features(_texts()), quality.features(_texts()), steps=5)),
+        "quality": lambda: quality.scored(docs, quality.learn(quality.features(_texts()), quality.features(_texts()), 0.5, steps=5)),
         "identify": lambda: language.identify(docs, language.fit(docs)),
         "filled_in_middle": lambda: fim.filled_in_middle(docs),
     }
