@@ -27,7 +27,8 @@ class Mapping:
 
     ``parts``: (role, paths) of turns that are single fields; several paths are joined by an empty
     line.  ``turns``: a list of objects with their own role and text fields ("" for the record
-    itself).  ``optional``: paths that may be missing.
+    itself).  ``optional``: paths that may be missing.  ``ignored``: paths that may stand there besides and say
+    nothing of the turns; one that ends in a dot means all fields below it.
     """
 
     name: str
@@ -37,6 +38,11 @@ class Mapping:
     text: str = ""
     also: tuple[str, ...] = ()
     optional: tuple[str, ...] = ()
+    ignored: tuple[str, ...] = ()
+
+    def without_ignored(self, paths: set[str]) -> set[str]:
+        below = tuple(x for x in self.ignored if x.endswith("."))
+        return {p for p in paths if p not in self.ignored and not (below and p.startswith(below))}
 
     def paths(self) -> set[str]:
         own = {p for _, paths in self.parts for p in paths} | set(self.also)
@@ -53,12 +59,12 @@ class Mapping:
 
 MAPPINGS = (
     Mapping("turn row", turns="", role="role", text="text", also=("conv_id", "turn")),
-    Mapping("messages", turns="messages", role="role", text="content", also=("system", "id"), optional=("system", "id"), parts=(("system", ("system",)),)),
-    Mapping("conversations", turns="conversations", role="from", text="value", also=("id",), optional=("id",)),
-    Mapping("prompt and response", parts=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",))), optional=("system",)),
-    Mapping("prompt and completion", parts=(("user", ("prompt",)), ("assistant", ("completion",)))),
-    Mapping("instruction", parts=(("system", ("system",)), ("user", ("instruction", "input")), ("assistant", ("output",))), optional=("system", "input")),
-    Mapping("question and answer", parts=(("system", ("context",)), ("user", ("question",)), ("assistant", ("answer",))), optional=("context",)),
+    Mapping("messages", turns="messages", role="role", text="content", also=("system", "id"), optional=("system", "id"), parts=(("system", ("system",)),), ignored=("messages[].name", "messages[].id", "metadata", "metadata.", "source")),
+    Mapping("conversations", turns="conversations", role="from", text="value", also=("id",), optional=("id",), ignored=("metadata", "metadata.", "source")),
+    Mapping("prompt and response", parts=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",))), optional=("system",), ignored=("id", "metadata", "metadata.", "source")),
+    Mapping("prompt and completion", parts=(("user", ("prompt",)), ("assistant", ("completion",))), ignored=("id", "metadata", "metadata.", "source")),
+    Mapping("instruction", parts=(("system", ("system",)), ("user", ("instruction", "input")), ("assistant", ("output",))), optional=("system", "input"), ignored=("id", "metadata", "metadata.", "source")),
+    Mapping("question and answer", parts=(("system", ("context",)), ("user", ("question",)), ("assistant", ("answer",))), optional=("context",), ignored=("id", "metadata", "metadata.", "source")),
 )
 #: Names that layouts give the three roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
@@ -77,7 +83,22 @@ def fingerprint(paths: set[str]) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
-REGISTRY = {key: mapping for mapping in reversed(MAPPINGS) for key in mapping.fingerprints()}
+def registry(mappings: tuple[Mapping, ...]) -> dict[str, Mapping]:
+    """Mappings by the fingerprints they declare; of two with one fingerprint the first."""
+    return {key: mapping for mapping in reversed(mappings) for key in mapping.fingerprints()}
+
+
+def mapping_of(paths: set[str], mappings: tuple[Mapping, ...], known: dict[str, Mapping]) -> Mapping | None:
+    """The mapping with this fingerprint, or the first that has it once the fields it ignores are left out."""
+    exact = known.get(fingerprint(paths))
+    if exact is not None:
+        return exact
+    for mapping in mappings:
+        if mapping.ignored:
+            left = mapping.without_ignored(paths)
+            if len(left) < len(paths) and known.get(fingerprint(left)) == mapping:
+                return mapping
+    return None
 
 
 def _text(value: object) -> str:
@@ -99,23 +120,23 @@ def turns_of(record: dict, mapping: Mapping) -> list[tuple[str, str]]:
     return found
 
 
-def canonical_turns(records: DataFrame, payload: str = "payload") -> DataFrame:
+def canonical_turns(records: DataFrame, payload: str = "payload", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """One row for each turn of each record: its other columns, ``layout``, ``fingerprint``, ``seq``, ``role``, ``text``.
 
-    ``payload`` names the JSON column, which goes; columns named like the new ones are replaced.  A
-    record of no known layout, null or no JSON object, keeps one row whose layout, seq, role and text
-    are null, so that it can be found and its layout declared.  Null texts and roles are empty.  A
-    record without turns gives none.
+    ``payload`` names the JSON column, which goes; columns named like the new ones are replaced.  Null texts
+    and roles are empty.  A record without turns gives none.  Nor does a record of no known layout, null or no
+    JSON object; ``unmatched`` has all of these, with their payload.
     """
     prepare(records.sparkSession)
     added = "layout string, fingerprint string, seq int, role string, text string"
-    rest = records.drop("layout", "fingerprint", "seq", "role", "text")
+    rest = records.drop(*{"layout", "fingerprint", "seq", "role", "text"} - {payload})
+    known = registry(mappings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             from_row, out = [], {name: [] for name in ("layout", "fingerprint", "seq", "role", "text")}
             for row, line in enumerate(batch.column(payload).to_pylist()):
-                for values in _record_turns(line):
+                for values in _record_turns(line, mappings, known):
                     from_row.append(row)
                     for name, value in zip(out, values):
                         out[name].append(value)
@@ -126,17 +147,48 @@ def canonical_turns(records: DataFrame, payload: str = "payload") -> DataFrame:
     return rest.mapInArrow(run, widened(rest.drop(payload).schema, added))
 
 
-def _record_turns(line: str | None) -> list[tuple]:
+def unmatched(records: DataFrame, payload: str = "payload", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
+    """The records that ``canonical_turns`` cannot read, whole, with ``fingerprint`` and ``paths``, so that their layout can be declared.
+
+    ``paths``: the paths of their fields, sorted; both null for a payload that is null or no JSON object.
+    Columns of the names added are replaced.
+    """
+    prepare(records.sparkSession)
+    rest = records.drop(*{"fingerprint", "paths"} - {payload})
+    known = registry(mappings)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, keys, found = [], [], []
+            for row, line in enumerate(batch.column(payload).to_pylist()):
+                record = _record(line)
+                paths = None if record is None else field_paths(record)
+                if paths is None or mapping_of(paths, mappings, known) is None:
+                    rows.append(row)
+                    keys.append(None if paths is None else fingerprint(paths))
+                    found.append(None if paths is None else sorted(paths))
+            kept = batch.take(pa.array(rows, pa.int64()))
+            new = [pa.array(keys, pa.string()), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *new], [*kept.schema.names, "fingerprint", "paths"])
+
+    return rest.mapInArrow(run, widened(rest.schema, "fingerprint string, paths array<string>"))
+
+
+def _record(line: str | None) -> dict | None:
     try:
         record = json.loads(line) if line is not None else None
     except ValueError:
-        record = None
-    if not isinstance(record, dict):
-        return [(None, None, None, None, None)]
-    key = fingerprint(field_paths(record))
-    mapping = REGISTRY.get(key)
+        return None
+    return record if isinstance(record, dict) else None
+
+
+def _record_turns(line: str | None, mappings: tuple[Mapping, ...], known: dict[str, Mapping]) -> list[tuple]:
+    record = _record(line)
+    paths = set() if record is None else field_paths(record)
+    mapping = mapping_of(paths, mappings, known) if record is not None else None
     if mapping is None:
-        return [(None, key, None, None, None)]
+        return []
+    key = fingerprint(paths)
     return [(mapping.name, key, i, *turn) for i, turn in enumerate(turns_of(record, mapping))]
 
 

@@ -38,13 +38,48 @@ def test_layouts_by_the_paths_of_their_fields(spark):
         (2, "instruction", 1, "assistant", "3"),
         (3, "prompt and response", 0, "user", "p"),
         (3, "prompt and response", 1, "assistant", "r"),
-        (5, None, None, None, None),
-        (6, None, None, None, None),
-        (7, None, None, None, None),
         (8, "turn row", 0, "", "x"),
     ]
 
 
+def test_records_of_no_known_layout_are_kept_whole(spark):
+    call = {"messages": [{"role": "user", "content": "q", "tool_calls": [{"name": "f"}]}]}
+    records = [{"unheard": {"of": 1}}, "no json", None, call, {"prompt": "p", "response": "r"}, [1], {}, ""]
+    lines = [(i, r if r is None or isinstance(r, str) else json.dumps(r), "old") for i, r in enumerate(records)]
+    frame = spark.createDataFrame(lines, "id long, payload string, paths string")
+    found = {r.id: r for r in chat.unmatched(frame).collect()}
+    assert set(found) == {0, 1, 2, 3, 5, 6, 7}
+    assert all(found[i].payload == lines[i][1] for i in found)
+    assert found[0].paths == ["unheard.of"] and found[0].fingerprint == chat.fingerprint({"unheard.of"})
+    assert found[3].paths == ["messages[].content", "messages[].role", "messages[].tool_calls[].name"]
+    assert [found[i].fingerprint for i in (1, 2, 5, 7)] == [None] * 4
+    # Each record is either read or kept: declared, the layout gives its turns.
+    assert {r.id for r in chat.canonical_turns(frame).collect()} == {4}
+    calls = chat.Mapping("calls", turns="messages", role="role", text="content", ignored=("messages[].tool_calls[].",))
+    declared = (*chat.MAPPINGS, calls)
+    assert 3 not in {r.id for r in chat.unmatched(frame, mappings=declared).collect()}
+    turn = next(r for r in chat.canonical_turns(frame, mappings=declared).collect() if r.id == 3)
+    assert (turn.layout, turn.role, turn.text, turn.fingerprint) == ("calls", "user", "q", found[3].fingerprint)
+    assert chat.unmatched(frame.limit(0)).count() == 0
+
+
+def test_fields_that_say_nothing_of_the_turns(spark):
+    records = [
+        {"messages": [{"role": "user", "content": "hi", "name": "Bo"}, {"role": "assistant", "content": "x"}], "metadata": {"a": {"b": 1}}},
+        {"instruction": "add", "output": "3", "id": 4, "source": None},
+        {"prompt": "p", "completion": "r", "metadata": None},
+        {"prompt": "p", "completion": "r", "more": "of it"},
+    ]
+    assert turns(spark, records) == [
+        (0, "messages", 0, "user", "hi"),
+        (0, "messages", 1, "assistant", "x"),
+        (1, "instruction", 0, "user", "add"),
+        (1, "instruction", 1, "assistant", "3"),
+        (2, "prompt and completion", 0, "user", "p"),
+        (2, "prompt and completion", 1, "assistant", "r"),
+    ]
+
+
 def test_fingerprints_tell_paths_not_values():
     paths = chat.field_paths({"b": [{"x": 1}, {"y": {}}], "a": None})
     assert paths == {"a", "b[].x", "b[].y"}
