@@ -507,7 +507,7 @@ def scored(docs: DataFrame, train: Column) -> DataFrame:
     the names added are replaced.
     """
     added = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    docs = docs.drop(*[x.split()[0] for x in added.split(", ")])
+    docs = _with_field(docs.drop(*[x.split()[0] for x in added.split(", ")]))
     own = next((c for c in docs.columns if c.lower() == "train"), "train")
     flag, kept = free(docs, "flag", "train")  # a column of the input may be called as the mark is
     rows = docs.withColumns({flag: F.coalesce(train, F.lit(False)), "text": F.coalesce("text", F.lit(""))})
@@ -515,7 +515,15 @@ def scored(docs: DataFrame, train: Column) -> DataFrame:
     model, blocks, counted, told = fit(rows)
     together = _together(blocks, counted, *told)
     fields = rows.drop("train", "text").schema
-    return together.mapInArrow(_score(model.constants), widened(fields, added)).withColumnRenamed(kept, own)
+    return together.mapInArrow(_score(model.constants), widened(fields, added)).withColumnRenamed(kept, own).drop(_NONE)
+
+
+def _with_field(docs: DataFrame) -> DataFrame:
+    """A block's documents are records of the fields beside text, of which there must be one."""
+    return docs.withColumn(_NONE, F.lit(0)) if docs.columns == ["text"] else docs
+
+
+_NONE = "no field but text"
 
 
 def _factors(c: np.ndarray, factors: list[float]) -> np.ndarray:
@@ -532,18 +540,28 @@ def _score(constants: Constants):
 
 
 def _scores(block: _Block, docs: pa.StructArray, told: list, counts: list, model: Constants) -> pa.RecordBatch:
-    n, pairs = model.n_tokens, model.bigrams
+    pairs = model.bigrams
     c, alpha, scale = (_joined([x[name] for x in told if name in x], kind) for name, kind in _TYPES.items())
     seen = np.abs(_joined_counts(counts))
-    start = np.searchsorted(block.words, START)
+    as_token, single = _singles(block, c, model)
+    pair, h, w = seen[block.bigrams(model.parts)[3]], block.before, block.tokens
+    known = np.log10(np.where(pair >= CUT, scale[h] * pair * _factors(pair, pairs) / np.maximum(c[h], 1), 1.0))
+    return _summed(block, docs, as_token, np.where(pair >= CUT, known, np.log10(alpha)[h] + single[w]), model)
+
+
+def _singles(block: _Block, c: np.ndarray, model: Constants) -> tuple[np.ndarray, np.ndarray]:
+    """Of each of the block's words: its count as a token, and the log10 of its unigram probability."""
     as_token = c.copy()
-    as_token[start] = 0
+    as_token[np.searchsorted(block.words, START)] = 0
     with np.errstate(divide="ignore"):
-        single = np.log10(np.where(as_token > 0, as_token * _factors(as_token, model.unigrams) / max(n, 1), model.unknown))
+        p = np.where(as_token > 0, as_token * _factors(as_token, model.unigrams) / max(model.n_tokens, 1), model.unknown)
+        return as_token, np.log10(p)
+
+
+def _summed(block: _Block, docs: pa.StructArray, as_token: np.ndarray, value: np.ndarray, model: Constants) -> pa.RecordBatch:
+    """The block's documents with their totals; ``value``: the log10 probability of each token."""
+    n, w = model.n_tokens, block.tokens
     base = np.log10((as_token + 1) / (n + model.n_words + 1))
-    pair, h, w = seen[block.bigrams(model.parts)[3]], block.before, block.tokens
-    known = np.log10(np.where(pair >= CUT, scale[h] * pair * _factors(pair, pairs) / np.maximum(c[h], 1), 1.0))
-    value = np.where(pair >= CUT, known, np.log10(alpha)[h] + single[w])
     first = np.cumsum(block.lengths) - block.lengths
     total = lambda x: np.add.reduceat(x, first) if len(first) else np.zeros(0)
     new = [
@@ -555,3 +573,150 @@ def _scores(block: _Block, docs: pa.StructArray, told: list, counts: list, model
     ]
     names = [f.name for f in docs.type]
     return pa.RecordBatch.from_arrays([*docs.flatten(), *new], [*names, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+
+#: Folders that the stored bigrams of ordinary histories are dealt to, by history.
+SLICES = 64
+_PAIRS = "part long, h long, w long, p double"
+_CONSTANTS = (
+    "n_tokens long, n_words long, unigrams array<double>, bigrams array<double>, unknown double, "
+    "bits int, hot array<long>, first array<long>, split array<long>"
+)
+
+
+def learn(docs: DataFrame, path: str) -> None:
+    """Fit a model to all texts of ``docs`` and write it to ``path``, which must not exist.
+
+    ``bigrams``: every bigram seen in training and its discounted probability, partitioned by history, those of a
+    frequent history by second word too.  ``words``: count and backoff weight of each token and history.
+    ``constants``: one row.  Words are 64-bit hashes.  A null text is empty.
+    """
+    spark = docs.sparkSession
+    rows = _with_field(docs.select(F.coalesce("text", F.lit("")).alias("text"))).withColumn("train", F.lit(True))
+    model, blocks, answers, told = fit(rows)
+    k = model.constants
+    owned = _together(blocks.select("block", *_PACKED), answers, *told).mapInArrow(_owned_bigrams(k), _PAIRS)
+    part, whole = F.col("part"), 2**k.parts.bits
+    by_history = F.when(part < whole, F.floor(part * SLICES / whole)).otherwise(F.lit(SLICES))
+    sliced = owned.repartition("part").withColumn("slice", by_history.cast("int")).sortWithinPartitions("slice", "part", "h", "w")
+    sliced.write.partitionBy("slice").option("compression", "zstd").parquet(f"{path}/bigrams")
+    model.words.select("w", "c", "alpha").write.parquet(f"{path}/words")
+    listed = [x.view(np.int64).tolist() for x in (k.parts.hot, k.parts.first, k.parts.split)]
+    row = (k.n_tokens, k.n_words, k.unigrams, k.bigrams, k.unknown, k.parts.bits, *listed)
+    spark.createDataFrame([row], _CONSTANTS).write.parquet(f"{path}/constants")
+
+
+def _owned_bigrams(model: Constants):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, _, told, counts in _answered(batches):
+            c, _, scale = (_joined([x[name] for x in told if name in x], kind) for name, kind in _TYPES.items())
+            code, part, _, _ = block.bigrams(model.parts)
+            seen = -_joined_counts(counts)
+            own = seen >= CUT
+            seen, part, h, w = seen[own], part[own], code[own] // len(block.words), code[own] % len(block.words)
+            p = scale[h] * seen * _factors(seen, model.bigrams) / np.maximum(c[h], 1)
+            columns = [pa.array(part, pa.int64()), _signed(block.words[h]), _signed(block.words[w]), pa.array(p, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "h", "w", "p"])
+
+    return run
+
+
+class Stored:
+    """A model read from the tables that ``learn`` wrote."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        row = spark.read.parquet(f"{path}/constants").first()
+        hot, first, split = (np.array(row[x], np.int64) for x in ("hot", "first", "split"))
+        parts = _Parts(row.bits, hot.view(_U), first, split)
+        self.constants = Constants(row.n_tokens, row.n_words, row.unigrams, row.bigrams, row.unknown, parts)
+        self.words = spark.read.schema("w long, c long, alpha double").parquet(f"{path}/words")
+        self.bigrams = spark.read.schema(f"{_PAIRS}, slice int").parquet(f"{path}/bigrams")
+
+    def scored(self, docs: DataFrame) -> DataFrame:
+        """Columns of ``docs`` but text, and those that the function ``scored`` adds, for texts the model need not know.
+
+        The probability of each token is looked up, that of its bigram first; a bigram the table lacks backs
+        off to the weight of the history times the token's own probability, and a token it lacks is unknown.
+        Different bigrams and words of a block are asked for once; the table is read once.
+        """
+        added = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
+        docs = _with_field(docs.drop(*[x.split()[0] for x in added.split(", ")]))
+        spark = docs.sparkSession
+        prepare(spark)
+        own = next((c for c in docs.columns if c.lower() == "train"), "train")
+        (kept,) = free(docs, "train")
+        rows = docs.withColumnRenamed(own, kept).withColumns({"text": F.coalesce("text", F.lit("")), "train": F.lit(False)})
+        made, path = _blocks(rows), scratch_path(spark, "lm-asked")
+        made.write.option("compression", "zstd").parquet(path)
+        blocks = spark.read.schema(made.schema).parquet(path)
+        packed = blocks.select("block", *_PACKED)
+        asked = packed.mapInArrow(_ask_bigrams(self.constants.parts), "part long, block long, h binary, n binary, w binary, c binary").drop("c")
+        table = self.bigrams.select("part", "h", "w", "p").mapInArrow(_pack_bigrams, "part long, block long, h binary, w binary, p binary")
+        both = table.unionByName(asked, allowMissingColumns=True).repartition("part")
+        both = both.sortWithinPartitions("part", F.asc_nulls_first("block")).select("part", "block", "h", "n", "w", "p")
+        answers = both.mapInArrow(_tell_bigrams, "block long, part long, counts binary")
+        words_ = _told(packed, self.words, self.constants.parts.bits, ("c", "alpha"))
+        fields = rows.drop("train", "text").schema
+        found = _together(blocks, answers, words_).mapInArrow(_evaluate(self.constants), widened(fields, added))
+        return found.withColumnRenamed(kept, own).drop(_NONE)
+
+
+def _pack_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        part = batch.column("part").to_numpy()
+        turn = np.argsort(part, kind="stable")
+        h, w, p = (batch.column(x).to_numpy()[turn] for x in ("h", "w", "p"))
+        rows = [(int(part[turn[a]]), None, h[a:b].tobytes(), w[a:b].tobytes(), p[a:b].tobytes()) for a, b in _groups(part[turn])]
+        yield _rows(rows, ("part", "block", "h", "w", "p"))
+
+
+def _tell_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Goes through rows sorted by part, the table's bigrams before the blocks' requests; 0 for what the table lacks."""
+    part, table, ready = None, [], None
+    for batch in batches:
+        for at, number, h, n, w, p in zip(*(batch.column(x).to_pylist() for x in ("part", "block", "h", "n", "w", "p"))):
+            if at != part:
+                part, table, ready = at, [], None
+            if number is None:
+                table.append((np.frombuffer(h, _U), np.frombuffer(w, _U), np.frombuffer(p, float)))
+                continue
+            ready = ready or _Bigrams(table)
+            found = ready.of(np.repeat(np.frombuffer(h, _U), _spread(n, np.int32)), np.frombuffer(w, _U))
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([at], pa.int64()), pa.array([_squeezed(found)])], ["block", "part", "counts"])
+
+
+class _Bigrams:
+    """Probabilities of one part's bigrams, by the places of their words among those of the part."""
+
+    def __init__(self, table: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        h, w, p = (np.concatenate(x) for x in zip(*table)) if table else (np.zeros(0, _U), np.zeros(0, _U), np.zeros(0))
+        self.h, self.w = np.unique(h), np.unique(w)
+        code = np.searchsorted(self.h, h) * len(self.w) + np.searchsorted(self.w, w)
+        turn = np.argsort(code)
+        self.code, self.p = code[turn], p[turn]
+
+    def of(self, h: np.ndarray, w: np.ndarray) -> np.ndarray:
+        if not len(self.code):
+            return np.zeros(len(h))
+        (i, has_h), (j, has_w) = _place(self.h, h), _place(self.w, w)
+        at, hit = _place(self.code, i * len(self.w) + j)
+        return np.where(has_h & has_w & hit, self.p[at], 0.0)
+
+
+def _place(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each value stands among the sorted known ones, and whether it is one of them."""
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    return at, known[at] == asked
+
+
+def _evaluate(model: Constants):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, docs, told, found in _answered(batches):
+            c, alpha = (_joined([x[name] for x in told if name in x], _TYPES[name]) for name in ("c", "alpha"))
+            as_token, single = _singles(block, c, model)
+            p = _joined(found, float)[block.bigrams(model.parts)[3]]
+            value = np.log10(np.where(p > 0, p, 1.0))
+            value = np.where(p > 0, value, np.log10(alpha)[block.before] + single[block.tokens])
+            yield _summed(block, docs, as_token, value, model)
+
+    return run

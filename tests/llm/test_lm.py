@@ -146,3 +146,37 @@ def test_bigrams_seen_once_have_their_own_discount(spark, rows, monkeypatch, sma
     assert 0 < model.d2[0] < 1 and Counter(model.pairs.values())[1] > 100
     wanted = [model.score(r[1]) for r in sorted(more, key=lambda r: (r[0] or 0, len(tokens(r[1])), r[2] or False))]
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in scores(spark, more)] == wanted
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_a_stored_model_scores_texts_it_was_not_fitted_to(spark, rows, monkeypatch, tmp_path, small):
+    if small:
+        monkeypatch.setattr(lm, "PART", 500)
+        monkeypatch.setattr(lm, "HOT", 1e-4)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    lm.learn(frame.filter("learn").select("text"), f"{tmp_path}/model")
+    stored = lm.Stored(spark, f"{tmp_path}/model")
+    model = Whole([t for _, t, learn, _ in rows if learn])
+    assert stored.bigrams.count() == len(model.pairs)
+    held = stored.bigrams.groupBy("h").agg(F.sum("p").alias("seen"))
+    assert held.filter("seen >= 1").count() == 0  # every history leaves something to what it was not seen with
+    asked = [r for r in rows if not r[2]] + [(900, "w1 w2 never the of", None, "x"), (901, None, None, "x"), (902, "w3 " * 50_000, None, "x")]
+    found = stored.scored(spark.createDataFrame(asked, SCHEMA.replace("learn", "Train")).repartition(2))
+    assert found.columns == ["doc_id", "Train", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    wanted = {r[0]: model.score(r[1]) for r in asked}
+    got = found.collect()
+    assert len(got) == len(asked)
+    for r in got:
+        assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == wanted[r.doc_id]
+    assert stored.scored(frame.limit(0)).count() == 0
+    alone = spark.createDataFrame([("w1 w2",), (None,)], "text string")
+    one, two = sorted(stored.scored(alone).collect(), key=lambda r: r.n_tokens)
+    assert one.asDict().keys() == {"n_tokens", "n_known", "train_tokens", "base_score", "score"}
+    assert tuple(one) == model.score(None) and tuple(two) == model.score("w1 w2")
+    assert sorted(r.n_tokens for r in lm.scored(alone, F.lit(True)).collect()) == [1, 3]
+
+
+def test_a_stored_model_of_nothing(spark, tmp_path):
+    lm.learn(spark.createDataFrame([], SCHEMA), f"{tmp_path}/model")
+    found = lm.Stored(spark, f"{tmp_path}/model").scored(spark.createDataFrame([(1, "a b", None, None)], SCHEMA))
+    assert [(r.n_tokens, r.n_known, r.train_tokens, r.score) for r in found.collect()] == [(3, 0, 0, 0.0)]
