@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.arrow import Words, mix64, utf8, words
 from martloom.llm.sample import bounded
-from martloom.llm.scratch import free, prepare, widened
+from martloom.llm.scratch import prepare, widened
 
 #: Kinds of bytes whose shares are features.
 KINDS = {
@@ -220,27 +220,26 @@ def fit(texts: DataFrame, labels: DataFrame, fit_rows: int = 10_000) -> Model:
     text is in one of two folds by a hash of it, and is scored by the model of the other one.
     """
     prepare(texts.sparkSession)
-    (mark,) = free(labels, "mark")
-    marked = labels.groupBy("doc_id").agg(F.min("quality").alias(mark))
-    joined = texts.select("doc_id", "text").join(marked, "doc_id", "left")
-    fold = F.xxhash64("text", F.lit("fold")).bitwiseAND(F.lit(1)).cast("int").alias("fold")
-    positive = joined.filter(F.col(mark) == 1).select("doc_id", "text", fold)
-    unlabelled = joined.filter(F.col(mark).isNull()).select("doc_id", "text", fold)
-    (p, p_fold), (u, u_fold) = (_vectors(bounded(x, fit_rows, "doc_id", "text")) for x in (positive, unlabelled))
+    marked = labels.groupBy("doc_id").agg(F.min("quality").alias("mark")).filter("mark IS NOT NULL")
+    told = F.xxhash64("text")
+    rows = texts.select("doc_id", "text", told.alias("told"), F.xxhash64(told, F.lit("fold")).bitwiseAND(F.lit(1)).cast("int").alias("fold"))
+    keys = rows.select("doc_id", "told")  # joined without their texts, which are not shuffled
+    good = keys.join(marked.filter("mark = 1"), "doc_id", "left_semi")
+    (p, p_fold), (u, u_fold) = _sampled(rows, fit_rows, good, keys.join(marked, "doc_id", "left_anti"))
     if not len(u):
-        unlabelled = joined.select("doc_id", "text", fold)
-        u, u_fold = _vectors(bounded(unlabelled, fit_rows, "doc_id", "text"))
-    return learn(p, u, _prior(p, p_fold, u, u_fold, unlabelled))
+        marked = marked.limit(0)
+        (p, p_fold), (u, u_fold) = _sampled(rows, fit_rows, good, keys)
+    return learn(p, u, _prior(p, p_fold, u, u_fold, rows, marked))
 
 
-def _prior(p: np.ndarray, p_fold: np.ndarray, u: np.ndarray, u_fold: np.ndarray, unlabelled: DataFrame) -> float:
-    """The prior among all of ``unlabelled``; 0.5 if there is too little to tell."""
+def _prior(p: np.ndarray, p_fold: np.ndarray, u: np.ndarray, u_fold: np.ndarray, rows: DataFrame, labelled: DataFrame) -> float:
+    """The prior among all of ``rows`` that are not ``labelled``; 0.5 if there is too little to tell."""
     if not all((x == i).any() for x in (p_fold, u_fold) for i in (0, 1)):
         return 0.5
     models = [separate(p[p_fold != i], u[u_fold != i]) for i in (0, 1)]  # of a fold: what the other one taught
     scores = [models[i].score(p[p_fold == i]) for i in (0, 1)]
     cuts = [thresholds(x) for x in scores]
-    counted = _histogram(unlabelled, models, cuts)
+    counted = _histogram(rows, labelled, models, cuts)
     found = []
     for i in (0, 1):
         n = counted[i].sum()
@@ -251,30 +250,44 @@ def _prior(p: np.ndarray, p_fold: np.ndarray, u: np.ndarray, u_fold: np.ndarray,
     return sum(found) / len(found) if found else 0.5
 
 
-def _histogram(rows: DataFrame, models: list[Model], cuts: list[np.ndarray]) -> list[np.ndarray]:
-    """How many texts of each fold score below the first threshold, from each one to the next, and above the last."""
+def _histogram(rows: DataFrame, labelled: DataFrame, models: list[Model], cuts: list[np.ndarray]) -> list[np.ndarray]:
+    """How many texts of each fold score below the first threshold, from each one to the next, and above the last.
+
+    Every row is scored where it is read; those with a label leave the count by their doc_id alone.
+    """
     shared = rows.sparkSession.sparkContext.broadcast((models, cuts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models, cuts = shared.value
-        held = [np.zeros(len(c) + 1, np.int64) for c in cuts]
         for batch in batches:
             x, fold = features(batch.column("text")), batch.column("fold").to_numpy()
+            at = np.zeros(len(fold), np.int32)
             for i, model in enumerate(models):
-                at = np.searchsorted(cuts[i], model.score(x[fold == i]), "right")
-                held[i] += np.bincount(at, minlength=len(held[i]))
-        for i, counts in enumerate(held):
-            n = len(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([i] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array(counts)], ["fold", "at", "n"])
+                at[fold == i] = np.searchsorted(cuts[i], model.score(x[fold == i]), "right")
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("fold"), pa.array(at)], ["doc_id", "fold", "at"])
 
+    placed = rows.select("doc_id", "text", "fold").mapInArrow(run, widened(rows.select("doc_id", "fold").schema, "at int"))
     total = [np.zeros(len(c) + 1, np.int64) for c in cuts]
-    summed = rows.select("text", "fold").mapInArrow(run, "fold int, at int, n long").groupBy("fold", "at").agg(F.sum("n").alias("n"))
-    for row in summed.collect():
+    for row in placed.join(labelled, "doc_id", "left_anti").groupBy("fold", "at").agg(F.count("*").alias("n")).collect():
         total[row["fold"]][row["at"]] = row["n"]
     shared.unpersist()
     return total
 
 
+def _sampled(rows: DataFrame, fit_rows: int, *keys: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Features and folds of a sample of the rows with each of these keys (doc_id, told).
+
+    The sampled keys, ``fit_rows`` of each, are broadcast to the rows, so only sampled texts leave their task.
+    """
+    found = []
+    for wanted in keys:
+        drawn = F.broadcast(bounded(wanted, fit_rows, "doc_id", "told").alias("drawn"))
+        same = F.col("drawn.told") == F.col("rows.told")
+        same &= F.col("drawn.doc_id").eqNullSafe(F.col("rows.doc_id"))
+        found.append(_vectors(rows.alias("rows").join(drawn, same, "left_semi").dropDuplicates(["doc_id", "told"])))
+    return found
+
+
 def _vectors(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Features of each text, and its fold."""
 

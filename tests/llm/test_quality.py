@@ -47,10 +47,10 @@ def test_prior_is_that_of_all_unlabelled_texts(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     assert 0.7 < quality.fit(frame, labels, fit_rows=200).prior < 0.9
     model = quality.separate(quality.features(pa.array([t for _, t in docs[:50]])), quality.features(pa.array([t for _, t in docs[400:500]])))
-    folds = frame.selectExpr("text", "cast(doc_id % 3 = 0 AS int) AS fold").repartition(5)
+    folds = frame.selectExpr("doc_id", "text", "cast(doc_id % 3 = 0 AS int) AS fold").repartition(5)
     cuts = quality.thresholds(model.score(quality.features(pa.array([t for _, t in docs[:400]]))))
-    for i, counted in enumerate(quality._histogram(folds, [model, model], [cuts, cuts[::2]])):
-        scores = model.score(quality.features(pa.array([t for d, t in docs if (d % 3 == 0) == i])))
+    for i, counted in enumerate(quality._histogram(folds, labels.filter("doc_id < 40"), [model, model], [cuts, cuts[::2]])):
+        scores = model.score(quality.features(pa.array([t for d, t in docs if (d % 3 == 0) == i and d >= 40])))
         edges = [-1, *(cuts, cuts[::2])[i], 2]
         brute = [sum((a <= scores) & (scores < b)) for a, b in zip(edges, edges[1:])]
         assert counted.tolist() == brute
