@@ -251,7 +251,27 @@ def merge_parts(
     Where these are is found by a join of keys, for which only the keys of the table are read. ``keys`` has
     the keys and days of ``source`` where they are had from stored tables for less; otherwise ``source`` is
     written first. A table not yet in parts is written as a whole.
+
+    Where the parts have buckets, those of the table are read one by one and written back as they are.
     """
+    if warehouse.part_buckets:
+        with bucketed_scans(warehouse.spark):
+            _merge_parts(warehouse, spec, source, preserve, on_duplicate, order_by, marks, stamp, keys)
+    else:
+        _merge_parts(warehouse, spec, source, preserve, on_duplicate, order_by, marks, stamp, keys)
+
+
+def _merge_parts(
+    warehouse: Warehouse,
+    spec: TableSpec,
+    source: DataFrame,
+    preserve: Sequence[str],
+    on_duplicate: str,
+    order_by: Sequence[Column | str],
+    marks: Mapping[str, int] | None,
+    stamp: int | None,
+    keys: DataFrame | None,
+) -> None:
     load = F.lit(warehouse.load(spec) + 1).cast("long")
     came = conform(one_row_per_key(source, spec.key, on_duplicate, order_by), spec.schema).withColumn(LOAD, load)
     if not warehouse.exists(spec):
@@ -262,12 +282,13 @@ def merge_parts(
         warehouse.replace(spec, upsert(target.drop(PART), came, spec.key, preserve, "unique", null_keys="drop"), marks=marks, stamp=stamp)
         return
     if keys is None:
-        keys = came = written(came, spec.name)
+        keys = came = warehouse.put_down(spec, came) if warehouse.part_buckets else written(came, spec.name)
     former = target.select(spec.key, PART).join(keys.select(spec.key), spec.key, "left_semi").select(PART)
     touched = former.union(keys.select(warehouse.part_of(spec))).distinct()
     parts = [r[0] for r in touched.collect()]  # no more than the table has parts
     old = target.filter(F.col(PART).isin(parts)).drop(PART)
-    warehouse.replace_parts(spec, upsert(old, came, spec.key, preserve, "unique", null_keys="drop"), parts, marks, stamp)
+    merged = upsert(old, came, spec.key, preserve, "unique", null_keys="drop")
+    warehouse.replace_parts(spec, merged, parts, marks, stamp, grouped=bool(warehouse.part_buckets))
 
 
 def read_star(warehouse: Warehouse) -> Star:

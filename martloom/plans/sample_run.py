@@ -27,13 +27,16 @@ from martloom.plans.layers import (
 )
 from martloom.plans.refresh import refresh
 from martloom.schemas import BRONZE, DIMENSIONS, ENTITIES, ENTITY_KEY, FACT_SALES
-from martloom.session import scratch_path, together
+from martloom.session import scratch_path, shuffle_partitions, together
 from martloom.sources.csv_files import load_fixture, read_entity_csv, rejected_lines
+from martloom.sources.footers import footers
 from martloom.sources.sample_tables import sales_order, sample_delivery
 from martloom.sources.warehouse import Warehouse
 
 # The load times of the first (or only) and of the second run.
 FIRST_RUN, SECOND_RUN = "2024-06-01 00:00:00", "2024-06-02 00:00:00"
+# Order lines to a bucket of the warehouse, and the fewest buckets.
+BUCKET_ROWS, LEAST_BUCKETS = 500_000, 8
 
 
 class SampleRun:
@@ -214,10 +217,14 @@ class SampleRun:
     def warehouse(self) -> Warehouse:
         """A catalog brought up to date with the first and then the second delivery."""
         root = scratch_path(self.spark, "warehouse")
-        warehouse = Warehouse(self.spark, "sample_" + root.rsplit("-", 1)[1], root, parts="year")
-        for part, run_ts in ((1, FIRST_RUN), (2, SECOND_RUN)):
-            deliveries = {entity: self.delivery(entity, part) for entity in ENTITIES}
-            refresh(warehouse, deliveries, run_ts, {"sales": sales_order()})
+        # The second delivery touches every year, so the years have buckets, as many as the sales fill.
+        lines = footers(self.spark.read.parquet(f"{self.folder}/lineitem.parquet")).count()
+        buckets = max(LEAST_BUCKETS, -(-lines // BUCKET_ROWS))
+        warehouse = Warehouse(self.spark, "sample_" + root.rsplit("-", 1)[1], root, buckets, parts="year")
+        with shuffle_partitions(self.spark, buckets):
+            for part, run_ts in ((1, FIRST_RUN), (2, SECOND_RUN)):
+                deliveries = {entity: self.delivery(entity, part) for entity in ENTITIES}
+                refresh(warehouse, deliveries, run_ts, {"sales": sales_order()})
         return warehouse
 
     def _one_per_key(self, rows: DataFrame, entity: str) -> DataFrame:

@@ -8,7 +8,8 @@ Tables that grow with the sales are kept in one of two ways. In buckets of their
 table of its own. In parts (``parts="day"``, ``"month"`` or ``"year"`` of sale), a state is a table whose
 partitions lie where they were last written: a load writes the parts it touches to a new table of files,
 and the new state takes these partitions from there and all others from where the state before has
-them. Files of parts that no kept state has are dropped.
+them. Files of parts that no kept state has are dropped. With a number of buckets as well, every part is
+kept in buckets of the key: a load then moves its delivery only, and no row of a table that it reads.
 
 In parts, every row has the number of the load that last wrote it, so that the layer above can read what
 has changed since a load it knows.
@@ -55,7 +56,8 @@ class Warehouse:
         Of ``buckets``, use at least as many as shuffle partitions, and enough that one bucket of
         the sales fits a task. With another number than before, the next load of a table
         shuffles it once. With ``parts``, tables that grow have parts of that length instead of buckets;
-        the first load after a change of it writes the table anew.
+        the first load after a change of it writes the table anew. With both, each part has that number
+        of buckets, a file each: for parts so long that a delivery touches many and changes much of them.
         """
         if parts is not None and parts not in _GRAINS:
             raise ValueError(f"parts must be day, month or year, not {parts!r}")
@@ -64,6 +66,8 @@ class Warehouse:
         self.root = root
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.parts = parts
+        # Buckets of a part, 0 where the parts have none.
+        self.part_buckets = buckets or 0 if parts else 0
         self._known: dict[str, dict[str, str]] = {}
         self._read: dict[str, dict[str, str]] = {}
         self._run: str | None = None
@@ -111,7 +115,7 @@ class Warehouse:
         for ``mark``; rows without a time in the table's stamp column show ``stamp``, in microseconds.
         """
         if self.in_parts(spec):
-            self._save_parts(spec, df, {}, marks, stamp)
+            self._save_parts(spec, df, {}, marks, stamp, grouped)
             return
         self.ensure_database(spec.layer)
         version = self._new_version(spec)
@@ -138,8 +142,9 @@ class Warehouse:
         return spec.grows and self.parts is not None
 
     def has_parts(self, spec: TableSpec) -> bool:
-        """Whether the table is there and kept in parts of the right length."""
-        return self.in_parts(spec) and self._properties(spec).get(_PARTS) == self.parts
+        """Whether the table is there and kept in parts of the right length and number of buckets."""
+        kept = self._properties(spec) if self.in_parts(spec) else {}
+        return kept.get(_PARTS) == self.parts is not None and kept.get(_BUCKETS) == str(self.part_buckets)
 
     def part_of(self, spec: TableSpec) -> Column:
         return F.coalesce(F.date_format(spec.day, _GRAINS[self.parts]), F.lit("none"))
@@ -170,37 +175,62 @@ class Warehouse:
         parts: Sequence[str],
         marks: Mapping[str, int] | None = None,
         stamp: int | None = None,
+        grouped: bool = False,
     ) -> None:
-        """Save ``df`` in place of these parts, and keep all others where they are."""
+        """Save ``df`` in place of these parts, and keep all others where they are; ``grouped`` as in ``replace``."""
         if not self.has_parts(spec):
             raise ValueError(f"{spec.label} is not kept in parts of a {self.parts}")
         state = f"{self.database(spec.layer)}.{self._properties(spec)[_VERSION]}"
         kept = {part: place for part, place in self._places(state).items() if part not in set(parts)}
-        self._save_parts(spec, df, kept, marks, stamp)
+        self._save_parts(spec, df, kept, marks, stamp, grouped)
+
+    def put_down(self, spec: TableSpec, df: DataFrame) -> DataFrame:
+        """Rows that are to be merged into a table whose parts have buckets, written once in such buckets.
+
+        They are dropped with the states that the merge leaves behind.
+        """
+        self.ensure_database(spec.layer)
+        name = f"{self.database(spec.layer)}.{self._new_version(spec)}_came"
+        writer = df.repartition(self.part_buckets, spec.key).write.format("parquet").option("compression", "zstd")
+        writer.bucketBy(self.part_buckets, spec.key).saveAsTable(name)
+        return self.spark.table(name)
 
     def _save_parts(
-        self, spec: TableSpec, df: DataFrame, kept: Mapping[str, str], marks: Mapping[str, int] | None, stamp: int | None
+        self,
+        spec: TableSpec,
+        df: DataFrame,
+        kept: Mapping[str, str],
+        marks: Mapping[str, int] | None,
+        stamp: int | None,
+        grouped: bool = False,
     ) -> None:
         self.ensure_database(spec.layer)
         load = self.load(spec) + 1
         database, version = self.database(spec.layer), self._new_version(spec)
         if LOAD not in df.columns:
             df = df.withColumn(LOAD, F.lit(load).cast("long"))
-        # Spark deals the rows out again by part: small parts share a task, large ones have several.
-        dealt = df.select(*spec.columns, LOAD, self.part_of(spec).alias(PART)).hint("rebalance", PART)
+        dealt, clustered = df.select(*spec.columns, LOAD, self.part_of(spec).alias(PART)), ""
+        if self.part_buckets:
+            # Rows that Spark knows to be grouped by key in this number are not moved by the repartition.
+            dealt = dealt if grouped else dealt.repartition(self.part_buckets, spec.key)
+            writer = dealt.write.bucketBy(self.part_buckets, spec.key).option("compression", "zstd")
+            clustered = f"CLUSTERED BY ({spec.key}) INTO {self.part_buckets} BUCKETS "
+        else:
+            # Spark deals the rows out again by part: small parts share a task, large ones have several.
+            writer = dealt.hint("rebalance", PART).write
         files = f"{database}.{version}_files"
-        dealt.write.format("parquet").partitionBy(PART).saveAsTable(files)
+        writer.format("parquet").partitionBy(PART).saveAsTable(files)
         placed = dict(kept) | self._places(files)
         places = sorted(placed.items())
         self.spark.sql(
             f"CREATE TABLE {database}.{version} ({spec.ddl}, {LOAD} BIGINT, {PART} STRING) USING parquet "
-            f"PARTITIONED BY ({PART}) LOCATION '{self._folder(spec.layer)}/{version}'"
+            f"PARTITIONED BY ({PART}) {clustered}LOCATION '{self._folder(spec.layer)}/{version}'"
         )
         for at in range(0, len(places), _AT_ONCE):
             named = " ".join(f"PARTITION ({PART} = '{part}') LOCATION '{place}'" for part, place in places[at : at + _AT_ONCE])
             self.spark.sql(f"ALTER TABLE {database}.{version} ADD {named}")
         self._known[f"{database}.{version}"] = placed
-        properties = {_VERSION: version, _BUCKETS: "0", _PARTS: self.parts, _LOAD: str(load)}
+        properties = {_VERSION: version, _BUCKETS: str(self.part_buckets), _PARTS: self.parts, _LOAD: str(load)}
         properties |= {_READ + name: str(value) for name, value in (marks or {}).items()}
         self._show(spec, properties | ({} if stamp is None else {_STAMP: str(stamp)}))
 
