@@ -6,6 +6,7 @@ application to the shared folder, as it would be in a warehouse.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 from functools import cache, cached_property, reduce
 
@@ -156,7 +157,7 @@ class SampleRun:
     @cached_property
     def _first_sales(self) -> DataFrame:
         """Bronze sales after the first load, which the second one starts from."""
-        return self._stored(self.bronze("sales", 1), "bronze-sales")
+        return self._in_buckets(self.bronze("sales", 1).repartition(self._buckets, "TransactionID"), "bronze_sales")
 
     def bronze_first(self, entity: str) -> DataFrame:
         return self._first_sales if entity == "sales" else self.bronze(entity, 1)
@@ -166,7 +167,8 @@ class SampleRun:
 
     @cached_property
     def _second_sales(self) -> DataFrame:
-        return self._stored(self.silver_twice("sales"), "silver-sales")
+        # As merged with rows in buckets, the rows are grouped like them.
+        return self._in_buckets(self.silver_twice("sales"), "silver_sales")
 
     def bronze_twice(self, entity: str) -> DataFrame:
         order = self.order(entity)
@@ -207,8 +209,9 @@ class SampleRun:
             return fact_rows(sales, dims["stores"], dims["products"], dims["promotions"], date, run_ts)
 
         first_sales, second_sales = self.silver_first("sales"), self._second_sales
-        first_dims = together(lambda e: self.dimension(e, 1), DIMENSIONS)
-        second_dims = together(lambda e: self.dimension_twice(e, first_dims[e]), DIMENSIONS)
+        # Stored, so that their size is known where they are joined.
+        first_dims = together(lambda e: self._stored(self.dimension(e, 1), DIMENSIONS[e].name), DIMENSIONS)
+        second_dims = together(lambda e: self._stored(self.dimension_twice(e, first_dims[e]), DIMENSIONS[e].name), DIMENSIONS)
         first = fact(first_sales, first_dims, FIRST_RUN)
         second = fact(second_sales, second_dims, SECOND_RUN)
         return upsert(first, second, FACT_SALES.key, preserve=[FACT_SALES.stamp], null_keys="drop")
@@ -235,6 +238,17 @@ class SampleRun:
         spec = BRONZE[entity]
         return [c for c in spec.columns if c != spec.stamp]
 
+    @cached_property
+    def _buckets(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _in_buckets(self, sales: DataFrame, name: str) -> DataFrame:
+        """Sales stored in buckets of their key, so that merging them moves none of them again."""
+        table = f"{name}_{uuid.uuid4().hex}"
+        writer = sales.write.format("parquet").option("path", scratch_path(self.spark, name)).option("compression", "zstd")
+        writer.bucketBy(self._buckets, "TransactionID").sortBy("TransactionID").saveAsTable(table)
+        return self.spark.table(table)
+
     def _stored(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)
         df.write.parquet(path)

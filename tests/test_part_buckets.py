@@ -89,6 +89,11 @@ def test_the_sample_warehouse_joins_its_sales_in_place(spark, capsys):
         assert "Exchange" not in plan_of(silver.join(fact, "TransactionID"), capsys)
 
 
+def test_the_merge_of_two_fact_tables_moves_their_dimensions_only(spark, capsys):
+    text = plan_of(SampleRun(spark, "/root/testdata/sf0.001").fact_twice(), capsys)
+    assert "SortMergeJoin" in text and "BroadcastExchange" in text and "Exchange hashpartitioning" not in text
+
+
 def test_shuffle_partitions_are_set_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with pytest.raises(RuntimeError), shuffle_partitions(spark, 3):
