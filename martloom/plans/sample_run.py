@@ -28,7 +28,7 @@ from martloom.plans.layers import (
 )
 from martloom.plans.refresh import refresh
 from martloom.schemas import BRONZE, DIMENSIONS, ENTITIES, ENTITY_KEY, FACT_SALES
-from martloom.session import scratch_path, shuffle_partitions, together
+from martloom.session import scratch_path, shuffle_partitions, small_scans, together
 from martloom.sources.csv_files import load_fixture, read_entity_csv, rejected_lines
 from martloom.sources.footers import footers
 from martloom.sources.sample_tables import sales_order, sample_delivery
@@ -102,7 +102,8 @@ class SampleRun:
 
     @cached_property
     def silver_sales(self) -> DataFrame:
-        return self._stored(self.silver("sales"), "silver-sales")
+        with small_scans(self.spark):
+            return self._stored(self.silver("sales"), "silver-sales")
 
     def dim_date(self) -> DataFrame:
         return dim_date_rows(self.silver_sales)
@@ -224,7 +225,7 @@ class SampleRun:
         lines = footers(self.spark.read.parquet(f"{self.folder}/lineitem.parquet")).count()
         buckets = max(LEAST_BUCKETS, -(-lines // BUCKET_ROWS))
         warehouse = Warehouse(self.spark, "sample_" + root.rsplit("-", 1)[1], root, buckets, parts="year")
-        with shuffle_partitions(self.spark, buckets):
+        with shuffle_partitions(self.spark, buckets), small_scans(self.spark):
             for part, run_ts in ((1, FIRST_RUN), (2, SECOND_RUN)):
                 deliveries = {entity: self.delivery(entity, part) for entity in ENTITIES}
                 refresh(warehouse, deliveries, run_ts, {"sales": sales_order()})
@@ -246,7 +247,8 @@ class SampleRun:
         """Sales stored in buckets of their key, so that merging them moves none of them again."""
         table = f"{name}_{uuid.uuid4().hex}"
         writer = sales.write.format("parquet").option("path", scratch_path(self.spark, name)).option("compression", "zstd")
-        writer.bucketBy(self._buckets, "TransactionID").sortBy("TransactionID").saveAsTable(table)
+        with small_scans(self.spark):
+            writer.bucketBy(self._buckets, "TransactionID").sortBy("TransactionID").saveAsTable(table)
         return self.spark.table(table)
 
     def _stored(self, df: DataFrame, name: str) -> DataFrame:

@@ -100,3 +100,12 @@ def test_shuffle_partitions_are_set_back(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
         raise RuntimeError
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_sales_are_stored_from_small_scans(spark):
+    name, seen = "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(name)
+    run = SampleRun(spark, "/root/testdata/sf0.001")
+    run._stored = lambda df, _: seen.append(spark.conf.get(name)) or df
+    assert run.silver_sales.count() > 0
+    assert seen == ["16m"] and spark.conf.get(name) == before
