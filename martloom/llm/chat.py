@@ -83,20 +83,24 @@ def fingerprint(paths: set[str]) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
-def registry(mappings: tuple[Mapping, ...]) -> dict[str, Mapping]:
-    """Mappings by the fingerprints they declare; of two with one fingerprint the first."""
-    return {key: mapping for mapping in reversed(mappings) for key in mapping.fingerprints()}
+def registry(mappings: tuple[Mapping, ...]) -> dict[str, list[Mapping]]:
+    """Mappings by the fingerprints they declare; those of one fingerprint in their order."""
+    known: dict[str, list[Mapping]] = {}
+    for mapping in mappings:
+        for key in mapping.fingerprints():
+            known.setdefault(key, []).append(mapping)
+    return known
 
 
-def mapping_of(paths: set[str], mappings: tuple[Mapping, ...], known: dict[str, Mapping]) -> Mapping | None:
-    """The mapping with this fingerprint, or the first that has it once the fields it ignores are left out."""
+def mapping_of(paths: set[str], mappings: tuple[Mapping, ...], known: dict[str, list[Mapping]]) -> Mapping | None:
+    """The first mapping with this fingerprint, or the first that has it once the fields it ignores are left out."""
     exact = known.get(fingerprint(paths))
     if exact is not None:
-        return exact
+        return exact[0]
     for mapping in mappings:
         if mapping.ignored:
             left = mapping.without_ignored(paths)
-            if len(left) < len(paths) and known.get(fingerprint(left)) == mapping:
+            if len(left) < len(paths) and mapping in known.get(fingerprint(left), ()):
                 return mapping
     return None
 
@@ -182,7 +186,7 @@ def _record(line: str | None) -> dict | None:
     return record if isinstance(record, dict) else None
 
 
-def _record_turns(line: str | None, mappings: tuple[Mapping, ...], known: dict[str, Mapping]) -> list[tuple]:
+def _record_turns(line: str | None, mappings: tuple[Mapping, ...], known: dict[str, list[Mapping]]) -> list[tuple]:
     record = _record(line)
     paths = set() if record is None else field_paths(record)
     mapping = mapping_of(paths, mappings, known) if record is not None else None
