@@ -6,5 +6,6 @@
 from __future__ import annotations
 
 from martloom.llm.pipeline import ORACLE_SQL, STAGES, run
+from martloom.llm.scratch import stored
 
-__all__ = ["ORACLE_SQL", "STAGES", "run"]
+__all__ = ["ORACLE_SQL", "STAGES", "run", "stored"]
